@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import clean_name, normalise_words
 
-GRAM = 8
+SIDE, RUN = 4, 8
 # Anchors are broadcast only while their measured size stays under this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
@@ -32,64 +32,88 @@ def unsearchable(companies: DataFrame) -> DataFrame:
             .filter(clean_name(F.col("company")) == ""))
 
 
-def fits_broadcast(df: DataFrame, text_columns: Sequence[str],
-                   limit: int = BROADCAST_BYTES) -> bool:
-    """Measure a frame that is about to be broadcast: text bytes plus a fixed row overhead."""
-    size = F.sum(sum((F.octet_length(c) for c in text_columns), F.lit(0)) + _ROW_OVERHEAD)
-    return (df.agg(F.coalesce(size, F.lit(0))).first()[0]) <= limit
+# ---- anchors ------------------------------------------------------------------------------
+#
+# A name of several words can only be found where its spaces meet spaces of the text, so its
+# anchor is one of its spaces with up to four characters of the name on either side. A one-word name
+# may sit anywhere inside a word; its anchor is a run of up to eight of its characters.
 
 
-def _grams(text: Column, n: int) -> Column:
-    """All distinct substrings of n characters; a look-ahead finds them in one pass."""
-    found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
-    return F.array_distinct(found)
+def _runs(text: Column, pattern: str | Column) -> Column:
+    """Group 1 at every position where a pattern matches ahead; one pass over the text."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    return F.regexp_extract_all(text, pattern, F.lit(1))
 
 
-def _grams_of(text: Column, sizes: Sequence[int]) -> Column:
-    return F.concat(*[_grams(text, n) for n in sizes])
+def _text_pieces(text: Column, shapes: Sequence[tuple[int, int]]) -> Column:
+    """The distinct pieces of a text that have one of the anchors' shapes: (left, right) counts
+    of characters around a space, or (0, n) for a run of n."""
+    pad = F.lit(" " * SIDE)
+    around = _runs(F.concat(pad, text, pad), f"(?s)(?=(.{{{SIDE}}} .{{{SIDE}}}))")
 
+    def narrowed(a: int, b: int) -> Column:
+        return F.transform(around, lambda w: F.substring(w, SIDE + 1 - a, a + 1 + b))
 
-def _anchors(keys: DataFrame, gram: int) -> DataFrame:
-    """(key, anchor): of each key's grams the one shared by the fewest keys, so that names
-    with a common beginning do not all answer to it."""
-    size = F.least(F.length("key"), F.lit(gram))
-    exact = F.concat(F.lit("(?s)(?=(.{"), size, F.lit("}))"))
-    grams = keys.select("key", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.col("key"), exact, F.lit(1)))).alias("anchor"))
-    spread = grams.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"))
-    return (grams.join(spread, "anchor").groupBy("key")
-            .agg(F.min(F.struct("_n", "anchor"))["anchor"].alias("anchor")))
+    pieces = [narrowed(a, b) for a, b in shapes if a]
+    pieces += [_runs(text, f"(?s)(?=(.{{{n}}}))") for a, n in shapes if not a]
+    return F.array_distinct(F.concat(*pieces))
+
+
+def _anchors(keys: DataFrame) -> DataFrame:
+    """(key, anchor, left, right): of each key's possible anchors the longest, and of those the
+    one shared by the fewest keys, so that names with a common beginning do not all answer
+    to it."""
+    length = F.length("key")
+
+    def at_space(i: Column) -> Column:
+        a, b = F.least(i - 1, F.lit(SIDE)), F.least(length - i, F.lit(SIDE))
+        return F.struct(a.alias("left"), b.alias("right"),
+                        F.substring(F.col("key"), i - a, a + 1 + b).alias("anchor"))
+
+    spaces = F.transform(F.filter(F.sequence(F.lit(1), length),
+                                  lambda i: F.substring(F.col("key"), i, F.lit(1)) == " "),
+                         at_space)
+    n = F.least(F.length("key"), F.lit(RUN))
+    runs = F.transform(
+        _runs(F.col("key"), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))),
+        lambda r: F.struct(F.lit(0).alias("left"), n.alias("right"), r.alias("anchor")))
+    options = keys.select("key", F.inline(F.array_distinct(
+        F.when(F.size(spaces) > 0, spaces).otherwise(runs))))
+    spread = options.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"))
+    best = F.min(F.struct(-F.length("anchor"), "_n", "anchor", "left", "right")).alias("_b")
+    return (options.join(spread, "anchor").groupBy("key").agg(best)
+            .select("key", "_b.anchor", "_b.left", "_b.right"))
 
 
 def mentions_substring(items: DataFrame, item_id: str, text: Column, companies: DataFrame,
-                       gram: int = GRAM, broadcast_bytes: int = BROADCAST_BYTES,
+                       broadcast_bytes: int = BROADCAST_BYTES,
                        normalise_text: bool = False) -> DataFrame:
     """(item_id, company) where the cleaned name is a substring of the text, whatever the case.
 
     Exact. `normalise_text` takes punctuation out of the text as it is out of the name.
     """
     names = name_keys(companies)
-    keys = names.select("key").distinct()
     body = normalise_words(text) if normalise_text else F.lower(text)
-    # At most `gram` different lengths, whatever the number of names.
-    sizes = sorted(r[0] for r in keys.select(
-        F.least(F.length("key"), F.lit(gram)).alias("n")).distinct().collect())
-    if not sizes:
+    anchors = _anchors(names.select("key").distinct())
+    # One small job measures the anchors: their shapes (two dozen at most, however many names
+    # there are) and the bytes a broadcast of them would take.
+    size = F.sum(F.octet_length("key") + F.octet_length("anchor") + _ROW_OVERHEAD)
+    measured = anchors.agg(F.collect_set(F.struct("left", "right")).alias("shapes"),
+                           size.alias("bytes")).first()
+    if not measured["shapes"]:
         return items.select(item_id).join(names.select("company"), F.lit(False))
-    anchors = _anchors(keys, gram)
+    shapes = sorted((r["left"], r["right"]) for r in measured["shapes"])
+    anchors = anchors.select("key", "anchor")
     texts = items.select(item_id, body.alias("_text"))
-    if fits_broadcast(anchors, ["key", "anchor"], broadcast_bytes):
+    pieces = F.explode(_text_pieces(F.col("_text"), shapes)).alias("anchor")
+    if measured["bytes"] <= broadcast_bytes:
         # The text rides along inside one stage; nothing is shuffled but the hits.
-        hits = (texts.select(item_id, "_text",
-                             F.explode(_grams_of(F.col("_text"), sizes)).alias("anchor"))
-                .join(F.broadcast(anchors), "anchor")
+        hits = (texts.select(item_id, "_text", pieces).join(F.broadcast(anchors), "anchor")
                 .filter(F.contains("_text", "key")).select(item_id, "key"))
     else:
-        # Only ids and grams are shuffled; candidates fetch their text back to be verified.
-        pairs = (texts.select(item_id, F.explode(_grams_of(F.col("_text"), sizes))
-                              .alias("anchor"))
-                 .join(anchors, "anchor").select(item_id, "key"))
-        hits = (pairs.join(texts, item_id).filter(F.contains("_text", "key"))
+        # Only ids and pieces are shuffled; candidates fetch their text back to be verified.
+        hits = (texts.select(item_id, pieces).join(anchors, "anchor").select(item_id, "key")
+                .join(texts, item_id).filter(F.contains("_text", "key"))
                 .select(item_id, "key"))
     return hits.join(names, "key").select(item_id, "company")
 

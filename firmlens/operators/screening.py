@@ -79,10 +79,11 @@ def score_of(raw: Column) -> Column:
 
 
 def decide(headlines: DataFrame, answers: DataFrame, params: Params = Params(),
-           pattern: str | None = None) -> DataFrame:
+           pattern: str | None = None, name: str = "company") -> DataFrame:
     """One decision per row of `headlines` (company, headline_text); `answers` (company, raw)
-    holds at most one short model answer per company. No answer passes with a 3."""
-    keyword = keyword_near_name(F.col("company"), F.col("headline_text"),
+    holds at most one short model answer per company. No answer passes with a 3. `name` is
+    the column to look for in the text, where that is not the key itself."""
+    keyword = keyword_near_name(F.col(name), F.col("headline_text"),
                                 pattern or keyword_pattern(params.roots))
     scored = score_of(F.col("raw"))
     gated = (

@@ -45,3 +45,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy text work a task per core where the input has fewer splits than cores, as
+    a single small file has. Larger inputs pass through without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
