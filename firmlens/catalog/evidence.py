@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.evidence import (add_sections, assemble, cap_per_source, dedupe_capped,
+from ..operators.evidence import (add_sections, assemble, cap_per_source, cut_snippets,
+                                  dedupe_capped,
                                   drop_empty_urls, fetch_plan, first_seen, merge_deep,
                                   source_breakdown, top_per_source, union_feeds)
 from ..params import SOURCES, Params
@@ -101,7 +102,7 @@ TOPK = f"""
 
 
 def capped(spark, sf):
-    return cap_per_source(first_seen(drop_empty_urls(items(spark, sf))))
+    return cap_per_source(first_seen(drop_empty_urls(cut_snippets(items(spark, sf)))))
 
 
 def sections(spark, sf):
@@ -208,12 +209,12 @@ HEADLINE_FIRST = rf"""
 
 def stage2_merge(spark, sf):
     """Base from all feeds but the deep one; English and German pass the gate."""
-    all_items = items(spark, sf)
+    all_items = cut_snippets(items(spark, sf))
     base_items = cap_per_source(first_seen(drop_empty_urls(
         all_items.filter("source <> 'tavily'"))))
     base = assemble(add_sections(base_items))
-    gate = base.select("company", F.col("company").isin("en", "de").alias("passed"))
-    merged = merge_deep(base, all_items.filter("source = 'tavily'"), gate, Params(compat=True))
+    gated = base.withColumn("passed", F.col("company").isin("en", "de"))
+    merged = merge_deep(gated, all_items.filter("source = 'tavily'"), Params(compat=True))
     return merged.select("company", "context", "char_count",
                          F.array_join("sources", " ").alias("sources"),
                          F.coalesce(F.try_element_at("source_breakdown", F.lit("tavily")),

@@ -400,8 +400,7 @@ QUERIES = {
     "parse_response": (parse_response, PARSE_RESPONSE),
     "score_parse": (score_parse, SCORE_PARSE),
     "confidence_filter": (
-        lambda spark, sf: confident(answers(spark, sf), "pass2", 2).select(
-            "company", "signal", "confidence"),
+        lambda spark, sf: confident(answers(spark, sf), 2),
         f"SELECT company, signal, confidence FROM ({_SURE})"),
     "detected_union": (
         lambda spark, sf: detections(answers(spark, sf)).join(

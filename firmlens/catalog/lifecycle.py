@@ -64,10 +64,10 @@ def _stamp():
 
 _SUMS = ", ".join(f"CAST(sum(CAST({s} AS INTEGER)) AS BIGINT) AS {s}" for s in SIGNALS)
 _KPIS = """
-  SELECT count(*) AS processed, count_if(error IS NOT NULL) AS errors,
-    count_if(total_signals > 0) AS with_signals,
-    CAST(round(100.0 * count_if(total_signals > 0) / greatest(count(*), 1), 1) AS DOUBLE)
-      AS signal_rate
+  SELECT count(*) AS processed, count(error) AS errors,
+    count(CASE WHEN total_signals > 0 THEN 1 END) AS with_signals,
+    CAST(round(100.0 * count(CASE WHEN total_signals > 0 THEN 1 END) / greatest(count(*), 1), 1)
+      AS DOUBLE) AS signal_rate
 """
 
 

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import strip
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _as_object(text: Column) -> Column:
-    """VARIANT of a JSON object; NULL for anything else."""
-    value = F.try_parse_json(text)
-    return F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
+    """VARIANT of a JSON object; NULL for anything else. Valid JSON that opens with a brace is
+    an object."""
+    return F.when(text.startswith("{"), F.try_parse_json(text))
 
 
 def parse_answer(raw: Column) -> Column:
@@ -19,7 +26,8 @@ def parse_answer(raw: Column) -> Column:
     from the first to the last brace."""
     text = F.regexp_replace(strip(raw), r"\A```(?:json)?\s*", "")
     text = F.regexp_replace(strip(text), r"\s*```\z", "")
-    return F.coalesce(_as_object(text), _as_object(F.regexp_extract(text, r"(?s)\{.*\}", 0)))
+    return _let(text, lambda t: F.coalesce(
+        _as_object(t), _as_object(F.regexp_extract(t, r"(?s)\{.*\}", 0))))
 
 
 def parse_score_answer(raw: Column) -> Column:
@@ -30,6 +38,19 @@ def parse_score_answer(raw: Column) -> Column:
     return _as_object(F.regexp_extract(text, r"(?s)\{.*?\}", 0))
 
 
+def read_answers(answers: DataFrame, fields: Mapping[str, Callable[[Column], Column]],
+                 keep: Sequence[str], unreadable: bool = False) -> DataFrame:
+    """`keep` columns plus fields of each row's parsed `raw`; rows that do not parse are dropped,
+    or kept with NULL fields.
+
+    The fields leave through a generator. Filters on them stay above it, so that every answer
+    is parsed once: pushed into the scan, each condition would parse it again.
+    """
+    objects = F.filter(F.array(parse_answer(F.col("raw"))), lambda o: o.isNotNull())
+    rows = F.transform(objects, lambda o: F.struct(*[f(o).alias(n) for n, f in fields.items()]))
+    return answers.select(*keep, F.inline_outer(rows) if unreadable else F.inline(rows))
+
+
 def text_field(obj: Column, name: str) -> Column:
     """Field as text; missing or null gives an empty string."""
     return F.coalesce(F.try_variant_get(obj, f"$.{name}", "string"), F.lit(""))

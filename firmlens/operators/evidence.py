@@ -49,6 +49,14 @@ def union_feeds(feeds: Mapping[str, DataFrame],
     return reduce(DataFrame.unionByName, [conform(n, df) for n, df in feeds.items()])
 
 
+def cut_snippets(items: DataFrame, sources: Sequence[Source] = SOURCES) -> DataFrame:
+    """Snippets cut to what their sections can show, and one character more to tell that there
+    was more. Done before any shuffle, so that whole texts never travel."""
+    limit = per_source(sources, lambda s: 2 ** 30 if s.snippet_chars is None else s.snippet_chars,
+                       2 ** 30)
+    return items.withColumn("snippet", F.substring(F.col("snippet"), F.lit(1), limit + 1))
+
+
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], limit: int,
             extra: Column | None = None) -> DataFrame:
     """Rows ranked 1..limit within `keys`. The literal limit lets Spark cut each input
@@ -268,39 +276,39 @@ def _chars_of(items: Column, source: Column, joined: bool) -> Column:
     return total + 2 * (F.size(mine) - 1) if joined else total
 
 
-def merge_deep(base: DataFrame, deep: DataFrame, decisions: DataFrame,
-               params: Params = Params(), source: str = "tavily") -> DataFrame:
-    """Base contexts, extended with deep-search sections for companies that passed.
+def merge_deep(base: DataFrame, deep: DataFrame, params: Params = Params(),
+               source: str = "tavily") -> DataFrame:
+    """Base contexts (with their gate's `passed`), extended with deep-search sections where the
+    gate let the company through.
 
     Deep items whose URL is in the base's source list, or came before among the deep items,
     are dropped. With `compat` the deep block follows a base already cut to the limit, so it
     may vanish; otherwise the base gives way to up to `deep_reserve_chars` of it.
     """
     tag = next(s for s in params.sources if s.name == source)
-    known = base.select("company", F.explode("sources").alias("url"))
-    chosen = decisions.filter("passed").select("company").distinct()
     # The page bound first: it keeps a company's group small however many rows were landed.
     handed = _ranked(deep, ("company", "query_rank"), ("item_rank", "url"), tag.page)
-    fresh = (_ranked(handed.filter(F.col("url") != ""), ("company", "url"), ITEM_ORDER, 1)
-             .join(known, ["company", "url"], "left_anti")
-             .join(chosen, "company", "left_semi"))
-    block = (add_sections(fresh, params.sources).groupBy("company")
-             .agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER, "section"))).alias("_d"))
-             .select("company",
-                     F.array_join(F.transform("_d", lambda x: x["section"]), "\n\n").alias("_t"),
-                     F.transform("_d", lambda x: x["url"]).alias("_urls")))
-    joined = base.join(block, "company", "left")
+    fresh = _ranked(handed.filter(F.col("url") != ""), ("company", "url"), ITEM_ORDER, 1)
+    packed = (add_sections(fresh, params.sources).groupBy("company")
+              .agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER, "section"))).alias("_d")))
+    new = F.filter("_d", lambda x: ~F.array_contains("sources", x["url"]))
+    joined = (base.join(packed, "company", "left")
+              .withColumn("_new", F.when(F.col("passed"), new))
+              .withColumn("_has", F.coalesce(F.size("_new") > 0, F.lit(False)))
+              .withColumn("_t", F.array_join(F.transform("_new", lambda x: x["section"]),
+                                             "\n\n")))
     extra = F.concat(F.lit(f"\n\n=== {tag.header} ===\n"), F.col("_t"))
-    has = F.col("_t").isNotNull()
+    has = F.col("_has")
     limit = params.max_context_chars
     room = F.lit(limit) if params.compat else (
         F.lit(limit) - F.least(F.length(extra), F.lit(params.deep_reserve_chars)))
     head = F.substring(F.col("context"), F.lit(1), room)
+    urls = F.concat("sources", F.transform("_new", lambda x: x["url"]))
     return joined.select(
         "company", "headline_text",
         F.when(has, F.substring(F.concat(head, extra), 1, limit))
         .otherwise(F.col("context")).alias("context"),
-        F.when(has, source_list(F.concat("sources", "_urls"), params.max_sources))
+        F.when(has, source_list(urls, params.max_sources))
         .otherwise(F.col("sources")).alias("sources"),
         F.when(has, (F.length("context") + F.length(extra)).cast("long"))
         .otherwise(F.col("char_count")).alias("char_count"),

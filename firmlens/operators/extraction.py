@@ -6,11 +6,13 @@ contexts: company, context, sources
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import compose_summary, count_signals, filled, merge_ops
-from ..functions.jsonio import flag_field, int_field, parse_answer, text_field
+from ..functions.jsonio import flag_field, int_field, read_answers, text_field
 from ..params import (DETAIL_COLUMNS, SIGNALS, SUMMARY_NOTHING, SUMMARY_SHORT_CONTEXT,
                       SUMMARY_UNCONFIRMED, SUMMARY_UNVERIFIED, Params)
 from .screening import enough_content
@@ -24,67 +26,81 @@ def _confidence(obj: Column) -> Column:
     return F.coalesce(int_field(obj, "confidence"), F.lit(1))
 
 
-def _answers(answers: DataFrame, which: str) -> DataFrame:
-    return (answers.filter(F.col("pass") == which)
-            .withColumn("obj", parse_answer(F.col("raw"))).filter(F.col("obj").isNotNull()))
+def _of_pass(answers: DataFrame, which: str) -> DataFrame:
+    return answers.filter(F.col("pass") == which)
+
+
+def _text(name: str) -> Callable[[Column], Column]:
+    return lambda obj: text_field(obj, name)
+
+
+def _flag(name: str) -> Callable[[Column], Column]:
+    return lambda obj: flag_field(obj, name)
 
 
-def _named() -> Column:
-    """Signals named by a first-pass answer."""
-    return F.filter(F.try_variant_get("obj", F.lit("$.detected"), "array<string>"),
-                    lambda x: x.isNotNull())
+def _first_pass(answers: DataFrame) -> DataFrame:
+    """(company, named, confidence) per readable chunk answer."""
+    named = {"named": lambda o: F.filter(F.coalesce(
+        F.try_variant_get(o, "$.detected", "array<string>"),
+        F.array().cast("array<string>")), lambda x: x.isNotNull())}
+    return read_answers(_of_pass(answers, "pass1"), {**named, "confidence": _confidence},
+                        ["company"])
 
 
 def detections(answers: DataFrame) -> DataFrame:
     """(company, signal): every signal named by any chunk's answer, once."""
-    return (_answers(answers, "pass1").select("company", F.explode(_named()).alias("signal"))
-            .distinct())
+    return _first_pass(answers).select("company", F.explode("named").alias("signal")).distinct()
 
 
 def best_confidence(answers: DataFrame) -> DataFrame:
     """(company, best, detected): highest confidence over the chunks, at least 1, and whether
     any chunk named a signal."""
-    return _answers(answers, "pass1").groupBy("company").agg(
-        F.greatest(F.max(_confidence(F.col("obj"))), F.lit(1)).alias("best"),
-        F.coalesce(F.bool_or(F.size(_named()) > 0), F.lit(False)).alias("detected"))
+    return _first_pass(answers).groupBy("company").agg(
+        F.greatest(F.max("confidence"), F.lit(1)).alias("best"),
+        F.bool_or(F.size("named") > 0).alias("detected"))
 
 
-def confident(answers: DataFrame, which: str, minimum: int) -> DataFrame:
-    """Answers of one pass whose confidence reaches the minimum."""
-    return (_answers(answers, which).withColumn("confidence", _confidence(F.col("obj")))
-            .filter(F.col("confidence") >= minimum))
+def _second_pass(answers: DataFrame, minimum: int) -> DataFrame:
+    fields = {"confirmed": _flag("confirmed"), "detail": _text("detail"),
+              "hq_region": _text("hq_region"), "is_shutdown": _flag("is_shutdown"),
+              "confidence": _confidence}
+    return read_answers(_of_pass(answers, "pass2"), fields, ["company", "signal"]).filter(
+        F.col("confidence") >= minimum)
+
+
+def confident(answers: DataFrame, minimum: int) -> DataFrame:
+    """Second-pass answers whose confidence reaches the minimum."""
+    return _second_pass(answers, minimum).select("company", "signal", "confidence")
 
 
 def extractions(answers: DataFrame, detected: DataFrame, params: Params = Params()) -> DataFrame:
     """(company, signal, detail, hq_region, is_shutdown, confidence) of confirmed signals."""
-    return (
-        confident(answers, "pass2", params.min_confidence)
-        .filter(flag_field(F.col("obj"), "confirmed"))
-        .join(detected, ["company", "signal"], "left_semi")
-        .select("company", "signal", text_field(F.col("obj"), "detail").alias("detail"),
-                text_field(F.col("obj"), "hq_region").alias("hq_region"),
-                flag_field(F.col("obj"), "is_shutdown").alias("is_shutdown"), "confidence")
-    )
+    return (_second_pass(answers, params.min_confidence).filter("confirmed").drop("confirmed")
+            .join(detected, ["company", "signal"], "left_semi"))
+
+
+def _truth(verdict: Column) -> Column:
+    """A verdict read as a yes or no; no verdict is a yes."""
+    kind = F.schema_of_variant(verdict)
+    return (F.when(verdict.isNull(), True)
+            .when(kind == "BOOLEAN", F.try_variant_get(verdict, "$", "boolean"))
+            .when(kind == "VOID", False)
+            .when(kind == "STRING", F.try_variant_get(verdict, "$", "string") == "true")
+            .otherwise(F.coalesce(F.try_variant_get(verdict, "$", "double") != 0,
+                                  F.lit(False))))
 
 
 def _judge(extracted: DataFrame, answers: DataFrame) -> DataFrame:
     """Extractions with the last pass's verdict (`kept`) and corrections applied."""
-    obj = F.col("obj")
-    checks = _answers(answers, "pass3").select(
-        "company",
-        F.try_variant_get(obj, "$.verified", "map<string,variant>").alias("_verdicts"),
-        F.try_variant_get(obj, "$.corrections", "map<string,string>").alias("_fixes"))
-    verdict = F.try_element_at("_verdicts", F.col("signal"))
-    kind = F.schema_of_variant(verdict)
-    truth = (F.when(verdict.isNull(), True)
-             .when(kind == "BOOLEAN", F.try_variant_get(verdict, "$", "boolean"))
-             .when(kind == "VOID", False)
-             .when(kind == "STRING", F.try_variant_get(verdict, "$", "string") == "true")
-             .otherwise(F.coalesce(F.try_variant_get(verdict, "$", "double") != 0,
-                                   F.lit(False))))
+    checks = read_answers(_of_pass(answers, "pass3"), {
+        "_verdicts": lambda o: F.transform_values(
+            F.try_variant_get(o, "$.verified", "map<string,variant>"), lambda k, v: _truth(v)),
+        "_fixes": lambda o: F.try_variant_get(o, "$.corrections", "map<string,string>"),
+    }, ["company"])
+    kept = F.coalesce(F.try_element_at("_verdicts", F.col("signal")), F.lit(True))
     fixed = filled(F.try_element_at("_fixes", F.col("signal")))
     return (extracted.join(checks, "company", "left")
-            .withColumns({"kept": truth, "detail": F.coalesce(fixed, F.col("detail"))})
+            .withColumns({"kept": kept, "detail": F.coalesce(fixed, F.col("detail"))})
             .drop("_verdicts", "_fixes"))
 
 
@@ -123,21 +139,19 @@ def _fold(judged: DataFrame, params: Params) -> DataFrame:
 
 
 def _complete(df: DataFrame) -> DataFrame:
-    """Fill what a company without a folded row lacks, and put columns in order."""
+    """Fill what a company without a folded row lacks."""
     flags = {s: F.coalesce(F.col(s), F.lit(False)) for s in SIGNALS}
     texts = {c: F.coalesce(F.col(c), F.lit("")) for c in (*DETAILS, "hq_region")}
     return df.withColumns({**flags, **texts}).withColumn("total_signals", count_signals())
 
 
-def three_pass(contexts: DataFrame, answers: DataFrame, params: Params = Params()) -> DataFrame:
-    """Detect per chunk, extract per signal, verify; one row per context row."""
+def _three_pass(rows: DataFrame, answers: DataFrame, params: Params) -> DataFrame:
+    """Rows with their result columns; each join brings at most one row per company."""
     best = best_confidence(answers)
     sure = best.filter(F.col("best") >= params.min_confidence).select("company")
     live = detections(answers).join(sure, "company", "left_semi")
-    extracted = extractions(answers, live, params)
-    folded = _fold(_judge(extracted, answers), params)
-    rows = _complete(contexts.select("company").distinct()
-                     .join(best, "company", "left").join(folded, "company", "left"))
+    folded = _fold(_judge(extractions(answers, live, params), answers), params)
+    done = _complete(rows.join(best, "company", "left").join(folded, "company", "left"))
     nothing = ~F.coalesce("detected", F.lit(False)) | (F.coalesce("best", F.lit(1))
                                                       < params.min_confidence)
     summary = (F.when(nothing, SUMMARY_NOTHING)
@@ -145,51 +159,51 @@ def three_pass(contexts: DataFrame, answers: DataFrame, params: Params = Params(
                .when(F.col("total_signals") == 0, SUMMARY_UNVERIFIED)
                .otherwise(compose_summary()))
     score = F.lit(0) if params.compat else F.coalesce("_confidence", F.lit(0))
-    return (rows.withColumn("summary", summary)
-            .withColumn("confidence_score", score.cast("int")).select(*OUTPUT))
+    return done.withColumns({"summary": summary, "confidence_score": score.cast("int")})
+
+
+def _single_pass(rows: DataFrame, answers: DataFrame, params: Params) -> DataFrame:
+    fields = {
+        **{s: _flag(s) for s in SIGNALS},
+        **{c: _text(c) for c in DETAILS if c != "ops_detail"},
+        "ops_detail": lambda o: merge_ops(text_field(o, "ops_detail"),
+                                          text_field(o, "shutdown_detail")),
+        "hq_region": _text("hq_region"), "_summary": _text("summary"), "_conf": _confidence}
+    read = read_answers(_of_pass(answers, "single"), fields, ["company", "raw"],
+                        unreadable=True)
+    ok = F.coalesce(F.col("_conf") >= params.min_confidence, F.lit(False))
+    summary = (F.when(F.col("_conf").isNull(), F.concat(
+                   F.lit("[parse error] "),
+                   F.substring(F.coalesce("raw", F.lit("")), 1, 120)))
+               .when(~ok, F.concat(F.lit("[low confidence "), F.col("_conf").cast("string"),
+                                   F.lit("/5] "), F.col("_summary")))
+               .otherwise(F.col("_summary")))
+    score = F.lit(0) if params.compat else F.when(ok, F.col("_conf")).otherwise(0)
+    done = rows.join(read, "company", "left").withColumns({
+        "summary": summary, "confidence_score": score.cast("int"),
+        **{c: F.when(ok, F.col(c)) for c in (*SIGNALS, *DETAILS, "hq_region")}})
+    return _complete(done)
+
+
+def three_pass(contexts: DataFrame, answers: DataFrame, params: Params = Params()) -> DataFrame:
+    """Detect per chunk, extract per signal, verify; one row per context row."""
+    return _three_pass(contexts.select("company"), answers, params).select(*OUTPUT)
 
 
 def single_pass(contexts: DataFrame, answers: DataFrame, params: Params = Params()) -> DataFrame:
     """One answer holds every field; an unreadable or unsure one leaves just a note."""
-    obj = F.col("obj")
-    mine = (answers.filter(F.col("pass") == "single")
-            .select("company", "raw", parse_answer(F.col("raw")).alias("obj")))
-    rows = contexts.select("company").distinct().join(mine, "company", "left")
-    conf = _confidence(obj)
-    ok = obj.isNotNull() & (conf >= params.min_confidence)
-
-    def text(name: str) -> Column:
-        return F.when(ok, text_field(obj, name)).otherwise("")
-
-    details = {c: text(c) for c in DETAILS if c != "ops_detail"}
-    details["ops_detail"] = F.when(ok, merge_ops(text_field(obj, "ops_detail"),
-                                                 text_field(obj, "shutdown_detail"))
-                                   ).otherwise("")
-    flags = {s: ok & F.coalesce(flag_field(obj, s), F.lit(False)) for s in SIGNALS}
-    summary = (F.when(obj.isNull(), F.concat(F.lit("[parse error] "), F.substring(
-                   F.coalesce("raw", F.lit("")), 1, 120)))
-               .when(~ok, F.concat(F.lit("[low confidence "), conf.cast("string"),
-                                   F.lit("/5] "), text_field(obj, "summary")))
-               .otherwise(text_field(obj, "summary")))
-    score = F.lit(0) if params.compat else F.when(ok, conf).otherwise(0)
-    return (rows.select("company",
-                        *[v.alias(k) for k, v in flags.items()],
-                        *[v.alias(k) for k, v in details.items()],
-                        text("hq_region").alias("hq_region"), summary.alias("summary"),
-                        score.cast("int").alias("confidence_score"))
-            .withColumn("total_signals", count_signals()).select(*OUTPUT))
+    return _single_pass(contexts.select("company"), answers, params).select(*OUTPUT)
 
 
 def classify(contexts: DataFrame, answers: DataFrame, params: Params = Params()) -> DataFrame:
-    """Result row of every context row: too short a context is noted, all else goes through
-    the chosen mode; sources are attached."""
-    rows = contexts.withColumn("_enough", enough_content(F.col("context"),
-                                                         params.context_min_chars))
-    run = three_pass if params.three_pass else single_pass
-    done = run(rows.filter("_enough"), answers, params)
-    joined = rows.select("company", "sources", "_enough").join(done, "company", "left")
-    return _complete(joined).select(
-        *[F.when(F.col("_enough"), F.col("summary")).otherwise(SUMMARY_SHORT_CONTEXT)
-          .alias(c) if c == "summary" else
-          F.coalesce(c, F.lit(0)).alias(c) if c == "confidence_score" else F.col(c)
-          for c in OUTPUT], "sources")
+    """Result row of every context row: too short a context is noted and nothing else; all
+    others go through the chosen mode; sources are attached."""
+    enough = enough_content(F.col("context"), params.context_min_chars)
+    rows = contexts.select("company", "sources", enough.alias("_enough"))
+    done = (_three_pass if params.three_pass else _single_pass)(rows, answers, params)
+    ok = F.col("_enough")
+    blank = {**{s: F.lit(False) for s in SIGNALS}, **{c: F.lit("") for c in DETAILS},
+             "hq_region": F.lit(""), "total_signals": F.lit(0), "confidence_score": F.lit(0),
+             "summary": F.lit(SUMMARY_SHORT_CONTEXT)}
+    return done.select("company", *[F.when(ok, F.col(c)).otherwise(blank[c]).alias(c)
+                                    for c in OUTPUT if c != "company"], "sources")

@@ -82,7 +82,8 @@ def decide(headlines: DataFrame, answers: DataFrame, params: Params = Params(),
            pattern: str | None = None, name: str = "company") -> DataFrame:
     """One decision per row of `headlines` (company, headline_text); `answers` (company, raw)
     holds at most one short model answer per company. No answer passes with a 3. `name` is
-    the column to look for in the text, where that is not the key itself."""
+    the column to look for in the text, where that is not the key itself. Other columns of
+    `headlines` stay."""
     keyword = keyword_near_name(F.col(name), F.col("headline_text"),
                                 pattern or keyword_pattern(params.roots))
     scored = score_of(F.col("raw"))
@@ -107,7 +108,7 @@ def decide(headlines: DataFrame, answers: DataFrame, params: Params = Params(),
         F.when(no_content | no_keyword, 0).otherwise(F.col("_scored.score")).alias("score"),
         F.when(no_content, REASON_NO_CONTENT).when(no_keyword, REASON_NO_KEYWORD)
         .otherwise(F.col("_scored.reason")).alias("reason"),
-        "headline_text")
+        *[c for c in headlines.columns if c != "company"])
 
 
 def screen_log(decisions: DataFrame) -> DataFrame:

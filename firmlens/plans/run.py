@@ -11,8 +11,8 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.evidence import (add_sections, assemble, dedupe_capped, dedupe_then_cap,
-                                  merge_deep)
+from ..operators.evidence import (add_sections, assemble, cut_snippets, dedupe_capped,
+                                  dedupe_then_cap, merge_deep)
 from ..operators.extraction import classify
 from ..operators.lifecycle import todo
 from ..operators.screening import decide
@@ -39,7 +39,7 @@ def base_contexts(companies: DataFrame, items: DataFrame, params: Params = Param
                   exact_caps: bool = True) -> DataFrame:
     """One context per company from its base feeds; companies without items get an empty one."""
     base = tuple(s for s in params.sources if s.name not in ("brave", "tavily"))
-    mine = (items.filter(F.col("source").isin([s.name for s in base]))
+    mine = (cut_snippets(items.filter(F.col("source").isin([s.name for s in base])), base)
             .join(companies.select("company").distinct(), "company", "left_semi"))
     kept = (dedupe_capped if exact_caps else dedupe_then_cap)(mine, base)
     packed = assemble(add_sections(kept, base), replace(params, sources=base))
@@ -59,8 +59,9 @@ def run_results(companies: DataFrame, items: DataFrame, screen_answers: DataFram
     """Evidence → context → gate → deep evidence → answers → one result row per company."""
     base = base_contexts(companies, items, params)
     if deep:
-        decisions = decide(base.select("company", "headline_text"), screen_answers, params)
-        contexts = merge_deep(base, items.filter(F.col("source") == "tavily"), decisions, params)
+        # The gate adds its columns to the base rows, so the evidence is assembled once.
+        contexts = merge_deep(decide(base, screen_answers, params),
+                              items.filter(F.col("source") == "tavily"), params)
     else:
         contexts = base
     return classify(contexts, answers, params)
@@ -78,7 +79,7 @@ def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_o
     hits = fetch_cache.lookup(names, cache, as_of, p, stage).select(
         "company", *[F.col(f"payload.{c}").alias(c) for c in RECORD], "from_cache")
     missing = fetch_cache.misses(names, cache, as_of, p, stage).select("company")
-    mine = items.join(missing, "company", "left_semi")
+    mine = cut_snippets(items, sources).join(missing, "company", "left_semi")
     packed = assemble(add_sections(dedupe_capped(mine, sources), sources, at_sentence=True), p,
                       headers=False, first_lines=True, chunks=True)
     none = F.array().cast("array<string>")
