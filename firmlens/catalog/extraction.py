@@ -16,7 +16,7 @@ from ..operators.extraction import (best_confidence, classify, confident, detect
 from ..operators.lifecycle import recount
 from ..operators.screening import score_of
 from ..params import DETAIL_COLUMNS, SIGNALS
-from .inputs import RESULTS_SQL, results, table
+from .inputs import RESULTS_SQL, results, table, texts
 
 # ---- answers made from events: a company per user and day ---------------------------------
 
@@ -24,7 +24,7 @@ from .inputs import RESULTS_SQL, results, table
 def _events(spark, sf) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
-    return table(spark, sf, "events").select(
+    return texts(spark, sf, "events").select(
         "event_id", k.alias("k"), kind,
         F.concat(F.lit("user_"), F.col("user_id"), F.lit("@"), F.date_format("ts", "MMdd"))
         .alias("company"),
@@ -261,7 +261,7 @@ PARSE_RESPONSE = f"""
 
 
 def score_parse(spark, sf):
-    ev = table(spark, sf, "events")
+    ev = texts(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     value = F.get(F.array(*map(F.lit, ('"4"', "4.7", "9", "0", "null", "true", '"x"', "2"))),
                   (F.col("event_id") % 8).cast("int"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .text import strip
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)` with the value computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -26,7 +26,7 @@ def parse_answer(raw: Column) -> Column:
     from the first to the last brace."""
     text = F.regexp_replace(strip(raw), r"\A```(?:json)?\s*", "")
     text = F.regexp_replace(strip(text), r"\s*```\z", "")
-    return _let(text, lambda t: F.coalesce(
+    return let(text, lambda t: F.coalesce(
         _as_object(t), _as_object(F.regexp_extract(t, r"(?s)\{.*\}", 0))))
 
 

@@ -9,14 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Python counts the four separator controls as whitespace, Java does not.
-_WS = r"[\s\x1c-\x1f]"
+# Every character that counts as whitespace at the ends of a text.
+_WHITESPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+               "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def strip(col: Column) -> Column:
-    """Whitespace off both ends, any kind. The look-behind keeps inner runs linear."""
-    return F.regexp_replace(col, rf"(?U)\A{_WS}+|(?<!{_WS}){_WS}+\z", "")
+    """Whitespace off both ends, any kind."""
+    return F.btrim(col, F.lit(_WHITESPACE))
 
 
 def is_blank(col: Column) -> Column:

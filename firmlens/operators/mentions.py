@@ -45,18 +45,28 @@ def _runs(text: Column, pattern: str | Column) -> Column:
     return F.regexp_extract_all(text, pattern, F.lit(1))
 
 
-def _text_pieces(text: Column, shapes: Sequence[tuple[int, int]]) -> Column:
-    """The distinct pieces of a text that have one of the anchors' shapes: (left, right) counts
-    of characters around a space, or (0, n) for a run of n."""
+def _text_hashes(texts: DataFrame, keep: Sequence[str],
+                 shapes: Sequence[tuple[int, int]]) -> DataFrame:
+    """`keep` columns and `anchor`, the hash of every piece of `_text` that has one of the
+    anchors' shapes: (left, right) counts of characters around a space, or (0, n) for a run.
+
+    A distinct surrounding of a space leaves the text once; the shapes are then cut from those
+    few characters. A hash joins faster than text, and the verification forgives a collision.
+    """
+    text = F.col("_text")
     pad = F.lit(" " * SIDE)
     around = _runs(F.concat(pad, text, pad), f"(?s)(?=(.{{{SIDE}}} .{{{SIDE}}}))")
-
-    def narrowed(a: int, b: int) -> Column:
-        return F.transform(around, lambda w: F.substring(w, SIDE + 1 - a, a + 1 + b))
-
-    pieces = [narrowed(a, b) for a, b in shapes if a]
-    pieces += [_runs(text, f"(?s)(?=(.{{{n}}}))") for a, n in shapes if not a]
-    return F.array_distinct(F.concat(*pieces))
+    sides = [(a, b) for a, b in shapes if a]
+    found = ([around] if sides else []) + [
+        _runs(text, f"(?s)(?=(.{{{n}}}))") for a, n in shapes if not a]
+    piece = F.col("_piece")
+    at_space = F.array(*[F.xxhash64(F.substring(piece, SIDE + 1 - a, a + 1 + b))
+                         for a, b in sides])
+    run = F.array(F.xxhash64(piece))
+    # Runs are shorter than a space with its surroundings.
+    hashes = (F.when(F.length(piece) > RUN, at_space).otherwise(run) if sides else run)
+    return (texts.select(*keep, F.explode(F.array_distinct(F.concat(*found))).alias("_piece"))
+            .select(*keep, F.explode(hashes).alias("anchor")))
 
 
 def _anchors(keys: DataFrame) -> DataFrame:
@@ -103,16 +113,17 @@ def mentions_substring(items: DataFrame, item_id: str, text: Column, companies:
     if not measured["shapes"]:
         return items.select(item_id).join(names.select("company"), F.lit(False))
     shapes = sorted((r["left"], r["right"]) for r in measured["shapes"])
-    anchors = anchors.select("key", "anchor")
+    anchors = anchors.select("key", F.xxhash64("anchor").alias("anchor"))
     texts = items.select(item_id, body.alias("_text"))
-    pieces = F.explode(_text_pieces(F.col("_text"), shapes)).alias("anchor")
     if measured["bytes"] <= broadcast_bytes:
         # The text rides along inside one stage; nothing is shuffled but the hits.
-        hits = (texts.select(item_id, "_text", pieces).join(F.broadcast(anchors), "anchor")
-                .filter(F.contains("_text", "key")).select(item_id, "key"))
+        hits = (_text_hashes(texts, [item_id, "_text"], shapes)
+                .join(F.broadcast(anchors), "anchor").filter(F.contains("_text", "key"))
+                .select(item_id, "key").distinct())
     else:
-        # Only ids and pieces are shuffled; candidates fetch their text back to be verified.
-        hits = (texts.select(item_id, pieces).join(anchors, "anchor").select(item_id, "key")
+        # Only ids and hashes are shuffled; candidates fetch their text back to be verified.
+        hits = (_text_hashes(texts, [item_id], shapes).join(anchors, "anchor")
+                .select(item_id, "key").distinct()
                 .join(texts, item_id).filter(F.contains("_text", "key"))
                 .select(item_id, "key"))
     return hits.join(names, "key").select(item_id, "company")

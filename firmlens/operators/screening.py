@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonio import int_field, parse_score_answer, text_field
+from ..functions.jsonio import int_field, let, parse_score_answer, text_field
 from ..functions.names import clean_name_light
 from ..functions.text import strip
 from ..params import (REASON_NO_CONTENT, REASON_NO_KEYWORD, REASON_PARSE_ERROR, SIGNAL_ROOTS,
@@ -67,7 +67,10 @@ def keyword_near_name(company: Column, text: Column, pattern: str | None = None)
 
 def score_of(raw: Column) -> Column:
     """(score, reason) of a short answer. Whatever cannot be read passes with a 3."""
-    obj = parse_score_answer(raw)
+    return let(parse_score_answer(raw), _score_fields)
+
+
+def _score_fields(obj: Column) -> Column:
     given = F.try_variant_get(obj, "$.score", "variant").isNotNull()
     number = int_field(obj, "score")
     broken = obj.isNull() | (given & number.isNull())

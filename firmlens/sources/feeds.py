@@ -114,7 +114,7 @@ def _items_of(source: str, doc: Column, company: Column) -> Column:
         return F.transform(doc["results"], lambda r: _item(
             r["url"], r["title"],
             F.coalesce(F.nullif(r["content"], F.lit("")), r["snippet"]), blank, blank))
-    raise ValueError(f"no JSON feed named {source!r}")
+    raise AssertionError(source)
 
 
 def json_items(df: DataFrame, payload: str, source: str, keys: Sequence[str],
@@ -122,6 +122,8 @@ def json_items(df: DataFrame, payload: str, source: str, keys: Sequence[str],
                min_extract: int = 50) -> DataFrame:
     """Items of one JSON feed. `page` keeps the head of each payload's list, before it is
     exploded; encyclopedia extracts shorter than `min_extract` are dropped."""
+    if source not in _SCHEMAS:
+        raise ValueError(f"no JSON feed named {source!r}")
     doc = F.from_json(F.col(payload), _SCHEMAS[source])
     name = F.col(company) if company else F.lit("")
     items = _items_of(source, F.col("_doc"), name)
