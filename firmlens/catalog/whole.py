@@ -23,12 +23,14 @@ def mention_contexts(spark, sf) -> DataFrame:
     assembled; companies nobody mentions keep an empty row."""
     docs = texts(spark, sf)
     companies = phrases(spark, sf).distinct()
-    hits = mentions_substring(docs, "doc_id", F.col("text"), companies)
-    found = hits.join(docs, "doc_id").select(
-        "company", "source", F.substring("source", 4, 9).cast("int").alias("source_rank"),
+    # What an item needs of its text is cut out beforehand, so no whole text is shuffled.
+    narrow = docs.select(
+        "doc_id", "text", "source", F.substring("source", 4, 9).cast("int").alias("source_rank"),
         F.lit(1).alias("query_rank"), F.col("doc_id").alias("item_rank"),
         F.md5("text").alias("url"), F.substring("text", 1, 60).alias("title"),
-        F.substring("text", 1, 400).alias("snippet"), "lang")
+        F.substring("text", 1, 400).alias("snippet"))
+    carried = [c for c in narrow.columns if c not in ("doc_id", "text")]
+    found = mentions_substring(narrow, "doc_id", F.col("text"), companies, carry=carried)
     kept = top_per_source(first_seen(found), 5)
     section = F.concat(F.lit("["), F.upper("source"), F.lit("] "), F.col("title"), F.lit("\n"),
                        F.col("url"), F.lit("\n"), F.col("snippet"))

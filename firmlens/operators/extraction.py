@@ -39,17 +39,25 @@ def _flag(name: str) -> Callable[[Column], Column]:
 
 
 def _first_pass(answers: DataFrame) -> DataFrame:
-    """(company, named, confidence) per readable chunk answer."""
-    named = {"named": lambda o: F.filter(F.coalesce(
+    """(company, signal, confidence, named) of the chunk answers, one row per signal and one
+    with a NULL signal for answers naming none.
+
+    Both users below take all four columns from it, so that their plans share its shuffle and
+    each answer is parsed once.
+    """
+    fields = {"_named": lambda o: F.filter(F.coalesce(
         F.try_variant_get(o, "$.detected", "array<string>"),
-        F.array().cast("array<string>")), lambda x: x.isNotNull())}
-    return read_answers(_of_pass(answers, "pass1"), {**named, "confidence": _confidence},
-                        ["company"])
+        F.array().cast("array<string>")), lambda x: x.isNotNull()), "_conf": _confidence}
+    return (read_answers(_of_pass(answers, "pass1"), fields, ["company"])
+            .select("company", "_conf", F.explode_outer("_named").alias("signal"))
+            .groupBy("company", "signal")
+            .agg(F.max("_conf").alias("confidence"), F.count("signal").alias("named")))
 
 
 def detections(answers: DataFrame) -> DataFrame:
     """(company, signal): every signal named by any chunk's answer, once."""
-    return _first_pass(answers).select("company", F.explode("named").alias("signal")).distinct()
+    named = (F.col("named") > 0) & F.col("confidence").isNotNull()
+    return _first_pass(answers).filter(named).select("company", "signal")
 
 
 def best_confidence(answers: DataFrame) -> DataFrame:
@@ -57,7 +65,7 @@ def best_confidence(answers: DataFrame) -> DataFrame:
     any chunk named a signal."""
     return _first_pass(answers).groupBy("company").agg(
         F.greatest(F.max("confidence"), F.lit(1)).alias("best"),
-        F.bool_or(F.size("named") > 0).alias("detected"))
+        (F.max("named") > 0).alias("detected"))
 
 
 def _second_pass(answers: DataFrame, minimum: int) -> DataFrame:

@@ -97,10 +97,13 @@ def _anchors(keys: DataFrame) -> DataFrame:
 
 def mentions_substring(items: DataFrame, item_id: str, text: Column, companies: DataFrame,
                        broadcast_bytes: int = BROADCAST_BYTES,
-                       normalise_text: bool = False) -> DataFrame:
-    """(item_id, company) where the cleaned name is a substring of the text, whatever the case.
+                       normalise_text: bool = False,
+                       carry: Sequence[str] = ()) -> DataFrame:
+    """(item_id, *carry, company) where the cleaned name is a substring of the text, whatever
+    the case.
 
-    Exact. `normalise_text` takes punctuation out of the text as it is out of the name.
+    Exact. `normalise_text` takes punctuation out of the text as it is out of the name. Columns
+    named in `carry` come along, which saves reading and joining the items again.
     """
     names = name_keys(companies)
     body = normalise_words(text) if normalise_text else F.lower(text)
@@ -111,27 +114,27 @@ def mentions_substring(items: DataFrame, item_id: str, text: Column, companies:
     measured = anchors.agg(F.collect_set(F.struct("left", "right")).alias("shapes"),
                            size.alias("bytes")).first()
     if not measured["shapes"]:
-        return items.select(item_id).join(names.select("company"), F.lit(False))
+        return items.select(item_id, *carry).join(names.select("company"), F.lit(False))
     shapes = sorted((r["left"], r["right"]) for r in measured["shapes"])
     anchors = anchors.select("key", F.xxhash64("anchor").alias("anchor"))
-    texts = items.select(item_id, body.alias("_text"))
+    texts = items.select(item_id, *carry, body.alias("_text"))
+    found = [item_id, *carry, "key"]
     if measured["bytes"] <= broadcast_bytes:
         # The text rides along inside one stage; nothing is shuffled but the hits.
-        hits = (_text_hashes(texts, [item_id, "_text"], shapes)
+        hits = (_text_hashes(texts, [item_id, *carry, "_text"], shapes)
                 .join(F.broadcast(anchors), "anchor").filter(F.contains("_text", "key"))
-                .select(item_id, "key").distinct())
+                .select(*found).dropDuplicates([item_id, "key"]))
     else:
         # Only ids and hashes are shuffled; candidates fetch their text back to be verified.
         hits = (_text_hashes(texts, [item_id], shapes).join(anchors, "anchor")
                 .select(item_id, "key").distinct()
-                .join(texts, item_id).filter(F.contains("_text", "key"))
-                .select(item_id, "key"))
-    return hits.join(names, "key").select(item_id, "company")
+                .join(texts, item_id).filter(F.contains("_text", "key")).select(*found))
+    return hits.join(names, "key").select(item_id, *carry, "company")
 
 
-def mentions_words(items: DataFrame, item_id: str, text: Column,
-                   companies: DataFrame) -> DataFrame:
-    """(item_id, company) where the cleaned name occurs as whole words, punctuation aside.
+def mentions_words(items: DataFrame, item_id: str, text: Column, companies: DataFrame,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """(item_id, *carry, company) where the cleaned name occurs as whole words, punctuation aside.
 
     Cheaper than the substring form and free of hits inside words; one equi-join on word
     n-grams of just the lengths that occur among the names.
@@ -141,13 +144,13 @@ def mentions_words(items: DataFrame, item_id: str, text: Column,
     sizes = sorted(r[0] for r in names.select(
         F.size(F.split("key", " ")).alias("n")).distinct().collect())
     if not sizes:
-        return items.select(item_id).join(names.select("company"), F.lit(False))
+        return items.select(item_id, *carry).join(names.select("company"), F.lit(False))
     words = F.col("_words")
     # Shifting the word array and zipping it with itself keeps long texts linear.
     grams = F.array_distinct(F.concat(*[_word_grams(words, n) for n in sizes]))
-    return (items.select(item_id, F.split(normalise_words(text), " ").alias("_words"))
-            .select(item_id, F.explode(grams).alias("key"))
-            .join(names, "key").select(item_id, "company"))
+    return (items.select(item_id, *carry, F.split(normalise_words(text), " ").alias("_words"))
+            .select(item_id, *carry, F.explode(grams).alias("key"))
+            .join(names, "key").select(item_id, *carry, "company"))
 
 
 def _word_grams(words: Column, n: int) -> Column:
@@ -158,6 +161,16 @@ def _word_grams(words: Column, n: int) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
+def attach_companies(items: DataFrame, item_id: str, companies: DataFrame,
+                     between: str = " ", words: bool = False) -> DataFrame:
+    """Feed items that belong to nobody yet (title, snippet), once per company whose name their
+    text mentions. `between` joins title and snippet."""
+    text = F.concat_ws(between, "title", "snippet")
+    match = mentions_words if words else mentions_substring
+    rest = [c for c in items.columns if c not in (item_id, "company")]
+    return match(items, item_id, text, companies, carry=rest)
+
+
 def any_word(words: Sequence[str]) -> str:
     """Pattern matching any of some words or phrases."""
     return "|".join(w.replace(".", r"\.") for w in words)

@@ -13,7 +13,8 @@ from firmlens.operators.evidence import (ITEM_ORDER, add_sections, assemble, ded
                                          dedupe_then_cap, merge_deep)
 from firmlens.operators.extraction import classify, single_pass, three_pass
 from firmlens.operators.lifecycle import category_counts, run_kpis, select_run
-from firmlens.operators.mentions import mentions_substring, mentions_words, unsearchable
+from firmlens.operators.mentions import (attach_companies, mentions_substring, mentions_words,
+                                         unsearchable)
 from firmlens.operators.screening import decide, keyword_near_name, keyword_pattern, score_of
 from firmlens.params import LAYERED_SOURCES, SIGNAL_ROOTS, SOURCES, Params
 
@@ -58,6 +59,20 @@ def test_word_mentions(spark):
     assert {r[0] for r in unsearchable(companies).collect()} == {n for n in names if not keys[n]}
 
 
+def test_feed_items_get_their_companies(spark):
+    items = spark.createDataFrame(
+        [(1, None, "Acme buys", "Bolt today", "u1"), (2, None, "quiet", "day", "u2"),
+         (3, None, "the ac", "me split", "u3")],
+        "id int, company string, title string, snippet string, url string")
+    companies = spark.createDataFrame([("Acme Inc.",), ("BOLT",)], "company string")
+    for words in (False, True):
+        got = attach_companies(items, "id", companies, words=words).select(
+            "id", "company", "url").collect()
+        assert {tuple(r) for r in got} == {(1, "Acme Inc.", "u1"), (1, "BOLT", "u1")}
+    joined = attach_companies(items, "id", companies, between="").filter("id = 3").collect()
+    assert [r["company"] for r in joined] == ["Acme Inc."]
+
+
 def test_mentions_of_no_one(spark):
     items = spark.createDataFrame([(1, "x")], "id int, t string")
     nobody = spark.createDataFrame([("Group",)], "company string")
