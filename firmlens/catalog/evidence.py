@@ -57,10 +57,10 @@ def url_dedupe_capped(spark, sf):
 
 
 # The turn-taking again, source by source: each level keeps what the earlier levels did not.
-def _capped_levels() -> str:
+def capped_levels(sources=SOURCES) -> str:
     parts = [f"WITH it AS (SELECT {_KEYS} FROM ({ITEMS_SQL})), k0 AS (SELECT * FROM it WHERE false)"]
     prev = "k0"
-    for s in SOURCES:
+    for s in sources:
         for q in range(1, s.queries + 1):
             name = f"k{s.rank}_{q}"
             raw = f"SELECT * FROM it WHERE source = '{s.name}' AND query_rank = {q}"
@@ -74,7 +74,7 @@ def _capped_levels() -> str:
                   WHERE NOT EXISTS (SELECT 1 FROM {prev} p
                                     WHERE p.company = r.company AND p.url = r.url)
                   QUALIFY row_number() OVER (PARTITION BY company, url ORDER BY item_rank) = 1"""
-            for m in SOURCES:
+            for m in sources:
                 if m.marks_all and m.rank < s.rank:
                     raw = f"""SELECT * FROM ({raw}) r WHERE NOT EXISTS (SELECT 1 FROM it b
                       WHERE b.source = '{m.name}' AND b.company = r.company AND b.url = r.url)"""
@@ -293,7 +293,7 @@ def _plan_sql() -> str:
 QUERIES = {
     "evidence_union": (evidence_union, EVIDENCE_UNION),
     "url_dedupe": (url_dedupe, f"SELECT {_KEYS} FROM ({FIRST_SEEN_SQL})"),
-    "url_dedupe_capped": (url_dedupe_capped, _capped_levels()),
+    "url_dedupe_capped": (url_dedupe_capped, capped_levels()),
     "topk_per_source": (topk_per_source, TOPK),
     "section_format": (section_format,
                        f"SELECT source, item_rank, section FROM ({sections_sql(ITEMS_SQL)})"),

@@ -371,21 +371,20 @@ _ECHO_SCHEMA = T.StructType([T.StructField("k", T.IntegerType()),
                              T.StructField("note", T.StringType())])
 
 
-def _reader():
-    import json
-
-    def read(row: dict) -> dict:
-        k = json.loads(row["props"])["k"]
-        if k % 10 == 0:
-            raise ValueError(f"cannot serve {k} " + "x" * 600)
-        return {"k": k, "note": f"{row['event_type']} {k}"}
-    return read
-
-
 def error_capture(spark, sf):
     """A failing step per row: one in ten rows raises and comes back as an error row."""
+    def reader():
+        import json
+
+        def read(row: dict) -> dict:
+            k = json.loads(row["props"])["k"]
+            if k % 10 == 0:
+                raise ValueError(f"cannot serve {k} " + "x" * 600)
+            return {"k": k, "note": f"{row['event_type']} {k}"}
+        return read
+
     ev = table(spark, sf, "events").select("event_id", "event_type", "props")
-    return score_batch(ev, _reader, _ECHO_SCHEMA, key="event_id")
+    return score_batch(ev, reader, _ECHO_SCHEMA, key="event_id")
 
 
 ERROR_CAPTURE = """

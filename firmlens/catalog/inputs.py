@@ -127,8 +127,8 @@ _SNIPPET = "CASE source WHEN 'edgar' THEN snippet " + " ".join(
     for s in SOURCES if s.snippet_chars) + " ELSE '' END"
 
 
-def sections_sql(rows: str) -> str:
-    """Item rows with their section text."""
+def sections_sql(rows: str, cut: str = _SNIPPET) -> str:
+    """Item rows with their section text, the snippet cut by an expression."""
     return f"""
   SELECT *, CASE source
     WHEN 'edgar' THEN '[SEC EDGAR ' || coalesce(nullif(domain, ''), '8-K') || '] ' || title
@@ -141,7 +141,7 @@ def sections_sql(rows: str) -> str:
          WHEN 'prnewswire' THEN 'PR NEWSWIRE' WHEN 'businesswire' THEN 'BUSINESS WIRE'
          ELSE 'BRAVE WEB' END || '] ' || title || ' (' || raw_date || ')' || chr(10) || url
       || chr(10) || cut END AS section
-  FROM (SELECT *, {_SNIPPET} AS cut FROM ({rows}))
+  FROM (SELECT *, {cut} AS cut FROM ({rows}))
 """
 
 

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from ..operators.evidence import ITEM_ORDER, add_sections, assemble, first_seen, top_per_source
 from ..operators.mentions import mentions_substring
-from ..params import SIGNALS, Params, Source
+from ..params import LAYERED_SOURCES, SIGNALS, Params, Source
 from ..plans.run import layered_fetch, run_results
+from .evidence import capped_levels
 from .extraction import _text
-from .inputs import LEXICON, PHRASE_KEYS_SQL, items, phrases, table, texts
+from .inputs import (ITEMS_SQL, LEXICON, PHRASE_KEYS_SQL, items, phrases, sections_sql, table,
+                     texts)
+from .texts import sanitise_sql, shorten_sql
 
 # The document sources as press feeds: src0 … src19, each cut to five items per company.
 PRESS = tuple(Source(f"src{i}", i, f"SRC{i}", f"SRC{i}", None, 5) for i in range(20))
@@ -108,13 +111,45 @@ def layered(spark, sf) -> DataFrame:
         F.col("company").alias("key"), F.lit(None).cast(record).alias("payload"),
         F.lit(None).cast("timestamp").alias("fetched_at"))
     out = layered_fetch(companies, cache, items(spark, sf),
-                        F.lit("2024-01-30 12:00:00").cast("timestamp"), stage2=True)
-    return out.select("company", "from_cache", "char_count", F.size("chunks").alias("chunks"),
+                        F.lit("2024-01-30 12:00:00").cast("timestamp"), stage2=True,
+                        full_entities=False)
+    return out.select("company", "from_cache", "char_count", "context",
                       F.array_join("sources", " ").alias("sources"), "headline_text")
 
 
+_CUT = "CASE source WHEN 'edgar' THEN snippet WHEN 'wikipedia' THEN substr(snippet, 1, 1200) " + " ".join(
+    f"WHEN '{s.name}' THEN {shorten_sql('snippet', s.snippet_chars)}"
+    for s in LAYERED_SOURCES if s.snippet_chars and s.at_sentence) + " ELSE '' END"
+_LAYERED_ITEMS = f"""
+  SELECT * REPLACE (
+    CASE WHEN source = 'wikipedia' THEN title ELSE {sanitise_sql('title')} END AS title,
+    {sanitise_sql('snippet')} AS snippet,
+    CASE WHEN source = 'edgar' THEN '8-K' ELSE domain END AS domain) FROM ({ITEMS_SQL})
+"""
+_KEPT = f"SELECT company, source, query_rank, item_rank FROM ({capped_levels(LAYERED_SOURCES)})"
+LAYERED = rf"""
+  WITH sec AS ({sections_sql(f"SELECT * FROM ({_LAYERED_ITEMS}) SEMI JOIN ({_KEPT}) USING (company, source, query_rank, item_rank)", _CUT)}),
+  ctx AS (
+    SELECT company, string_agg(section, chr(10) || chr(10) ORDER BY source_rank, query_rank,
+        item_rank) AS t, list(url ORDER BY source_rank, query_rank, item_rank) AS urls,
+      string_agg(list_filter(list_transform(string_split(section, chr(10)),
+        lambda line: regexp_replace(line, '^\s+|\s+$', '', 'g')),
+        lambda l: starts_with(l, '['))[1], chr(10)
+        ORDER BY source_rank, query_rank, item_rank) AS headline_text
+    FROM sec GROUP BY company),
+  firsts AS (
+    SELECT company, url, row_number() OVER (PARTITION BY company ORDER BY min(i)) AS n
+    FROM (SELECT company, unnest(urls) AS url, generate_subscripts(urls, 1) AS i FROM ctx)
+    GROUP BY company, url)
+  SELECT company, false AS from_cache, length(t) AS char_count, substr(t, 1, 15000) AS context,
+    (SELECT string_agg(url, ' ' ORDER BY n) FROM firsts f
+      WHERE f.company = ctx.company AND n <= 15) AS sources, headline_text
+  FROM ctx
+"""
+
+
 QUERIES = {
     "mention_contexts": (mention_contexts, MENTION_CONTEXTS),
     "full_run": (full_run, None),
-    "layered_fetch": (layered, None),
+    "layered_fetch": (layered, LAYERED),
 }

@@ -40,33 +40,26 @@ def tick(flag: Column) -> Column:
     return F.when(flag, "✓").otherwise("—")
 
 
+# Tags of the feeds whose items show a date, and of those that do not.
+DATED_TAGS = {"google_news": "GOOGLE NEWS", "guardian": "GUARDIAN",
+              "prnewswire": "PR NEWSWIRE", "businesswire": "BUSINESS WIRE",
+              "brave": "BRAVE WEB", "brave_news": "BRAVE NEWS"}
+UNDATED_TAGS = {"wikipedia": "WIKIPEDIA", "tavily": "TAVILY"}
+
+
 def section_text(source: Column, title: Column, raw_date: Column, url: Column,
                  snippet: Column, domain: Column) -> Column:
     """Text block of one item, laid out per source; expects the snippet already cut."""
-    def dated(tag: str) -> list[Column]:
-        return [F.lit(f"[{tag}] "), title, F.lit(" ("), raw_date, F.lit(")\n"), url,
-                F.lit("\n"), snippet]
-
-    def undated(tag: str) -> list[Column]:
-        return [F.lit(f"[{tag}] "), title, F.lit("\n"), url, F.lit("\n"), snippet]
-
-    layouts = {
-        # The filing's form type travels in `domain`.
-        "edgar": [F.lit("[SEC EDGAR "), F.coalesce(filled(domain), F.lit("8-K")), F.lit("] "),
-                  title, F.lit(" — "), raw_date, F.lit("\n"), snippet, F.lit("\n"), url],
-        "google_news": dated("GOOGLE NEWS"),
-        "gdelt": [F.lit("[GDELT] "), title, F.lit(" ("), raw_date, F.lit(") — "), domain,
-                  F.lit("\n"), url],
-        "guardian": dated("GUARDIAN"),
-        "prnewswire": dated("PR NEWSWIRE"),
-        "businesswire": dated("BUSINESS WIRE"),
-        "wikipedia": undated("WIKIPEDIA"),
-        "brave": dated("BRAVE WEB"),
-        "brave_news": dated("BRAVE NEWS"),
-        "tavily": undated("TAVILY"),
-    }
-    out = None
-    for name, parts in layouts.items():
-        block = F.concat(*parts)
-        out = F.when(source == name, block) if out is None else out.when(source == name, block)
-    return out
+    tags = {**DATED_TAGS, **UNDATED_TAGS}
+    tag = F.try_element_at(F.create_map(*[F.lit(x) for pair in tags.items() for x in pair]),
+                           source)
+    date = F.when(source.isin(*DATED_TAGS), F.concat(F.lit(" ("), raw_date, F.lit(")"))
+                  ).otherwise("")
+    filing = F.concat(  # the filing's form type travels in `domain`
+        F.lit("[SEC EDGAR "), F.coalesce(filled(domain), F.lit("8-K")), F.lit("] "), title,
+        F.lit(" — "), raw_date, F.lit("\n"), snippet, F.lit("\n"), url)
+    listed = F.concat(F.lit("[GDELT] "), title, F.lit(" ("), raw_date, F.lit(") — "), domain,
+                      F.lit("\n"), url)
+    told = F.concat(F.lit("["), tag, F.lit("] "), title, date, F.lit("\n"), url, F.lit("\n"),
+                    snippet)
+    return F.when(source == "edgar", filing).when(source == "gdelt", listed).otherwise(told)

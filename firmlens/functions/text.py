@@ -29,9 +29,11 @@ def lines(col: Column) -> Column:
     return F.transform(F.split(col, _LINE_END), strip)
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _unescape(col: Column) -> Column:
+    # A local function travels by value: workers need no copy of this package.
+    def unescape(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+    return F.pandas_udf(unescape, StringType())(col)
 
 
 def decode_entities(col: Column, full: bool = True) -> Column:
@@ -61,12 +63,13 @@ def sanitise(col: Column, full_entities: bool = True) -> Column:
     return strip(text)
 
 
-def shorten(col: Column, n: int) -> Column:
+def shorten(col: Column, n: int | Column) -> Column:
     """Cut to `n` characters, back to the last sentence end if that lies past the middle."""
-    cut = F.substring(col, 1, n)
+    n = F.lit(n) if isinstance(n, int) else n
+    cut = F.substring(col, F.lit(1), n)
     tail = F.locate(" .", F.reverse(cut))  # distance of the last ". " from the end
-    at_sentence = F.when((tail > 0) & (F.lit(n) - tail - 1 > n // 2),
-                         F.substring(cut, F.lit(1), F.lit(n) - tail)).otherwise(cut)
+    at_sentence = F.when((tail > 0) & (n - tail - 1 > F.floor(n / 2)),
+                         F.substring(cut, F.lit(1), n - tail)).otherwise(cut)
     return F.when(F.length(col) > n, F.concat(at_sentence, F.lit(" …"))).otherwise(col)
 
 

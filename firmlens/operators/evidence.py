@@ -18,6 +18,8 @@ from ..functions.text import first_headlines, headline_lines, paragraph_chunks,
 from ..params import SOURCES, Params, Source
 
 ITEM_ORDER = ("source_rank", "query_rank", "item_rank", "url")
+# Fixed value: characters of a snippet from the news tab of the web search.
+NEWS_TAB_CHARS = 400
 _ITEM_DEFAULTS = {
     "query_rank": 1, "url": "", "title": "", "snippet": "",
     "domain": "", "raw_date": "",
@@ -146,9 +148,8 @@ def dedupe_capped(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Data
     grouped = candidates.groupBy("company").agg(
         F.sort_array(F.collect_list(F.struct(*ITEM_ORDER, *rest))).alias("_all"))
     return (grouped.withColumn("_kept", _take_turns(F.col("_all"), sources))
-            .select("company", F.explode("_kept").alias("_i"), "_all")
-            .select("company", F.get("_all", F.col("_i")).alias("_x"))
-            .select("company", "_x.*").select(*items.columns))
+            .select("company", F.inline(F.transform("_kept", lambda i: F.get("_all", i))))
+            .select(*items.columns))
 
 
 def _drop_taken(part: DataFrame, items: DataFrame, sources: Sequence[Source]) -> DataFrame:
@@ -201,16 +202,20 @@ def add_sections(items: DataFrame, sources: Sequence[Source] = SOURCES,
                  at_sentence: bool = False) -> DataFrame:
     """Text block of each item, its snippet cut to the source's length (at a sentence end, if
     asked)."""
-    limit = per_source(sources, lambda s: s.snippet_chars, None)
-    cut = F.when(limit.isNull(), F.col("snippet"))
-    for n in sorted({s.snippet_chars for s in sources if s.snippet_chars}):
-        cut = cut.when(limit == n, shorten(F.col("snippet"), n) if at_sentence
-                       else F.substring("snippet", 1, n))
-    cut = cut.otherwise(F.lit(""))
+    # One cut with a length per source; no limit means the whole snippet.
+    text, whole = F.col("snippet"), 2 ** 30
+    limit = F.when((F.col("source") == "brave") & (F.col("domain") == "news"),
+                   F.lit(NEWS_TAB_CHARS)).otherwise(per_source(
+                       sources, lambda s: whole if s.snippet_chars is None else s.snippet_chars,
+                       whole))
+    shown = F.substring(text, F.lit(1), limit)
+    if at_sentence:
+        hard = [s.name for s in sources if not s.at_sentence or not s.snippet_chars]
+        shown = F.when(F.col("source").isin(hard), shown).otherwise(shorten(text, limit))
     layout = F.when((F.col("source") == "brave") & (F.col("domain") == "news"),
                     F.lit("brave_news")).otherwise(F.col("source"))
     return items.withColumn("section", section_text(
-        layout, F.col("title"), F.col("raw_date"), F.col("url"), cut, F.col("domain")))
+        layout, F.col("title"), F.col("raw_date"), F.col("url"), shown, F.col("domain")))
 
 
 def source_breakdown(sections: DataFrame, joined: bool = True) -> DataFrame:

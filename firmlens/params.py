@@ -68,6 +68,7 @@ class Source:
     skip_empty items without a URL are dropped
     checks     items whose URL an earlier source kept are dropped
     marks_all  every URL handed over counts as seen for later sources, kept or not
+    at_sentence  where snippets are cut at sentence ends, this source's are too
     """
 
     name: str
@@ -82,6 +83,7 @@ class Source:
     checks: bool = True
     marks_all: bool = False
     snippet_chars: int | None = 400
+    at_sentence: bool = True
 
 
 # Feeds in priority order (the single-stage path).
@@ -94,7 +96,7 @@ SOURCES = (
     Source("prnewswire", 5, "PR NEWSWIRE", "PR NEWSWIRE", None, 4, skip_empty=False),
     Source("businesswire", 6, "BUSINESS WIRE", "BUSINESS WIRE", None, 4, skip_empty=False),
     Source("wikipedia", 7, "WIKIPEDIA", "WIKIPEDIA", None, 1, skip_empty=False,
-           snippet_chars=1200),
+           snippet_chars=1200, at_sentence=False),
     Source("brave", 8, "BRAVE WEB", "BRAVE", None, 8, marks_all=True, snippet_chars=500),
     Source("tavily", 9, "TAVILY", "TAVILY DEEP SEARCH", 5, None, queries=5, snippet_chars=800),
 )

@@ -11,6 +11,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import sanitise
 from ..operators.evidence import (add_sections, assemble, cut_snippets, dedupe_capped,
                                   dedupe_then_cap, merge_deep)
 from ..operators.extraction import classify
@@ -67,8 +68,22 @@ def run_results(companies: DataFrame, items: DataFrame, screen_answers: DataFram
     return classify(contexts, answers, params)
 
 
+def layered_items(items: DataFrame, full_entities: bool = True) -> DataFrame:
+    """Items as the cached path shows them: titles and snippets sanitised, feed dates cut,
+    filings all under one form type."""
+    source = F.col("source")
+    feeds = source.isin("google_news", "prnewswire", "businesswire")
+    return items.withColumns({
+        "title": F.when(source == "wikipedia", F.col("title"))
+                  .otherwise(sanitise(F.col("title"), full_entities)),
+        "snippet": sanitise(F.col("snippet"), full_entities),
+        "raw_date": F.when(feeds, F.substring("raw_date", 1, 22)).otherwise(F.col("raw_date")),
+        "domain": F.when(source == "edgar", "8-K").otherwise(F.col("domain"))})
+
+
 def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_of: Column,
-                  params: Params = Params(), stage2: bool = False) -> DataFrame:
+                  params: Params = Params(), stage2: bool = False,
+                  full_entities: bool = True) -> DataFrame:
     """The cached path: fresh cache entries as they are, every other company assembled from
     landed items, with paragraph chunks. `payload` of a cache entry is the record (RECORD)."""
     sources = LAYERED_SOURCES if stage2 else tuple(
@@ -79,7 +94,8 @@ def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_o
     hits = fetch_cache.lookup(names, cache, as_of, p, stage).select(
         "company", *[F.col(f"payload.{c}").alias(c) for c in RECORD], "from_cache")
     missing = fetch_cache.misses(names, cache, as_of, p, stage).select("company")
-    mine = cut_snippets(items, sources).join(missing, "company", "left_semi")
+    mine = items.join(missing, "company", "left_semi")
+    mine = cut_snippets(layered_items(mine, full_entities), sources)
     packed = assemble(add_sections(dedupe_capped(mine, sources), sources, at_sentence=True), p,
                       headers=False, first_lines=True, chunks=True)
     none = F.array().cast("array<string>")
