@@ -53,7 +53,8 @@ def url_dedupe(spark, sf):
 
 
 def url_dedupe_capped(spark, sf):
-    return dedupe_capped(items(spark, sf)).select(*KEYS)
+    # Grouped rows carry what they are given, so they are given the keys alone.
+    return dedupe_capped(items(spark, sf).select(*KEYS))
 
 
 # The turn-taking again, source by source: each level keeps what the earlier levels did not.
