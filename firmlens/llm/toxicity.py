@@ -1,7 +1,7 @@
 """Toxicity scores: a factorization machine over hashed terms.
 
-A text becomes the set of its lower-cased words, each hashed to 32 bits. Terms whose presence goes
-with the label (chi-squared over the training rows) form the vocabulary; the machine gives each a
+A text becomes the set of its lower-cased words and of their beginnings, each hashed to 32 bits.
+Terms whose presence goes with the label (chi-squared over the training rows) form the vocabulary; the machine gives each a
 weight and a factor vector, so that pairs of terms add what neither adds alone.
 
 Null and empty texts have no term and get the bias alone. Counts, lengths and repeats of a word do
@@ -24,12 +24,17 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from .common import Scratch, bounded_labels, learnable, replace_columns, small_or_shuffled
 
+#: Lengths of the word beginnings that are terms of their own.
+HEADS = (3, 4, 5, 7)
 _WORD = re.compile(r"\w+")
 
 
 def term_hashes(text: str | None) -> list[int]:
-    """The 32-bit hashes of a text's distinct lower-cased words."""
-    return [zlib.crc32(w.encode()) for w in set(_WORD.findall((text or "").lower()))]
+    """The 32-bit hashes of a text's distinct terms: lower-cased words, and their beginnings, which
+    carry the stems of inflected insults."""
+    words = set(_WORD.findall((text or "").lower()))
+    heads = {w[:k] + "*" for w in words for k in HEADS if len(w) > k}
+    return [zlib.crc32(w.encode()) for w in words] + [zlib.crc32(h.encode()) for h in heads]
 
 
 @pandas_udf(ArrayType(LongType()))
