@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (licenses, line_runs, mixing, outliers, pieces, quality_rank, toxicity)
+from . import (dart_minhash, licenses, line_runs, mixing, outliers, pieces, quality_rank, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_line_dedup(spark, sf_dir):
     return line_runs.line_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_near_duplicates(spark, sf_dir):
+    return dart_minhash.near_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_pieces(spark, sf_dir):
     return pieces.encoded_documents(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_mixing": (op2_mixing, mixing.MIX_SQL),
     "op3_line_dedup": (op3_line_dedup, line_runs.LINE_SQL),
+    "op4_near_duplicates": (op4_near_duplicates, None),
     "op5_pieces": (op5_pieces, None),
     "op6_licenses": (op6_licenses, licenses.license_sql()),
     "op8_quality": (op8_quality, None),
