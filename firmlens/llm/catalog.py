@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (dart_minhash, licenses, line_runs, mixing, outliers, pieces, quality_rank, toxicity)
+from . import (dart_minhash, licenses, line_runs, mixing, outliers, permutation_index, pieces,
+               quality_rank, sentence_spans, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op6_licenses(spark, sf_dir):
     return licenses.license_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_sentence_spans(spark, sf_dir):
+    return sentence_spans.span_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark, sf_dir):
     return quality_rank.quality_documents(_table(spark, sf_dir, "documents"),
                                           _table(spark, sf_dir, "labels"))
@@ -45,6 +50,10 @@ def op9_outliers(spark, sf_dir):
     return outliers.judged(_table(spark, sf_dir, "documents"))
 
 
+def op10_nearest(spark, sf_dir):
+    return permutation_index.search(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_mixing": (op2_mixing, mixing.MIX_SQL),
@@ -52,6 +61,8 @@ QUERIES = {
     "op4_near_duplicates": (op4_near_duplicates, None),
     "op5_pieces": (op5_pieces, None),
     "op6_licenses": (op6_licenses, licenses.license_sql()),
+    "op7_sentence_spans": (op7_sentence_spans, None),
     "op8_quality": (op8_quality, None),
     "op9_outliers": (op9_outliers, None),
+    "op10_nearest": (op10_nearest, None),
 }
