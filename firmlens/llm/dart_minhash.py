@@ -252,7 +252,8 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
                        .groupBy("node").agg(F.any_value("elements").alias("elements")), "sets")
 
     def canonical(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+        return pairs.select(F.least("u", "v").alias("a"),
+                            F.greatest("u", "v").alias("b")).distinct()
 
     star = canonical(members.where("node <> centre").select(F.col("node").alias("u"),
                                                             F.col("centre").alias("v")))
@@ -265,7 +266,8 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
         split = (placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
                  .where("r1 <> r2").select("bucket"))
         salt = F.pmod(F.xxhash64(F.lit(k), "node"), F.ceil(F.col("n") / part))
-        order = Window.partitionBy("bucket", "salt").orderBy(F.xxhash64(F.lit(-k), "node", "bucket"))
+        at_random = F.xxhash64(F.lit(-k), "node", "bucket")
+        order = Window.partitionBy("bucket", "salt").orderBy(at_random, "node")
         open_ = placed.join(split, "bucket", "left_semi").withColumn("salt", salt)
         near = F.array(*[F.struct(F.lag("node", i).over(order).alias("v"),
                                   F.lag("root", i).over(order).alias("r")) for i in (1, 2, 3)])
@@ -307,7 +309,8 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     """One document of each class, whole, with the columns it had. Documents without a word stay."""
     kept = near_classes(docs.select("doc_id", "text"), **params).where("kept")
     kept = Scratch(docs.sparkSession, "kept").put(
-        kept.select(F.col("doc_id").alias("__doc"), F.hex("node").alias("__node")).distinct(), "ids")
+        kept.select(F.col("doc_id").alias("__doc"), F.hex("node").alias("__node")).distinct(),
+        "ids")
     node = F.hex(_node_udf(F.col("text")))
     rows = docs.withColumn("__own", node).join(
         small_or_shuffled(kept, 200_000), docs["doc_id"].cast("long").eqNullSafe(F.col("__doc"))

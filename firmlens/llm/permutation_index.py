@@ -102,16 +102,16 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, n_pivots: int = 128
     n_chunks = {dim: max(1, -(-r["q"] // chunk)) for dim, r in dims.items()}
 
     def per_dim(numbers: dict):
-        pairs = [x for d, n in numbers.items() for x in (F.lit(d), F.lit(n))]
-        return F.create_map(*pairs)[F.col("dim")] if pairs else F.lit(1)
+        pairs = [x for d, n in numbers.items() for x in (F.lit(d), F.lit(n).cast("long"))]
+        return F.create_map(*pairs)[F.col("dim")] if pairs else F.lit(1).cast("long")
 
     index = rows.select(
-        "dim", F.pmod(F.xxhash64("vec_id"), per_dim(n_blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), per_dim(n_chunks) - 1)).cast("int").alias("chunk"),
+        "dim", F.pmod(F.xxhash64("vec_id"), per_dim(n_blocks)).cast("long").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), per_dim(n_chunks) - 1)).alias("chunk"),
         "vec_id", "v")
     asked = rows.where(F.col("vec_id") % every == 0).select(
-        "dim", F.explode(F.sequence(F.lit(0), per_dim(n_blocks) - 1)).cast("int").alias("block"),
-        F.pmod(F.xxhash64(F.lit(5), "vec_id"), per_dim(n_chunks)).cast("int").alias("chunk"),
+        "dim", F.explode(F.sequence(F.lit(0).cast("long"), per_dim(n_blocks) - 1)).alias("block"),
+        F.pmod(F.xxhash64(F.lit(5), "vec_id"), per_dim(n_chunks)).cast("long").alias("chunk"),
         "vec_id", "v")
 
     def group(key, left: pa.Table, right: pa.Table) -> pa.Table:

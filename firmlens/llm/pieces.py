@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -164,23 +165,27 @@ def encode_parts(parts: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray,
     begin = np.cumsum(sizes + 1) - sizes - 1
     codes[(begin + sizes)[:-1]] = _GAP
     piece, start = lattice(codes, vocabulary)
-    ends = (start + vocabulary.lengths[piece]).tolist()
+    ends = start + vocabulary.lengths[piece]
     boundary = bytearray(b"\1") * (len(codes) + 1)
     nothing = [bytes(k) for k in range(vocabulary.width + 1)]
     chars, at = np.unique(codes, return_inverse=True)
-    token = np.array([vocabulary.single.get(int(c), -1) for c in chars], "i8")[at].tolist()
-    for i, j, number in zip(start.tolist(), ends, vocabulary.ids[piece].tolist()):
-        if boundary[i] and boundary[j]:
-            token[i] = number
-            i += 1
-            if i + 1 == j:
-                boundary[i] = 0
-            else:
-                boundary[i:j] = nothing[j - i]
+    single = np.array([vocabulary.single.get(int(c), -1) for c in chars], "i4")
+    token = array("i", single[at].tobytes())
+    for k in range(0, len(start), 250_000):
+        some = slice(k, k + 250_000)
+        for i, j, number in zip(start[some].tolist(), ends[some].tolist(),
+                                vocabulary.ids[piece[some]].tolist()):
+            if boundary[i] and boundary[j]:
+                token[i] = number
+                i += 1
+                if i + 1 == j:
+                    boundary[i] = 0
+                else:
+                    boundary[i:j] = nothing[j - i]
     is_start = np.frombuffer(boundary, "u1")[:-1].astype(bool)
     is_start[(begin + sizes)[:-1]] = False
     starts = np.flatnonzero(is_start)
-    ids = np.array(token, "i8")[starts]
+    ids = np.frombuffer(token, "i4")[starts].astype("i8")
     owner = np.searchsorted(begin, starts, side="right") - 1
     raw = ids < 0
     if raw.any():
@@ -197,7 +202,7 @@ class Encoder:
     """Encodes batch after batch. Parts met before keep their ids, until `most_parts` are known;
     then all are forgotten, so memory stays bounded."""
 
-    def __init__(self, vocabulary: Vocabulary, most_parts: int = 700_000):
+    def __init__(self, vocabulary: Vocabulary, most_parts: int = 400_000):
         self.vocabulary, self.most_parts = vocabulary, most_parts
         self.forget()
 
@@ -209,12 +214,12 @@ class Encoder:
         """Ids of all texts end to end, and the number of ids of each text (0 for null)."""
         if len(self.index) > self.most_parts:
             self.forget()
-        index, known, used = self.index, len(self.index), []
+        index, known, used = self.index, len(self.index), array("i")
         parts_of = np.zeros(len(texts), "i8")
         for k, text in enumerate(texts):
             if text:
                 parts = _PARTS.findall(SPACE + text.replace(" ", SPACE))
-                used += [index.setdefault(p, len(index)) for p in parts]
+                used.extend([index.setdefault(p, len(index)) for p in parts])
                 parts_of[k] = len(parts)
         if not used:
             return np.array([], "i4"), np.zeros(len(texts), "i8")
@@ -223,7 +228,7 @@ class Encoder:
             self.ids = np.concatenate([self.ids, ids])
             self.sizes = np.concatenate([self.sizes, sizes])
         begin = np.cumsum(self.sizes) - self.sizes
-        rows = np.array(used, "i8")
+        rows = np.frombuffer(used, "i4")
         width = self.sizes[rows]
         ends = np.cumsum(width)
         out = self.ids[np.repeat(begin[rows] - ends + width, width) + np.arange(ends[-1])]
@@ -248,7 +253,7 @@ def _slices(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: str = "tokens",
-           batch_chars: int = 6_000_000) -> DataFrame:
+           batch_chars: int = 4_000_000) -> DataFrame:
     """`docs` with the ids of the whole text as array<int>; no special tokens are added."""
     vocabulary = Vocabulary.load(model or default_model())
     kept = [f for f in docs.schema.fields if f.name.lower() != ids.lower()]

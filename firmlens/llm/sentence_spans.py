@@ -1,8 +1,8 @@
 """Substring dedup over sliding spans of sentences.
 
-A text is cut after sentence ends and line ends. A span is a run of at least two sentences: from each
-sentence the shortest run of at least `min_words` words, and, for a sentence that no such run ends
-with, the shortest run back from it. So any passage of so many words that two texts share is covered
+A text is cut after sentence ends and line ends. A span is a run of at least two sentences (a very
+long sentence may stand alone): from each sentence the shortest run of at least `min_words` words,
+and, for a sentence that no such run ends with, the shortest run back from it. So any passage of so many words that two texts share is covered
 by spans that lie within it, whatever stands around it. Spans are hashed, words lower-cased and
 blanks made equal, and joined over the corpus; every span that is not in its first place costs the
 sentences it covers. The first place of a span is its first in the document with the least doc_id.
@@ -28,6 +28,8 @@ from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, Str
 from .common import Scratch, replace_columns
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*")
+#: A sentence of so many words is a span by itself; not below any `min_words`.
+LONE_WORDS = 25
 #: Stands for a null doc_id in keys, after all ids.
 _LAST = 2 ** 63 - 1
 
@@ -54,7 +56,8 @@ def spans(parts: list[str], min_words: int) -> list[tuple[int, int, int]]:
     n, runs, end = len(keys), [], 1
     ends = set()
     for start in range(n):
-        end = max(end, start + 2)
+        lone = upto[start + 1] - upto[start] >= LONE_WORDS
+        end = max(end, start + (1 if lone else 2))
         while end <= n and upto[end] - upto[start] < min_words:
             end += 1
         if end > n:

@@ -1,8 +1,9 @@
 """Toxicity scores: a factorization machine over hashed terms.
 
 A text becomes the set of its lower-cased words and of their beginnings, each hashed to 32 bits.
-Terms whose presence goes with the label (chi-squared over the training rows) form the vocabulary; the machine gives each a
-weight and a factor vector, so that pairs of terms add what neither adds alone.
+Terms whose presence goes with the label (chi-squared over the training rows) form the vocabulary;
+the machine gives each a weight and a factor vector, so that pairs of terms add what neither adds
+alone.
 
 Null and empty texts have no term and get the bias alone. Counts, lengths and repeats of a word do
 not matter, and texts are read whole. An empty corpus gives an empty result; without training rows
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, LongType
@@ -145,16 +146,26 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, max_terms: int
     return train(vocabulary, positions, table["label"].to_numpy("f8"), **training)
 
 
-def score(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.5) -> DataFrame:
-    """`docs` with score (0 to 1) and predicted (1 from the threshold on) of every whole text."""
+def score_of(text: Column, model: FactorizationMachine) -> Column:
+    """The score, 0 to 1, of every whole text."""
 
     @pandas_udf(DoubleType())
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(model.score(texts))
 
-    scored_docs = replace_columns(docs, score=scored(F.col("text")))
-    return replace_columns(scored_docs,
-                           predicted=(F.col("score") >= threshold).cast("int"))
+    return scored(text)
+
+
+def score(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.5) -> DataFrame:
+    """`docs` with score and predicted (1 from the threshold on)."""
+    scored = replace_columns(docs, score=score_of(F.col("text"), model))
+    return replace_columns(scored, predicted=(F.col("score") >= threshold).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, bound: int = 20_000,
+               threshold: float = 0.5) -> DataFrame:
+    """The rows of `docs` whose score is below the threshold, as they were."""
+    return docs.where(score_of(F.col("text"), fit(docs, labels, bound)) < threshold)
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, bound: int = 20_000) -> DataFrame:
