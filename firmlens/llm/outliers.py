@@ -3,7 +3,8 @@
 Every text gets four counts; base rules reject short and repetitive texts. The others are judged by
 their language and source: the statistics are transformed to be about normal, a minimum covariance
 determinant estimate (concentration steps over the half of the group that lies nearest) gives centre
-and scatter, and a text whose Mahalanobis distance is beyond `cut` is rejected.
+and scatter, and a text whose squared Mahalanobis distance is beyond `cut` is rejected. Distances
+are scaled down, never up, so that their median is that of the chi-squared distribution.
 
 Each step is one aggregation of a narrow table over (lang, source), partial before its shuffle, and
 a join with a few numbers for each group; a group of any size is spread over all tasks. A group of
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import BLANK, Scratch, let, small_or_shuffled
 
 WINDOW = 8
+#: Median of the chi-squared distribution with as many degrees of freedom as there are statistics.
+MEDIAN = 4.35
 
 
 def _present(pieces: Column) -> Column:
@@ -113,7 +116,7 @@ def _distance(rows: DataFrame, estimates: DataFrame, p: int) -> DataFrame:
     return joined.withColumn("d2", total).select(*rows.columns, "d2")
 
 
-def judged(docs: DataFrame, steps: int = 3, half: float = 0.5, cut: float = 25.0,
+def judged(docs: DataFrame, steps: int = 3, half: float = 0.5, cut: float = 50.0,
            least_group: int = 100, ridge: tuple[float, ...] = (0.3, 0.3, 0.5, 1.0, 0.7)
            ) -> DataFrame:
     """doc_id, the counts, base_failed, distance (null if base_failed) and kept of every text."""
@@ -158,7 +161,7 @@ def judged(docs: DataFrame, steps: int = 3, half: float = 0.5, cut: float = 25.0
     final = stats.withColumn("g", F.coalesce("g", F.lit("")))
     scored = _distance(final.where("not base_failed"), estimate, p)
     scored = scored.join(small_or_shuffled(last, 20_000), "g").withColumn(
-        "distance", F.col("d2") / F.greatest("middle", F.lit(1e-6)))
+        "distance", F.col("d2") / F.greatest(F.col("middle") / MEDIAN, F.lit(1.0)))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                "base_failed"]
     return (scored.select(*columns, "distance", (F.col("distance") <= cut).alias("kept"))

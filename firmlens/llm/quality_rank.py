@@ -105,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, column: str = "
              .select("doc_id", "label", _statistics("text").alias("stats"))
              .orderBy("doc_id", "stats").toPandas())
     scratch.drop()
-    stats = np.array(table["stats"].tolist(), "f8").reshape(len(table), -1)
+    stats = np.array(table["stats"].tolist(), "f8").reshape(-1, WIDTH)
     return train(stats, table["label"].to_numpy("f8"), **training)
 
 
@@ -114,7 +114,7 @@ def score(docs: DataFrame, model: BradleyTerry, threshold: float = 0.3) -> DataF
 
     @pandas_udf(DoubleType())
     def scored(texts: pd.Series) -> pd.Series:
-        stats = np.array([statistics(t) for t in texts], "f8").reshape(len(texts), WIDTH)
+        stats = np.array([statistics(t) for t in texts], "f8").reshape(-1, WIDTH)
         return pd.Series(model.score(stats))
 
     scored_docs = replace_columns(docs, score=scored(F.col("text")))
