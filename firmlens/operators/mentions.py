@@ -1,7 +1,9 @@
 """Which items mention which companies.
 
-No mode compares every text with every name. Each name gets one short anchor; texts are taken
-apart into pieces of the same lengths, joined to the anchors by equality, and the hits verified.
+No text is compared with every name. Each name gets one anchor word; the distinct words of the texts
+are matched against the anchors once, texts meet the matched words by equality, and every hit is
+verified on the whole text. The plan is the same whatever the sizes; Spark alone decides at run
+time which sides are small enough to be sent around.
 """
 
 from __future__ import annotations
@@ -13,12 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.names import clean_name, normalise_words
 
-SIDE, RUN = 4, 8
-# Anchors are broadcast only while their measured size stays under this.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_OVERHEAD = 64
-
-
 def name_keys(companies: DataFrame, cleaned: bool = True) -> DataFrame:
     """(company, key): lower-case cleaned names. A name that cleans to nothing would be found
     in every text and is dropped; `unsearchable` lists those."""
@@ -34,131 +30,98 @@ def unsearchable(companies: DataFrame) -> DataFrame:
 
 # ---- anchors ------------------------------------------------------------------------------
 #
-# A name of several words can only be found where its spaces meet spaces of the text, so its
-# anchor is one of its spaces with up to four characters of the name on either side. A one-word name
-# may sit anywhere inside a word; its anchor is a run of up to eight of its characters.
-
-
-def _runs(text: Column, pattern: str | Column) -> Column:
-    """Group 1 at every position where a pattern matches ahead; one pass over the text."""
-    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    return F.regexp_extract_all(text, pattern, F.lit(1))
-
-
-def _text_hashes(texts: DataFrame, keep: Sequence[str],
-                 shapes: Sequence[tuple[int, int]]) -> DataFrame:
-    """`keep` columns and `anchor`, the hash of every piece of `_text` that has one of the
-    anchors' shapes: (left, right) counts of characters around a space, or (0, n) for a run.
-
-    A distinct surrounding of a space leaves the text once; the shapes are then cut from those
-    few characters. A hash joins faster than text, and the verification forgives a collision.
-    """
-    text = F.col("_text")
-    pad = F.lit(" " * SIDE)
-    around = _runs(F.concat(pad, text, pad), f"(?s)(?=(.{{{SIDE}}} .{{{SIDE}}}))")
-    sides = [(a, b) for a, b in shapes if a]
-    found = ([around] if sides else []) + [
-        _runs(text, f"(?s)(?=(.{{{n}}}))") for a, n in shapes if not a]
-    piece = F.col("_piece")
-    at_space = F.array(*[F.xxhash64(F.substring(piece, SIDE + 1 - a, a + 1 + b))
-                         for a, b in sides])
-    run = F.array(F.xxhash64(piece))
-    # Runs are shorter than a space with its surroundings.
-    hashes = (F.when(F.length(piece) > RUN, at_space).otherwise(run) if sides else run)
-    return (texts.select(*keep, F.explode(F.array_distinct(F.concat(*found))).alias("_piece"))
-            .select(*keep, F.explode(hashes).alias("anchor")))
-
-
-def _anchors(keys: DataFrame) -> DataFrame:
-    """(key, anchor, left, right): of each key's possible anchors the longest, and of those the
-    one shared by the fewest keys, so that names with a common beginning do not all answer
-    to it."""
-    length = F.length("key")
-
-    def at_space(i: Column) -> Column:
-        a, b = F.least(i - 1, F.lit(SIDE)), F.least(length - i, F.lit(SIDE))
-        return F.struct(a.alias("left"), b.alias("right"),
-                        F.substring(F.col("key"), i - a, a + 1 + b).alias("anchor"))
-
-    spaces = F.transform(F.filter(F.sequence(F.lit(1), length),
-                                  lambda i: F.substring(F.col("key"), i, F.lit(1)) == " "),
-                         at_space)
-    n = F.least(F.length("key"), F.lit(RUN))
-    runs = F.transform(
-        _runs(F.col("key"), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))),
-        lambda r: F.struct(F.lit(0).alias("left"), n.alias("right"), r.alias("anchor")))
-    options = keys.select("key", F.inline(F.array_distinct(
-        F.when(F.size(spaces) > 0, spaces).otherwise(runs))))
-    spread = options.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"))
-    best = F.min(F.struct(-F.length("anchor"), "_n", "anchor", "left", "right")).alias("_b")
-    return (options.join(spread, "anchor").groupBy("key").agg(best)
-            .select("key", "_b.anchor", "_b.left", "_b.right"))
+# Words are what stands between spaces. A name of three words or more holds a whole word of any text
+# that has it; a name of two ends one word and begins the next; a name of one may sit anywhere
+# inside a word. The longest such part is the anchor; of parts of words, up to RUN characters are.
+
+WHOLE, TAIL, HEAD, INSIDE = "whole", "tail", "head", "inside"
+RUN = 8
+
+
+def _anchors(keys: DataFrame, whole_words: bool) -> DataFrame:
+    """(key, anchor, kind) of every key."""
+    words = F.split("key", " ")
+    n = F.size(words)
+    kind = F.lit(WHOLE) if whole_words else (
+        F.when(n == 1, INSIDE).when(F.col("_i") == 0, TAIL)
+        .when(F.col("_i") == n - 1, HEAD).otherwise(WHOLE))
+    part = F.when(F.col("kind") == WHOLE, F.col("anchor")).when(
+        F.col("kind") == TAIL, F.right("anchor", F.lit(RUN))).otherwise(
+        F.substring("anchor", 1, RUN))
+    options = (keys.select("key", F.posexplode(words).alias("_i", "anchor"))
+               .withColumn("kind", kind).withColumn("anchor", part)
+               .filter(F.col("anchor") != ""))
+    # Of parts of one length the whole word has the fewest hits.
+    best = F.min(F.struct(-F.length("anchor"), (F.col("kind") != WHOLE).alias("_k"), "_i",
+                          "anchor", "kind")).alias("_b")
+    return options.groupBy("key").agg(best).select("key", "_b.anchor", "_b.kind")
+
+
+def _matched(vocabulary: DataFrame, anchors: DataFrame, whole_words: bool) -> DataFrame:
+    """(word, key) where the word has the key's anchor in the anchor's place. Only words of the
+    vocabulary are taken apart, each once, into pieces no longer than anchors are."""
+    word, n = F.col("word"), F.length("word")
+    pieces = [F.array(F.struct(F.lit(WHOLE).alias("kind"), word.alias("anchor")))]
+    if not whole_words:
+        def cut(kind: str, start, length) -> Column:
+            return F.struct(F.lit(kind).alias("kind"),
+                            F.substring(word, start, length).alias("anchor"))
+
+        sizes = F.sequence(F.lit(1), F.least(n, F.lit(RUN)))
+        pieces += [F.transform(sizes, lambda k: cut(TAIL, n - k + 1, k)),
+                   F.transform(sizes, lambda k: cut(HEAD, F.lit(1), k)),
+                   F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(
+                       F.sequence(F.lit(1), F.least(n - a + 1, F.lit(RUN))),
+                       lambda k: cut(INSIDE, a, k))))]
+    return (vocabulary.select("word", F.explode(F.array_distinct(F.concat(*pieces))).alias("_p"))
+            .select("word", "_p.kind", "_p.anchor")
+            .join(anchors, ["kind", "anchor"]).select("word", "key"))
+
+
+def _row_key(columns: Sequence[str]) -> Column:
+    """A row's own 128-bit key, from its content: rows alike in everything share it, NULL ids are
+    as good as any, and it is the same however often the row is read."""
+    cells = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return F.struct(F.xxhash64(F.lit(1), *cells).alias("a"), F.xxhash64(F.lit(2), *cells)
+                    .alias("b"))
+
+
+def _mentions(items: DataFrame, item_id: str, body: Column, names: DataFrame,
+              carry: Sequence[str], whole_words: bool) -> DataFrame:
+    out = [item_id, *carry]
+    texts = items.select(*out, body.alias("_text")).withColumn("_row", _row_key([*out, "_text"]))
+    words = texts.select("_row", F.explode(F.array_distinct(F.split("_text", " "))).alias("word"))
+    words = words.filter(F.col("word") != "")
+    vocabulary = words.select("word").distinct()
+    matched = _matched(vocabulary, _anchors(names.select("key").distinct(), whole_words),
+                       whole_words)
+    candidates = words.join(matched, "word").select("_row", "key").distinct()
+    pad = F.lit(" " if whole_words else "")
+    found = F.contains(F.concat(pad, F.col("_text"), pad), F.concat(pad, F.col("key"), pad))
+    return (texts.join(candidates, "_row").filter(found).select(*out, "key")
+            .join(names, "key").select(*out, "company"))
 
 
 def mentions_substring(items: DataFrame, item_id: str, text: Column, companies: DataFrame,
-                       broadcast_bytes: int = BROADCAST_BYTES,
                        normalise_text: bool = False,
                        carry: Sequence[str] = ()) -> DataFrame:
     """(item_id, *carry, company) where the cleaned name is a substring of the text, whatever
-    the case.
+    the case; a row for each item row and name.
 
     Exact. `normalise_text` takes punctuation out of the text as it is out of the name. Columns
     named in `carry` come along, which saves reading and joining the items again.
     """
-    names = name_keys(companies)
     body = normalise_words(text) if normalise_text else F.lower(text)
-    anchors = _anchors(names.select("key").distinct())
-    # One small job measures the anchors: their shapes (two dozen at most, however many names
-    # there are) and the bytes a broadcast of them would take.
-    size = F.sum(F.octet_length("key") + F.octet_length("anchor") + _ROW_OVERHEAD)
-    measured = anchors.agg(F.collect_set(F.struct("left", "right")).alias("shapes"),
-                           size.alias("bytes")).first()
-    if not measured["shapes"]:
-        return items.select(item_id, *carry).join(names.select("company"), F.lit(False))
-    shapes = sorted((r["left"], r["right"]) for r in measured["shapes"])
-    anchors = anchors.select("key", F.xxhash64("anchor").alias("anchor"))
-    texts = items.select(item_id, *carry, body.alias("_text"))
-    found = [item_id, *carry, "key"]
-    if measured["bytes"] <= broadcast_bytes:
-        # The text rides along inside one stage; nothing is shuffled but the hits.
-        hits = (_text_hashes(texts, [item_id, *carry, "_text"], shapes)
-                .join(F.broadcast(anchors), "anchor").filter(F.contains("_text", "key"))
-                .select(*found).dropDuplicates([item_id, "key"]))
-    else:
-        # Only ids and hashes are shuffled; candidates fetch their text back to be verified.
-        hits = (_text_hashes(texts, [item_id], shapes).join(anchors, "anchor")
-                .select(item_id, "key").distinct()
-                .join(texts, item_id).filter(F.contains("_text", "key")).select(*found))
-    return hits.join(names, "key").select(item_id, *carry, "company")
+    return _mentions(items, item_id, body, name_keys(companies), carry, whole_words=False)
 
 
 def mentions_words(items: DataFrame, item_id: str, text: Column, companies: DataFrame,
                    carry: Sequence[str] = ()) -> DataFrame:
-    """(item_id, *carry, company) where the cleaned name occurs as whole words, punctuation aside.
-
-    Cheaper than the substring form and free of hits inside words; one equi-join on word
-    n-grams of just the lengths that occur among the names.
-    """
+    """(item_id, *carry, company) where the cleaned name occurs as whole words, punctuation aside;
+    free of hits inside words."""
     names = name_keys(companies).withColumn("key", normalise_words(F.col("key")))
-    names = names.filter(F.col("key") != "")
-    sizes = sorted(r[0] for r in names.select(
-        F.size(F.split("key", " ")).alias("n")).distinct().collect())
-    if not sizes:
-        return items.select(item_id, *carry).join(names.select("company"), F.lit(False))
-    words = F.col("_words")
-    # Shifting the word array and zipping it with itself keeps long texts linear.
-    grams = F.array_distinct(F.concat(*[_word_grams(words, n) for n in sizes]))
-    return (items.select(item_id, *carry, F.split(normalise_words(text), " ").alias("_words"))
-            .select(item_id, *carry, F.explode(grams).alias("key"))
-            .join(names, "key").select(item_id, *carry, "company"))
-
-
-def _word_grams(words: Column, n: int) -> Column:
-    last = F.size(words) - n
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)])
-    )).otherwise(F.array().cast("array<string>"))
+    return _mentions(items, item_id, normalise_words(text), names.filter(F.col("key") != ""),
+                     carry, whole_words=True)
 
 
 def attach_companies(items: DataFrame, item_id: str, companies: DataFrame,

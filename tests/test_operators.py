@@ -38,12 +38,21 @@ def cleaned(spark, companies):
         "company", clean_name(F.col("company"))).collect()}
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])  # broadcast, and the shuffled way
-def test_substring_mentions(spark, limit):
+@pytest.fixture(params=["-1", "10m"])  # everything shuffled, and broadcasts where Spark likes
+def broadcasts(spark, request):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, request.param)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset(name)
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_substring_mentions(spark, broadcasts):
     texts, names, items, companies = mention_data(spark)
     keys = cleaned(spark, companies)
     want = {(i, n) for i, t in texts for n in names if keys[n] and keys[n] in t.lower()}
-    got = mentions_substring(items, "id", F.col("t"), companies, broadcast_bytes=limit)
+    got = mentions_substring(items, "id", F.col("t"), companies)
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100
 
@@ -73,6 +82,23 @@ def test_feed_items_get_their_companies(spark):
     assert [r["company"] for r in joined] == ["Acme Inc."]
 
 
+def test_repeated_and_missing_ids_keep_their_rows(spark, broadcasts):
+    items = spark.createDataFrame(
+        [(1, "acme one", "A"), (1, "acme two", "B"), (None, "blue sky is up", "C"),
+         (None, None, "D"), (2, "big c.m (x) [y]*", "E"), (2, "big c.m (x) [y]*", "E")],
+        "id int, t string, tag string")
+    companies = spark.createDataFrame([("Acme",), ("blue sky",), ("y",), ("ig",), ("m",)],
+                                      "company string")
+    want = [(None, "C", "blue sky"), (None, "C", "y"), (1, "A", "Acme"), (1, "B", "Acme"),
+            (1, "A", "m"), (1, "B", "m")] + 2 * [(2, "E", "y"), (2, "E", "ig"), (2, "E", "m")]
+    got = mentions_substring(items, "id", F.col("t"), companies, carry=["tag"]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    words = mentions_words(items, "id", F.col("t"), companies, carry=["tag"]).collect()
+    assert sorted(map(str, map(tuple, words))) == sorted(map(str, [
+        (None, "C", "blue sky"), (1, "A", "Acme"), (1, "B", "Acme")]
+        + 2 * [(2, "E", "y"), (2, "E", "m")]))
+
+
 def test_mentions_of_no_one(spark):
     items = spark.createDataFrame([(1, "x")], "id int, t string")
     nobody = spark.createDataFrame([("Group",)], "company string")
