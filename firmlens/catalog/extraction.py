@@ -77,10 +77,15 @@ _PASS1 = f"""
 """
 
 
+# Ways in which answers say yes or no.
+CONFIRMED = ("false", "true", '"yes"', "1", '"no"', '"True"', "true", '"confirmed"', "0", "true", "[1]",
+             '"false"')
+
+
 def _pass2(ev: DataFrame) -> DataFrame:
     per = ev.groupBy("company", "signal").agg(F.max("k").alias("k"))
     k, sig = F.col("k"), F.col("signal")
-    yes = F.when(k % 4 != 0, "true").otherwise("false")
+    yes = F.get(F.array(*map(F.lit, CONFIRMED)), (k % len(CONFIRMED)).cast("int"))
     shut = F.when(k % 5 == 0, "true").otherwise("false")
     conf = F.when(k % 7 == 0, _text('"', k % 6, '"')).otherwise(_text(k % 6, ".5"))
     region = F.when(sig == "hq_change", "USA West").otherwise("")
@@ -90,9 +95,10 @@ def _pass2(ev: DataFrame) -> DataFrame:
                       F.lit(0).cast("long").alias("chunk_idx"), "signal", raw.alias("raw"))
 
 
+_CONFIRMED_LIST = "[" + ", ".join(f"'{c}'" for c in CONFIRMED) + "]"
 _PASS2 = f"""
   SELECT company, 'pass2' AS pass, 0 AS chunk_idx, signal,
-    '```' || chr(10) || '{{"confirmed": ' || CASE WHEN k % 4 <> 0 THEN 'true' ELSE 'false' END
+    '```' || chr(10) || '{{"confirmed": ' || ({_CONFIRMED_LIST})[1 + k % 12]
     || ', "detail": "' || signal || ' k=' || k || '", "hq_region": "'
     || CASE WHEN signal = 'hq_change' THEN 'USA West' ELSE '' END || '", "is_shutdown": '
     || CASE WHEN k % 5 = 0 THEN 'true' ELSE 'false' END || ', "confidence": '
@@ -106,7 +112,8 @@ def _pass3(ev: DataFrame) -> DataFrame:
     per = ev.groupBy("company").agg(F.max("k").alias("k"))
     k = F.col("k")
     raw = F.when(k % 8 == 0, "n/a").otherwise(_text(
-        '{"verified": {"hq_change": ', F.when(k % 3 != 0, "true").otherwise("false"),
+        '{"verified": {"hq_change": ', F.when(k % 3 == 1, "true").when(k % 3 == 2, '"Yes"')
+        .otherwise('"False"'),
         ', "renaming": ', F.when(k % 5 == 0, "null").otherwise("1"),
         ', "shutdown": ', F.when(k % 4 == 1, "0").otherwise("true"),
         '}, "corrections": {"ma_spinoff": "', F.when(k % 2 == 0, "").otherwise("fixed deal"),
@@ -118,7 +125,7 @@ def _pass3(ev: DataFrame) -> DataFrame:
 
 _PASS3 = f"""
   SELECT company, 'pass3' AS pass, 0 AS chunk_idx, '' AS signal, CASE WHEN k % 8 = 0 THEN 'n/a'
-    ELSE '{{"verified": {{"hq_change": ' || CASE WHEN k % 3 <> 0 THEN 'true' ELSE 'false' END
+    ELSE '{{"verified": {{"hq_change": ' || CASE k % 3 WHEN 1 THEN 'true' WHEN 2 THEN '"Yes"' ELSE '"False"' END
     || ', "renaming": ' || CASE WHEN k % 5 = 0 THEN 'null' ELSE '1' END
     || ', "shutdown": ' || CASE WHEN k % 4 = 1 THEN '0' ELSE 'true' END
     || '}}, "corrections": {{"ma_spinoff": "' || CASE WHEN k % 2 = 0 THEN '' ELSE 'fixed deal' END
@@ -128,8 +135,14 @@ _PASS3 = f"""
 
 
 def answers(spark, sf) -> DataFrame:
+    """Every answer, and before it a stale one to the same question, which must not count."""
     ev = _events(spark, sf)
-    return reduce(DataFrame.unionByName, [_pass1(ev), _pass2(ev), _pass3(ev)])
+    fresh = reduce(DataFrame.unionByName, [_pass1(ev), _pass2(ev), _pass3(ev)])
+    stale = F.lit('{"detected": ["hq_change"], "confidence": 5, "confirmed": true, '
+                  '"verified": {"ma_spinoff": false}}')
+    return fresh.select(*[c for c in fresh.columns if c != "raw"], F.inline(F.array(
+        F.struct(F.lit(1).alias("answered_at"), F.col("raw")),
+        F.struct(F.lit(0).alias("answered_at"), stale.alias("raw")))))
 
 
 def contexts(spark, sf) -> DataFrame:
@@ -168,6 +181,13 @@ def _int(field: str) -> str:
       ELSE CAST(trunc(TRY_CAST({v} AS DOUBLE)) AS INTEGER) END"""
 
 
+def _truth(path: str) -> str:
+    v = f"json_extract_string(j, {path})"
+    return f"""CASE json_type(j, {path}) WHEN 'BOOLEAN' THEN {v} = 'true' WHEN 'NULL' THEN false
+      WHEN 'VARCHAR' THEN lower(trim({v})) NOT IN ('', 'false', 'no', '0')
+      WHEN 'ARRAY' THEN json_array_length(j, {path}) > 0 ELSE CAST({v} AS DOUBLE) <> 0 END"""
+
+
 _CONF = f"coalesce({_int('confidence')}, 1)"
 _P1 = f"SELECT * FROM ({_parsed(_PASS1)}) WHERE j IS NOT NULL"
 _DETECTED = f"""
@@ -184,7 +204,7 @@ _SURE = f"""
     json_extract_string(j, '$.hq_region') AS hq_region,
     CAST(json_extract(j, '$.is_shutdown') AS BOOLEAN) AS is_shutdown,
     {_CONF} AS confidence,
-    CAST(json_extract(j, '$.confirmed') AS BOOLEAN) AS confirmed
+    {_truth("'$.confirmed'")} AS confirmed
   FROM ({_parsed(_PASS2)}) WHERE {_CONF} >= 2
 """
 _EXTRACTED = f"""
@@ -194,10 +214,8 @@ _EXTRACTED = f"""
 _JUDGED = f"""
   SELECT e.company, e.signal, e.hq_region, e.is_shutdown, e.confidence,
     coalesce(nullif(json_extract_string(j, '$.corrections.' || signal), ''), detail) AS detail,
-    CASE coalesce(json_type(j, '$.verified.' || signal), 'NONE') WHEN 'NONE' THEN true
-      WHEN 'NULL' THEN false WHEN 'BOOLEAN'
-      THEN json_extract_string(j, '$.verified.' || signal) = 'true'
-      ELSE CAST(json_extract_string(j, '$.verified.' || signal) AS DOUBLE) <> 0 END AS kept
+    CASE WHEN json_type(j, '$.verified.' || signal) IS NULL THEN true
+      ELSE {_truth("'$.verified.' || signal")} END AS kept
   FROM ({_EXTRACTED}) e LEFT JOIN (SELECT company, j FROM ({_parsed(_PASS3)})) v USING (company)
 """
 _RESULT_COLUMNS = ("company", *SIGNALS, "hq_region", "total_signals",
@@ -287,15 +305,19 @@ def single_answers(spark, sf) -> DataFrame:
     per = _events(spark, sf).groupBy("company").agg(
         F.max("k").alias("k"), *[F.bool_or(F.col("signal") == s).alias(s) for s in SIGNALS])
     k = F.col("k")
-    body = [p for s in SIGNALS for p in (f', "{s}": ', F.col(s))]
+    body = [p for s in SIGNALS for p in (f', "{s}": ', F.when(k % 2 == 0, F.col(s).cast("string"))
+                                         .otherwise(F.when(F.col(s), '"Yes"').otherwise("0")))]
     details = [p for c in (*[c for c, _ in DETAIL_COLUMNS.values()], "shutdown_detail")
                for p in (f', "{c}": "', F.when(k % 3 == 0, "").otherwise(_text(c[:4], k)), '"')]
     raw = F.when(k % 9 == 0, _text("cannot tell ", k)).otherwise(_text(
         '{"confidence": ', k % 6, *body, *details, ', "hq_region": "Canada", "summary": "sum ',
         k, '"}'))
+    stale = F.lit('{"confidence": 5, "renaming": true, "summary": "zz stale"}')
     return per.select("company", F.lit("single").alias("pass"),
                       F.lit(0).cast("long").alias("chunk_idx"), F.lit("").alias("signal"),
-                      raw.alias("raw"))
+                      F.inline(F.array(F.struct(F.lit(2).alias("answered_at"), raw.alias("raw")),
+                                       F.struct(F.lit(1).alias("answered_at"),
+                                                stale.alias("raw")))))
 
 
 def _single_sql() -> str:

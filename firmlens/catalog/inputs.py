@@ -84,7 +84,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = F.when(rank == 2, 1 + doc % 2).when(rank == 9, 1 + doc % 5).otherwise(1)
     url = (F.when(doc % 50 == 0, "").when(doc % 7 == 0, "https://news.example/front")
            .otherwise(F.concat(F.lit("https://news.example/"),
-                               F.substring(F.md5("text"), 1, 8))))
+                               F.md5("text"))))
     return table(spark, sf_dir, "documents").select(
         F.col("lang").alias("company"), name.alias("source"), rank.alias("source_rank"),
         query.cast("int").alias("query_rank"), doc.alias("item_rank"), url.alias("url"),
@@ -100,7 +100,7 @@ ITEMS_SQL = f"""
       AS query_rank,
     doc_id AS item_rank,
     CASE WHEN doc_id % 50 = 0 THEN '' WHEN doc_id % 7 = 0 THEN 'https://news.example/front'
-         ELSE 'https://news.example/' || substr(md5(text), 1, 8) END AS url,
+         ELSE 'https://news.example/' || md5(text) END AS url,
     substr(split_part(text, chr(10), 1), 1, 80) AS title, text AS snippet, src AS domain,
     '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS raw_date
   FROM (SELECT *, source AS src, CAST(substr(source, 4) AS INTEGER) % 9 + 1 AS r

@@ -56,11 +56,36 @@ def text_field(obj: Column, name: str) -> Column:
     return F.coalesce(F.try_variant_get(obj, f"$.{name}", "string"), F.lit(""))
 
 
-def flag_field(obj: Column, name: str) -> Column:
-    """Field as a strict boolean: only a JSON `true` counts."""
+#: Texts that mean no where a yes or no is asked for.
+NO_TEXTS = ("", "false", "no", "0")
+
+
+def truth(value: Column, plain: bool = False) -> Column:
+    """A JSON value read as a yes or no; NULL where there is none. True, numbers but 0, lists and
+    objects with something in them, and texts other than `NO_TEXTS` are a yes (`plain`: all texts
+    but the empty one)."""
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    yes = text != "" if plain else ~F.lower(F.trim(text)).isin(*NO_TEXTS)
+    return (F.when(value.isNull(), F.lit(None).cast("boolean"))
+            .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+            .when(kind == "VOID", False).when(kind == "STRING", yes)
+            .when(kind.rlike("^(ARRAY|OBJECT)"), ~F.to_json(value).isin("[]", "{}"))
+            .otherwise(F.coalesce(F.try_variant_get(value, "$", "double") != 0, F.lit(False))))
+
+
+def flag_field(obj: Column, name: str, plain: bool = False) -> Column:
+    """Field as a yes or no; missing is a no."""
     value = F.try_variant_get(obj, f"$.{name}", "variant")
-    is_bool = F.schema_of_variant(value) == "BOOLEAN"
-    return F.coalesce(is_bool & F.try_variant_get(value, "$", "boolean"), F.lit(False))
+    return F.coalesce(truth(value, plain), F.lit(False))
+
+
+def newest_answers(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One answer (keys, raw) per key: the newest by `answered_at`, if there is such a column, and of
+    answers of one time the last by its text. A retried call leaves several."""
+    order = [c for c in ("answered_at",) if c in answers.columns]
+    return (answers.groupBy(*keys).agg(F.max(F.struct(*order, "raw")).alias("_a"))
+            .select(*keys, "_a.raw"))
 
 
 def int_field(obj: Column, name: str) -> Column:

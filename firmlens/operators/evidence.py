@@ -74,6 +74,15 @@ def drop_empty_urls(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Da
     return items.filter(~(F.col("source").isin(skips) & (F.col("url") == "")))
 
 
+def known_feeds(items: DataFrame, sources: Sequence[Source]) -> DataFrame:
+    """The items, once each one's feed is among the sources; another feed is an error, since caps
+    and pages say nothing about it."""
+    known = F.coalesce(F.col("source").isin([s.name for s in sources]), F.lit(False))
+    return items.filter(F.when(known, True).otherwise(F.raise_error(F.concat(
+        F.lit("no such feed among the sources: "), F.coalesce("source", F.lit("NULL"))))
+        .cast("boolean")))
+
+
 def first_seen(items: DataFrame) -> DataFrame:
     """One row per (company, url): the one that comes first in source and item order."""
     return _ranked(items, ("company", "url"), ITEM_ORDER, 1)
@@ -92,7 +101,7 @@ def cap_per_source(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Dat
     def bound(s: Source) -> int:
         return s.cap if s.cap is not None else s.page * s.queries
     cap = per_source(sources, bound, 0)
-    return _ranked(items, ("company", "source"), ("query_rank", "item_rank", "url"),
+    return _ranked(known_feeds(items, sources), ("company", "source"), ("query_rank", "item_rank", "url"),
                    max(bound(s) for s in sources), F.col("_rank") <= cap)
 
 
@@ -119,6 +128,7 @@ def dedupe_capped(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Data
     (under a hundred) holds whatever the size of the group, and loses nothing.
     """
     sources = sorted(sources, key=lambda s: s.rank)
+    items = known_feeds(items, sources)
     query = ("company", "source", "query_rank")
     bounds, before = {}, 0
     for s in sources:
@@ -135,10 +145,10 @@ def dedupe_capped(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Data
         page = per_source(paged, lambda s: s.page, 0)
         part = _ranked(of(paged), query, ("item_rank", "url"), max(s.page for s in paged),
                        F.col("_rank") <= page)
-        parts.append(_drop_taken(drop_empty_urls(part, sources), items, sources))
+        parts.append(_drop_taken(drop_empty_urls(part, sources), items, paged, sources))
     if open_ended:
         bound = per_source(open_ended, lambda s: bounds[s.name], 0)
-        part = _drop_taken(drop_empty_urls(of(open_ended), sources), items, sources)
+        part = _drop_taken(drop_empty_urls(of(open_ended), sources), items, open_ended, sources)
         part = _ranked(part, (*query, "url"), ("item_rank",), 1)
         parts.append(_ranked(part, query, ("item_rank", "url"),
                              max(bounds[s.name] for s in open_ended), F.col("_rank") <= bound))
@@ -152,10 +162,11 @@ def dedupe_capped(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Data
             .select(*items.columns))
 
 
-def _drop_taken(part: DataFrame, items: DataFrame, sources: Sequence[Source]) -> DataFrame:
-    """Without items whose URL an earlier marks_all source handed over."""
+def _drop_taken(part: DataFrame, items: DataFrame, group: Sequence[Source],
+                sources: Sequence[Source]) -> DataFrame:
+    """The group's items without those whose URL an earlier marks_all source handed over."""
     for m in (s for s in sources if s.marks_all):
-        later = [s.name for s in sources if s.rank > m.rank]
+        later = [s.name for s in group if s.rank > m.rank]
         if later:
             taken = (items.filter(F.col("source") == m.name).select("company", "url").distinct()
                      .select("company", "url",

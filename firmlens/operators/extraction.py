@@ -1,6 +1,7 @@
 """Folding model answers into one result row per company.
 
-answers: company, pass ('pass1' | 'pass2' | 'pass3' | 'single'), chunk_idx, signal, raw
+answers: company, pass ('pass1' | 'pass2' | 'pass3' | 'single'), chunk_idx, signal, raw and,
+optionally, answered_at; of repeated answers to one question the newest counts
 contexts: company, context, sources
 """
 
@@ -12,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import compose_summary, count_signals, filled, merge_ops
-from ..functions.jsonio import flag_field, int_field, read_answers, text_field
+from ..functions.jsonio import (flag_field, int_field, newest_answers, read_answers, text_field,
+                                truth)
 from ..params import (DETAIL_COLUMNS, SIGNALS, SUMMARY_NOTHING, SUMMARY_SHORT_CONTEXT,
                       SUMMARY_UNCONFIRMED, SUMMARY_UNVERIFIED, Params)
 from .screening import enough_content
@@ -26,16 +28,21 @@ def _confidence(obj: Column) -> Column:
     return F.coalesce(int_field(obj, "confidence"), F.lit(1))
 
 
+#: What tells the questions of a pass apart.
+_QUESTION = {"pass1": ("company", "chunk_idx"), "pass2": ("company", "signal"),
+             "pass3": ("company",), "single": ("company",)}
+
+
 def _of_pass(answers: DataFrame, which: str) -> DataFrame:
-    return answers.filter(F.col("pass") == which)
+    return newest_answers(answers.filter(F.col("pass") == which), _QUESTION[which])
 
 
 def _text(name: str) -> Callable[[Column], Column]:
     return lambda obj: text_field(obj, name)
 
 
-def _flag(name: str) -> Callable[[Column], Column]:
-    return lambda obj: flag_field(obj, name)
+def _flag(name: str, params: Params) -> Callable[[Column], Column]:
+    return lambda obj: flag_field(obj, name, plain=params.compat)
 
 
 def _first_pass(answers: DataFrame) -> DataFrame:
@@ -68,9 +75,9 @@ def best_confidence(answers: DataFrame) -> DataFrame:
         (F.max("named") > 0).alias("detected"))
 
 
-def _second_pass(answers: DataFrame, minimum: int) -> DataFrame:
-    fields = {"confirmed": _flag("confirmed"), "detail": _text("detail"),
-              "hq_region": _text("hq_region"), "is_shutdown": _flag("is_shutdown"),
+def _second_pass(answers: DataFrame, minimum: int, params: Params = Params()) -> DataFrame:
+    fields = {"confirmed": _flag("confirmed", params), "detail": _text("detail"),
+              "hq_region": _text("hq_region"), "is_shutdown": _flag("is_shutdown", params),
               "confidence": _confidence}
     return read_answers(_of_pass(answers, "pass2"), fields, ["company", "signal"]).filter(
         F.col("confidence") >= minimum)
@@ -83,26 +90,16 @@ def confident(answers: DataFrame, minimum: int) -> DataFrame:
 
 def extractions(answers: DataFrame, detected: DataFrame, params: Params = Params()) -> DataFrame:
     """(company, signal, detail, hq_region, is_shutdown, confidence) of confirmed signals."""
-    return (_second_pass(answers, params.min_confidence).filter("confirmed").drop("confirmed")
+    return (_second_pass(answers, params.min_confidence, params).filter("confirmed").drop("confirmed")
             .join(detected, ["company", "signal"], "left_semi"))
 
 
-def _truth(verdict: Column) -> Column:
-    """A verdict read as a yes or no; no verdict is a yes."""
-    kind = F.schema_of_variant(verdict)
-    return (F.when(verdict.isNull(), True)
-            .when(kind == "BOOLEAN", F.try_variant_get(verdict, "$", "boolean"))
-            .when(kind == "VOID", False)
-            .when(kind == "STRING", F.try_variant_get(verdict, "$", "string") == "true")
-            .otherwise(F.coalesce(F.try_variant_get(verdict, "$", "double") != 0,
-                                  F.lit(False))))
-
-
-def _judge(extracted: DataFrame, answers: DataFrame) -> DataFrame:
-    """Extractions with the last pass's verdict (`kept`) and corrections applied."""
+def _judge(extracted: DataFrame, answers: DataFrame, params: Params = Params()) -> DataFrame:
+    """Extractions with the last pass's verdict (`kept`; no verdict is a yes) and corrections
+    applied."""
     checks = read_answers(_of_pass(answers, "pass3"), {
         "_verdicts": lambda o: F.transform_values(
-            F.try_variant_get(o, "$.verified", "map<string,variant>"), lambda k, v: _truth(v)),
+            F.try_variant_get(o, "$.verified", "map<string,variant>"), lambda k, v: truth(v, plain=params.compat)),
         "_fixes": lambda o: F.try_variant_get(o, "$.corrections", "map<string,string>"),
     }, ["company"])
     kept = F.coalesce(F.try_element_at("_verdicts", F.col("signal")), F.lit(True))
@@ -112,13 +109,13 @@ def _judge(extracted: DataFrame, answers: DataFrame) -> DataFrame:
             .drop("_verdicts", "_fixes"))
 
 
-def verify(extracted: DataFrame, answers: DataFrame) -> DataFrame:
+def verify(extracted: DataFrame, answers: DataFrame, params: Params = Params()) -> DataFrame:
     """Extractions less those the last pass denies, with its corrections applied.
 
     A signal the answer does not mention stays; a falsy verdict drops it; a correction replaces
     the detail unless it is empty.
     """
-    return _judge(extracted, answers).filter("kept").drop("kept")
+    return _judge(extracted, answers, params).filter("kept").drop("kept")
 
 
 def _fold(judged: DataFrame, params: Params) -> DataFrame:
@@ -158,7 +155,7 @@ def _three_pass(rows: DataFrame, answers: DataFrame, params: Params) -> DataFram
     best = best_confidence(answers)
     sure = best.filter(F.col("best") >= params.min_confidence).select("company")
     live = detections(answers).join(sure, "company", "left_semi")
-    folded = _fold(_judge(extractions(answers, live, params), answers), params)
+    folded = _fold(_judge(extractions(answers, live, params), answers, params), params)
     done = _complete(rows.join(best, "company", "left").join(folded, "company", "left"))
     nothing = ~F.coalesce("detected", F.lit(False)) | (F.coalesce("best", F.lit(1))
                                                       < params.min_confidence)
@@ -172,7 +169,7 @@ def _three_pass(rows: DataFrame, answers: DataFrame, params: Params) -> DataFram
 
 def _single_pass(rows: DataFrame, answers: DataFrame, params: Params) -> DataFrame:
     fields = {
-        **{s: _flag(s) for s in SIGNALS},
+        **{s: _flag(s, params) for s in SIGNALS},
         **{c: _text(c) for c in DETAILS if c != "ops_detail"},
         "ops_detail": lambda o: merge_ops(text_field(o, "ops_detail"),
                                           text_field(o, "shutdown_detail")),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonio import int_field, let, parse_score_answer, text_field
+from ..functions.jsonio import int_field, let, newest_answers, parse_score_answer, text_field
 from ..functions.names import clean_name_light
 from ..functions.text import strip
 from ..params import (REASON_NO_CONTENT, REASON_NO_KEYWORD, REASON_PARSE_ERROR, SIGNAL_ROOTS,
@@ -83,15 +83,15 @@ def _score_fields(obj: Column) -> Column:
 
 def decide(headlines: DataFrame, answers: DataFrame, params: Params = Params(),
            pattern: str | None = None, name: str = "company") -> DataFrame:
-    """One decision per row of `headlines` (company, headline_text); `answers` (company, raw)
-    holds at most one short model answer per company. No answer passes with a 3. `name` is
+    """One decision per row of `headlines` (company, headline_text); of a company's short model
+    answers in `answers` (company, raw) the newest counts. No answer passes with a 3. `name` is
     the column to look for in the text, where that is not the key itself. Other columns of
     `headlines` stay."""
     keyword = keyword_near_name(F.col(name), F.col("headline_text"),
                                 pattern or keyword_pattern(params.roots))
     scored = score_of(F.col("raw"))
     gated = (
-        headlines.join(answers.select("company", "raw"), "company", "left")
+        headlines.join(newest_answers(answers, ["company"]), "company", "left")
         .withColumn("_content", enough_content(F.col("headline_text"),
                                                params.headline_min_chars))
         .withColumn("_keyword", F.when(F.col("_content"), keyword))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sanitise
 from ..operators.evidence import (add_sections, assemble, cut_snippets, dedupe_capped,
-                                  dedupe_then_cap, merge_deep)
+                                  dedupe_then_cap, known_feeds, merge_deep)
 from ..operators.extraction import classify
 from ..operators.lifecycle import todo
 from ..operators.screening import decide
@@ -40,9 +40,12 @@ def base_contexts(companies: DataFrame, items: DataFrame, params: Params = Param
                   exact_caps: bool = True) -> DataFrame:
     """One context per company from its base feeds; companies without items get an empty one."""
     base = tuple(s for s in params.sources if s.name not in ("brave", "tavily"))
-    mine = (cut_snippets(items.filter(F.col("source").isin([s.name for s in base])), base)
-            .join(companies.select("company").distinct(), "company", "left_semi"))
-    kept = (dedupe_capped if exact_caps else dedupe_then_cap)(mine, base)
+    mine = cut_snippets(known_feeds(items, params.sources).filter(
+        F.col("source").isin([s.name for s in base])), base)
+    # Ranks look at one company only, so they come first and bound every company's items; the join
+    # then meets no hot company.
+    kept = (dedupe_capped if exact_caps else dedupe_then_cap)(mine, base).join(
+        companies.select("company").distinct(), "company", "left_semi")
     packed = assemble(add_sections(kept, base), replace(params, sources=base))
     none = F.array().cast("array<string>")
     return companies.select("company").distinct().join(packed, "company", "left").select(
@@ -94,9 +97,12 @@ def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_o
     hits = fetch_cache.lookup(names, cache, as_of, p, stage).select(
         "company", *[F.col(f"payload.{c}").alias(c) for c in RECORD], "from_cache")
     missing = fetch_cache.misses(names, cache, as_of, p, stage).select("company")
-    mine = items.join(missing, "company", "left_semi")
-    mine = cut_snippets(layered_items(mine, full_entities), sources)
-    packed = assemble(add_sections(dedupe_capped(mine, sources), sources, at_sentence=True), p,
+    mine = known_feeds(items, LAYERED_SOURCES).filter(
+        F.col("source").isin([s.name for s in sources]))
+    # Caps need keys alone, so they come before the company join and before any text is cleaned.
+    kept = dedupe_capped(mine, sources).join(missing, "company", "left_semi")
+    kept = cut_snippets(layered_items(kept, full_entities), sources)
+    packed = assemble(add_sections(kept, sources, at_sentence=True), p,
                       headers=False, first_lines=True, chunks=True)
     none = F.array().cast("array<string>")
     empty = {"headline_text": F.lit(""), "context": F.lit(""), "chunks": none, "sources": none,

@@ -33,8 +33,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a fresh temporary one only where none is named."""
+    """Shared folder named by the cluster. A local session that names none gets a temporary one;
+    on a cluster, no executor could read that."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     return named or tempfile.mkdtemp(prefix="firmlens-checkpoint-")
 
 

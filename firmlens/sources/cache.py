@@ -20,10 +20,11 @@ def with_key(companies: DataFrame, as_of: Column, stage: str | None = None) -> D
         F.col("company"), as_of, F.lit(stage) if stage else None))
 
 
-def _fresh(cache: DataFrame, as_of: Column, params: Params) -> DataFrame:
-    """Readable entries young enough, the newest per key."""
+def _fresh(cache: DataFrame, keys: DataFrame, as_of: Column, params: Params) -> DataFrame:
+    """Readable entries of the asked keys that are young enough, the newest per key."""
     hours = (F.unix_timestamp(as_of) - F.unix_timestamp("fetched_at")) / 3600
-    young = cache.filter((hours < params.cache_ttl_hours) & F.col("payload").isNotNull())
+    young = (cache.filter((hours < params.cache_ttl_hours) & F.col("payload").isNotNull())
+             .join(keys, "key", "left_semi"))
     w = Window.partitionBy("key").orderBy(F.desc("fetched_at"))
     return (young.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1)
             .drop("_n"))
@@ -34,8 +35,10 @@ def lookup(companies: DataFrame, cache: DataFrame, as_of: Column,
     """Companies answered from the cache. A cache with a week column is pruned to the week."""
     if BUCKET in cache.columns:
         cache = cache.filter(F.col(BUCKET) == week_bucket(as_of))
-    entries = _fresh(cache, as_of, params).select("key", "payload", "fetched_at")
-    return (with_key(companies, as_of, stage).join(entries, "key")
+    asked = with_key(companies, as_of, stage)
+    entries = _fresh(cache, asked.select("key"), as_of, params).select("key", "payload",
+                                                                       "fetched_at")
+    return (asked.join(entries, "key")
             .select("company", "key", "payload", "fetched_at",
                     F.lit(True).alias("from_cache")))
 
@@ -75,6 +78,9 @@ def rewrite_week(spark: SparkSession, path: str, companies: DataFrame, as_of: Co
     kept = spark.read.schema(cache.schema).parquet(staged)
     bucket = spark.range(1).select(week_bucket(as_of)).first()[0]
     kept.drop(BUCKET).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}={bucket}")
+    # Only now: had the write failed, the survivors would still be there.
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def fetch_usage(fetches: DataFrame, params: Params = Params()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,13 +66,16 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def append_run(results: DataFrame, table: str, run_id: str) -> None:
-    """Append one run. Written once per run, it is also the run's checkpoint."""
+    """Write one run as its partition, which is also the run's checkpoint. Written again, it
+    replaces what it wrote before; other runs are not touched."""
     stamped = results.withColumns({"run_id": F.lit(run_id),
                                    "processed_at": F.current_timestamp()})
     if "error" not in stamped.columns:
         stamped = stamped.withColumn("error", F.lit(None).cast("string"))
-    order = results.sparkSession.table(table).columns
-    conform(stamped).select(*order).write.insertInto(table)
+    spark = results.sparkSession
+    order = [c for c in spark.table(table).columns if c != "run_id"]
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = :run) SELECT * FROM {{rows}}",
+              args={"run": run_id}, rows=conform(stamped).select(*order))
 
 
 def read_results(spark: SparkSession, table: str, run_id: str | None = None) -> DataFrame:
@@ -80,10 +84,13 @@ def read_results(spark: SparkSession, table: str, run_id: str | None = None) ->
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """Stored results of an earlier attempt; none readable there means a fresh start."""
+    """Stored results of an earlier attempt; no such path means a fresh start. Any other trouble
+    is raised: taken for an empty checkpoint, it would have all work done again."""
     try:
         return conform(spark.read.parquet(path))
-    except Exception:  # absent or unreadable
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RESULT_SCHEMA)
 
 

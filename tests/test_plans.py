@@ -56,6 +56,7 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
         "source": F.lit("gdelt"), "source_rank": F.lit(3), "query_rank": F.lit(1),
         "item_rank": F.col("doc_id")})))
     assert got == {tuple(r) for r in twin.select("company", "url").collect()}
+    assert "landed_at" in spark.read.parquet(out).columns
     # Nothing new landed: a second run adds nothing.
     again = start_ingest(items, out, str(tmp_path / "cp"))
     again.awaitTermination(120)
