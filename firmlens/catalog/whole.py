@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ..operators.evidence import ITEM_ORDER, add_sections, assemble, first_seen, top_per_source
 from ..operators.mentions import mentions_substring
-from ..params import LAYERED_SOURCES, SIGNALS, Params, Source
+from ..params import DETAIL_COLUMNS, LAYERED_SOURCES, SIGNALS, SOURCES, Params, Source
 from ..plans.run import layered_fetch, run_results
+from .evidence import _HEADERS as HEADERS_SQL
 from .evidence import capped_levels
 from .extraction import _text
 from .inputs import (ITEMS_SQL, LEXICON, PHRASE_KEYS_SQL, items, phrases, sections_sql, table,
                      texts)
+from .mentions import _KW as KEYWORD_SQL
 from .texts import sanitise_sql, shorten_sql
 
 # The document sources as press feeds: src0 … src19, each cut to five items per company.
@@ -102,6 +104,109 @@ def full_run(spark, sf) -> DataFrame:
     return rows.withColumn("sources", F.array_join("sources", " "))
 
 
+_BASE = tuple(s for s in SOURCES if s.name not in ("brave", "tavily"))
+_BASE_KEPT = f"SELECT company, source, query_rank, item_rank FROM ({capped_levels(_BASE)})"
+_RESULT_SIGNALS = ", ".join(f"('{s}', {i})" for i, s in enumerate(SIGNALS))
+_ON = {s: f"bool_or(signal = '{s}' AND kept)" for s in SIGNALS}
+_ON["operational_change"] = "bool_or(signal IN ('operational_change', 'shutdown') AND kept)"
+
+
+def _detail_sql(signal: str) -> str:
+    return f"max(CASE WHEN signal = '{signal}' AND kept THEN detail END)"
+
+
+_DETAIL = {c: f"coalesce({_detail_sql(s)}, '')" for s, (c, _) in DETAIL_COLUMNS.items()}
+_DETAIL["ops_detail"] = (f"concat_ws(' | ', {_detail_sql('operational_change')}, "
+                         f"{_detail_sql('shutdown')})")
+_LONG = "length(trim(coalesce(context, ''), chr(32) || chr(10) || chr(9) || chr(13))) >= 80"
+
+
+def _if_long(column: str, otherwise: str) -> str:
+    return f"CASE WHEN {_LONG} THEN {column} ELSE {otherwise} END AS {column}"
+
+
+# The default run: exact caps, the keyword gate, deep evidence with its reserve, three passes.
+FULL_RUN = rf"""
+  WITH sec AS ({sections_sql(f"SELECT * FROM ({ITEMS_SQL}) SEMI JOIN ({_BASE_KEPT}) USING (company, source, query_rank, item_rank)")}),
+  base AS (
+    SELECT company, string_agg(block, chr(10) || chr(10) ORDER BY source_rank) AS t FROM (
+      SELECT company, source_rank, '=== ' || {HEADERS_SQL} || ' ===' || chr(10) || string_agg(section,
+        chr(10) || chr(10) ORDER BY query_rank, item_rank, url) AS block
+      FROM sec GROUP BY company, source, source_rank) GROUP BY company),
+  head AS (
+    SELECT company, lower(string_agg(line, chr(10) ORDER BY i)) AS body FROM (
+      SELECT company, i, regexp_replace(line, '^\s+|\s+$', '', 'g') AS line FROM (
+        SELECT company, unnest(string_split(t, chr(10))) AS line,
+          generate_subscripts(string_split(t, chr(10)), 1) AS i FROM base))
+    WHERE starts_with(line, '[') OR starts_with(line, '===') GROUP BY company),
+  live AS (SELECT company, body FROM head WHERE length(body) >= 50 AND contains(body, company)
+             AND regexp_matches(body, '{KEYWORD_SQL}')),
+  piece AS (
+    SELECT company, body, i,
+      sum(length(p) + length(company)) OVER (PARTITION BY company ORDER BY i) AS past
+    FROM (SELECT company, body, unnest(string_split(body, company)) AS p,
+            generate_subscripts(string_split(body, company), 1) AS i FROM live)),
+  gate AS (
+    SELECT company FROM live WHERE len(list_filter(regexp_split_to_array(body, '[.
+!?]'),
+      lambda s: contains(s, company) AND regexp_matches(s, '{KEYWORD_SQL}'))) > 0
+    UNION
+    SELECT company FROM (SELECT *, CAST(past - length(company) + 1 AS BIGINT) AS pos FROM piece)
+    WHERE pos <= length(body) - length(company) + 1 AND regexp_matches(substr(body,
+      greatest(pos - 300, 1), pos + length(company) + 300 - greatest(pos - 300, 1)),
+      '{KEYWORD_SQL}')),
+  known AS (
+    SELECT company, url, min(ord) AS ord FROM (SELECT company, url, row_number() OVER (
+      PARTITION BY company ORDER BY source_rank, query_rank, item_rank, url) AS ord FROM sec)
+    GROUP BY company, url QUALIFY row_number() OVER (PARTITION BY company ORDER BY min(ord)) <= 15),
+  handed AS (
+    SELECT * FROM ({ITEMS_SQL}) WHERE source = 'tavily' QUALIFY row_number() OVER (
+      PARTITION BY company, query_rank ORDER BY item_rank) <= 5),
+  deep AS (
+    SELECT * FROM handed h WHERE url <> '' AND company IN (SELECT company FROM gate)
+      AND NOT EXISTS (SELECT 1 FROM known k WHERE k.company = h.company AND k.url = h.url)
+    QUALIFY row_number() OVER (PARTITION BY company, url ORDER BY query_rank, item_rank) = 1),
+  block AS (
+    SELECT company, chr(10) || chr(10) || '=== TAVILY DEEP SEARCH ===' || chr(10)
+        || string_agg(section, chr(10) || chr(10) ORDER BY query_rank, item_rank) AS extra,
+      list(url ORDER BY query_rank, item_rank) AS urls
+    FROM ({sections_sql("SELECT * FROM deep")}) GROUP BY company),
+  lists AS (SELECT company, list(url ORDER BY ord) AS urls FROM known GROUP BY company),
+  ctx AS (
+    SELECT base.company, CASE WHEN extra IS NULL THEN substr(t, 1, 15000) ELSE substr(substr(
+        substr(t, 1, 15000), 1, 15000 - least(length(extra), 5000)) || extra, 1, 15000) END AS context,
+      array_to_string(list_slice(list_concat(lists.urls, coalesce(block.urls, [])), 1, 15), ' ')
+        AS sources
+    FROM base LEFT JOIN lists USING (company) LEFT JOIN block USING (company)),
+  answered AS (
+    SELECT company, signal, signal || ' ' || n AS detail, CAST((n + i) % 5 + 1 AS INTEGER) AS confidence,
+      signal <> 'renaming' AS kept
+    FROM (SELECT lang AS company, count(*) AS n FROM documents GROUP BY lang),
+      (VALUES {_RESULT_SIGNALS}) v(signal, i) WHERE (n + i) % 5 + 1 >= 2),
+  folded AS (
+    SELECT company, {", ".join(f"{_ON[s]} AS {s}" for s in SIGNALS)},
+      {", ".join(f"{_DETAIL[c]} AS {c}" for c, _ in DETAIL_COLUMNS.values())},
+      max(CASE WHEN kept THEN confidence END) AS sure FROM answered GROUP BY company),
+  done AS (
+    SELECT company, {", ".join(f"coalesce({s}, false) AS {s}" for s in SIGNALS)},
+      {", ".join(f"coalesce({c}, '') AS {c}" for c, _ in DETAIL_COLUMNS.values())},
+      {" + ".join(f"CAST(coalesce({s}, false) AS INTEGER)" for s in SIGNALS if s != "shutdown")}
+        AS total_signals, coalesce(sure, 0) AS confidence_score, folded.company IS NULL AS none,
+      context, sources
+    FROM (SELECT DISTINCT lang AS company FROM documents) LEFT JOIN folded USING (company)
+      LEFT JOIN ctx USING (company))
+  SELECT company, {", ".join(_if_long(s, "false") for s in SIGNALS)}, '' AS hq_region,
+    {", ".join(_if_long(c, "''") for c, _ in DETAIL_COLUMNS.values())},
+    {_if_long("total_signals", "0")}, {_if_long("confidence_score", "0")},
+    CASE WHEN NOT ({_LONG}) THEN 'Insufficient context to classify.'
+      WHEN none THEN 'Signals detected but none confirmed after extraction.'
+      WHEN total_signals = 0 THEN 'No significant corporate changes identified after verification.'
+      ELSE substr(concat_ws('; ', {", ".join(f"'{label}: ' || nullif({c}, '')" for c, label in DETAIL_COLUMNS.values())}), 1, 500)
+      END AS summary, coalesce(sources, '') AS sources
+  FROM done
+"""
+
+
 def layered(spark, sf) -> DataFrame:
     """The cached path with an empty cache: live fetches with paragraph chunks."""
     companies = _companies(spark, sf)
@@ -150,6 +255,6 @@ LAYERED = rf"""
 
 QUERIES = {
     "mention_contexts": (mention_contexts, MENTION_CONTEXTS),
-    "full_run": (full_run, None),
+    "full_run": (full_run, FULL_RUN),
     "layered_fetch": (layered, LAYERED),
 }
