@@ -85,25 +85,38 @@ def stats(results: DataFrame, generated: Column, window: Column,
 
 
 def or_placeholder(view: DataFrame) -> DataFrame:
-    """The view, or one row saying that it is empty. Only one row is read to find out."""
+    """The view, or one row saying that it is empty. Only one row is read to find out; where the
+    counts are known, `placeholder` needs none."""
     first = view.columns[0]
     empty = view.limit(1).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 0)
-    row = empty.select(*[
-        (F.lit(EMPTY_VIEW_TEXT) if c == first else F.lit(None)).cast(
-            view.schema[c].dataType).alias(c) for c in view.columns])
-    return view.unionByName(row)
+    return view.unionByName(empty.select(*_placeholder_row(view, first)))
+
+
+def _placeholder_row(view: DataFrame, first: str) -> list[Column]:
+    return [(F.lit(EMPTY_VIEW_TEXT) if c == first else F.lit(None)).cast(
+        view.schema[c].dataType).alias(c) for c in view.columns]
+
+
+def placeholder(view: DataFrame) -> DataFrame:
+    """The row of an empty view, with its columns."""
+    return view.sparkSession.range(1).select(*_placeholder_row(view, view.columns[0]))
 
 
 def report(results: DataFrame, generated: Column, window: Column,
            runtime: Column | None = None) -> dict[str, DataFrame]:
-    """All eight views by name."""
-    views = {"dashboard": dashboard(results)}
-    for name, (flag, detail) in DETAIL_VIEWS.items():
-        views[name] = or_placeholder(detail_view(results, flag, detail))
-    views["hq_changes"] = or_placeholder(hq_view(results))
-    views["operational_changes"] = or_placeholder(ops_view(results))
-    views["run_stats"] = stats(results, generated, window, runtime)
-    return views
+    """All eight views by name. Give it a stored run (`read_results`): every view reads it once more.
+    One aggregate, a row, tells which views are empty."""
+    flags = {view: flag for view, (flag, _) in DETAIL_VIEWS.items()}
+    ops = F.col("operational_change") | F.col("shutdown")
+    n = results.agg(*[F.count_if(flag).alias(view) for view, flag in flags.items()],
+                    F.count_if("hq_change").alias("hq_changes"),
+                    F.count_if(ops).alias("operational_changes")).first()
+    views = {view: detail_view(results, flag, detail)
+             for view, (flag, detail) in DETAIL_VIEWS.items()}
+    views |= {"hq_changes": hq_view(results), "operational_changes": ops_view(results)}
+    filled_in = {name: view if n[name] else placeholder(view) for name, view in views.items()}
+    return {"dashboard": dashboard(results), **filled_in,
+            "run_stats": stats(results, generated, window, runtime)}
 
 
 def write_report(views: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
@@ -111,3 +124,14 @@ def write_report(views: dict[str, DataFrame], path: str, fmt: str = "parquet") -
     for name, view in views.items():
         writer = view.write.mode("overwrite").format(fmt)
         (writer.option("header", True) if fmt == "csv" else writer).save(f"{path}/{name}")
+
+
+def report_run(results: DataFrame, path: str, generated: Column, window: Column,
+               runtime: Column | None = None, fmt: str = "parquet") -> None:
+    """Write the report of any results: lazy ones are stored first, beside the views, so that they
+    are computed once and not once a view."""
+    stored = f"{path.rstrip('/')}/results"
+    results.write.mode("overwrite").parquet(stored)
+    spark = results.sparkSession
+    write_report(report(spark.read.schema(results.schema).parquet(stored), generated, window,
+                        runtime), path, fmt)

@@ -128,3 +128,31 @@ def test_feeds_are_ranked_before_any_company_join(spark):
         assert df.count() == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_report_is_written_from_one_evaluation(spark, tmp_path):
+    from firmlens.params import EMPTY_VIEW_TEXT
+    from firmlens.plans.report import report_run
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    columns = {f.name: f for f in results.RESULT_SCHEMA}
+    rows = results.conform(spark.createDataFrame(
+        [("a", True, "merged"), ("b", False, ""), ("c", True, "bought")],
+        "company string, ma_spinoff boolean, ma_detail string"))
+    rows = rows.withColumn("sources", F.array(F.lit("u")))
+    counted = rows.mapInPandas(count, rows.schema)
+    report_run(counted, str(tmp_path / "r"), F.lit("now"), F.lit("12 months"), F.lit(61.0))
+    assert seen.value == 3 and len(columns) == 22
+    read = {name: spark.read.parquet(str(tmp_path / "r" / name)).collect() for name in (
+        "dashboard", "ma_spinoffs", "sector_changes", "renaming_rebranding", "bankruptcy",
+        "hq_changes", "operational_changes", "run_stats")}
+    assert sorted(r["company"] for r in read["ma_spinoffs"]) == ["a", "c"]
+    assert len(read["dashboard"]) == 3 and len(read["run_stats"]) == 14
+    for name in ("sector_changes", "hq_changes", "operational_changes", "bankruptcy"):
+        assert [r["company"] for r in read[name]] == [EMPTY_VIEW_TEXT]
