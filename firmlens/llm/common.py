@@ -83,30 +83,37 @@ def small_or_shuffled(right: DataFrame, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(right) if right.limit(max_rows + 1).count() <= max_rows else right
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str, max_rounds: int = 60,
+               small: int = 300_000) -> DataFrame:
     """(node, root) of every node of `edges` (a, b), root the least node of its component.
 
     Alternating large-star and small-star steps; each round is a written table, so lineage stays
-    short, and hubs are reduced before the shuffle by partial minima. Rounds grow with the
-    logarithm of the nodes; a graph that has not settled after `max_rounds` is an error."""
+    short, and hubs are reduced before the shuffle by partial minima. While there are at most
+    `small` edges, the minima (a row for each node, so at most twice as many) are broadcast instead
+    of shuffled with the edges. Rounds grow with the logarithm of the nodes; a graph that has not
+    settled after `max_rounds` is an error."""
+    count = F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     links = scratch.put(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where("a <> b").distinct(), f"{name}-0")
-    before = None
+    before = links.agg(*count).first()
     for k in range(1, max_rounds + 1):
+        few = before[0] <= small
+        near = F.broadcast if few else (lambda df: df)
+        packed = (lambda df: df.coalesce(8)) if few else (lambda df: df)
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"),
-                                                            F.col("m").alias("b"))
-        large = scratch.put(large.distinct(), f"{name}-{k}-large")
+        large = both.join(near(least), "a").where("b > a").select(F.col("b").alias("a"),
+                                                                  F.col("m").alias("b"))
+        large = scratch.put(large, f"{name}-{k}-large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").where("b <> m")
+        stars = (large.join(near(least), "a").where("b <> m")
                  .select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        links = scratch.put(small, f"{name}-{k}")
+        links = scratch.put(packed(stars), f"{name}-{k}")
         scratch.drop(f"{name}-{k}-large")
         scratch.drop(f"{name}-{k - 1}")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = links.agg(*count).first()
         if now == before:
             roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.unionByName(links.select(F.col("b").alias("node"),

@@ -229,39 +229,51 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 20,
-                 rows: int = 4, weights: str = "set", max_rounds: int = 5,
-                 part: int = 4096) -> DataFrame:
+                 rows: int = 4, weights: str = "set", first_bands: int = 4,
+                 max_rounds: int = 5, part: int = 4096) -> DataFrame:
     """(doc_id, node, class_id, class_size, kept) of every document: class_id is the least doc_id
     of its class, and one document of each class is kept."""
     scratch = Scratch(docs.sparkSession, "near")
     signs = scratch.put(signed(docs, width, bands, rows, weights), "signs")
     reps = (signs.where("node is not null").groupBy("node")
-            .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
-    keys = reps.select("node", F.explode("bands").alias("bucket"))
+            .agg(F.any_value("bands").alias("bands")))
+    keys = reps.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = (keys.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
               .where("n > 1"))
     members = scratch.put(keys.join(shared, "bucket"), "members")
-    nodes = scratch.put(members.select("node").distinct(), "nodes")
-    wanted = scratch.put(signs.select("doc_id", "node").join(nodes, "node", "left_semi")
-                         .groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-                         .select("doc_id").distinct(), "wanted")
+    nodes = scratch.put(signs.select("doc_id", "node")
+                        .join(members.select("node").distinct(), "node", "left_semi")
+                        .groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = texts.join(small_or_shuffled(wanted), F.col("id").eqNullSafe(F.col("doc_id")),
-                       "left_semi")
-    sets = scratch.put(element_sets(texts, width, weights).join(nodes, "node", "left_semi")
+    texts = texts.join(small_or_shuffled(nodes.select("doc_id")),
+                       F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
+    sets = scratch.put(element_sets(texts, width, weights)
                        .groupBy("node").agg(F.any_value("elements").alias("elements")), "sets")
 
     def canonical(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("u", "v").alias("a"),
                             F.greatest("u", "v").alias("b")).distinct()
 
-    star = canonical(members.where("node <> centre").select(F.col("node").alias("u"),
-                                                            F.col("centre").alias("v")))
-    tried = scratch.put(star, "tried-0")
-    links = scratch.put(_linked(tried, sets, least), "links-0")
+    # With the least node of the bucket: in a few bands for all, in the others for those that have
+    # no linked neighbour in common with it yet, and so may be of another class.
+    stars = members.where("node <> centre").select("band", F.col("node").alias("u"),
+                                                   F.col("centre").alias("v"))
+    tried = scratch.put(canonical(stars.where(F.col("band") < first_bands)), "tried-a")
+    links = scratch.put(_linked(tried, sets, least), "links-a")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    label = scratch.put(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")),
+                        "label")
+    side = {x: label.select(F.col("a").alias(x), F.col("label").alias(f"{x}_label")) for x in "uv"}
+    rest = (stars.where(F.col("band") >= first_bands).select("u", "v").distinct()
+            .join(small_or_shuffled(side["u"]), "u", "left")
+            .join(small_or_shuffled(side["v"]), "v", "left")
+            .where(F.coalesce("u_label", "u") != F.coalesce("v_label", "v")))
+    fresh = scratch.put(canonical(rest).join(tried, ["a", "b"], "left_anti"), "tried-b")
+    found = scratch.put(_linked(fresh, sets, least), "links-b")
+    tried, links = tried.unionByName(fresh), links.unionByName(found)
     roots = scratch.put(components(links, scratch, "parts-0"), "roots-0")
     for k in range(1, max_rounds + 1):
-        placed = (members.join(roots, "node", "left")
+        placed = (members.join(small_or_shuffled(roots), "node", "left")
                   .select("bucket", "node", "n", F.coalesce("root", "node").alias("root")))
         split = (placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
                  .where("r1 <> r2").select("bucket"))
@@ -278,8 +290,20 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
         found = scratch.put(_linked(fresh, sets, least), f"links-{k}")
         if found.isEmpty():
             break
-        tried, links = tried.unionByName(fresh), links.unionByName(found)
-        roots = scratch.put(components(links, scratch, f"parts-{k}"), f"roots-{k}")
+        # Only classes are merged: the new links, as links between roots, are a small graph.
+        tried = tried.unionByName(fresh)
+        old = {x: roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+               for x in "ab"}
+        between = (found.join(small_or_shuffled(old["a"]), "a", "left")
+                   .join(small_or_shuffled(old["b"]), "b", "left")
+                   .select(F.coalesce("a_root", "a").alias("a"),
+                           F.coalesce("b_root", "b").alias("b")))
+        merged = components(between, scratch, f"parts-{k}")
+        merged = scratch.put(merged.withColumnRenamed("root", "new"), f"merged-{k}")
+        moved = (roots.join(small_or_shuffled(merged.withColumnRenamed("node", "root")), "root",
+                            "left").select("node", F.coalesce("new", "root").alias("root")))
+        roots = scratch.put(moved.unionByName(merged.select("node", F.col("new").alias("root")))
+                            .distinct(), f"roots-{k}")
     whole = signs.select("doc_id", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     ids = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "node")
