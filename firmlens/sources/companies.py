@@ -55,18 +55,20 @@ def companies_by_priority(df: DataFrame) -> DataFrame:
     )
 
 
-def read_company_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_company_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw CSV with a header. All columns stay text: inference would turn a numeric name into
-    a number. A byte-order mark at the start is dropped by the reader."""
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True,
+    a number. A byte-order mark at the start is dropped by the reader. Lists with line ends inside
+    quotes need `multi_line`, which makes each file one task."""
+    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line,
                         mode="PERMISSIVE", encoding="UTF-8", escape='"')
     if not df.columns:
         raise ValueError(f"company list is empty: {path}")
     return df
 
 
-def load_companies(spark: SparkSession, path: str, by_priority: bool = False) -> DataFrame:
-    raw = read_company_csv(spark, path)
+def load_companies(spark: SparkSession, path: str, by_priority: bool = False,
+                   multi_line: bool = False) -> DataFrame:
+    raw = read_company_csv(spark, path, multi_line)
     return companies_by_priority(raw) if by_priority else companies_in_file_order(raw)
 
 

@@ -41,13 +41,17 @@ def rss_items(df: DataFrame, payload: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def read_rss_files(spark: SparkSession, path: str) -> DataFrame:
-    """Items of landed RSS files, each file split by Spark at its item elements."""
+def read_rss_files(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Items of landed RSS files of one feed, each file split by Spark at its item elements; ready for
+    the union of feeds. They belong to no company yet. item_rank grows along each file; it orders
+    items, it does not count them. A file that breaks off gives the items before the break."""
     return (
         spark.read.format("xml").option("rowTag", "item")
         .schema("title string, link string, description string, pubDate string")
         .load(path)
-        .select(*[strip(F.coalesce(F.col(c), F.lit(""))).alias(a) for c, a in
+        .select(F.lit(None).cast("string").alias("company"), F.lit(source).alias("source"),
+                F.monotonically_increasing_id().alias("item_rank"),
+                *[strip(F.coalesce(F.col(c), F.lit(""))).alias(a) for c, a in
                   (("link", "url"), ("title", "title"), ("description", "snippet"),
                    ("pubDate", "raw_date"))])
     )

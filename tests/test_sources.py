@@ -79,7 +79,8 @@ def test_rss(spark, tmp_path):
     assert [(r["k"], r["item_rank"], r["title"], r["url"], r["raw_date"]) for r in rows] == [
         (1, 1, "A & b", "u1", ""), (1, 2, "", "u2", "d"), (3, 1, "t", "", "")]
     write(tmp_path / "f.xml", good)
-    assert {r["url"] for r in feeds.read_rss_files(spark, str(tmp_path)).collect()} == {"u1", "u2"}
+    assert {r["url"] for r in feeds.read_rss_files(
+        spark, str(tmp_path), "businesswire").collect()} == {"u1", "u2"}
 
 
 def test_json_feeds_tolerate_gaps(spark):
