@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.evidence import ITEM_ORDER, add_sections, assemble, first_seen, top_per_source
 from ..operators.mentions import mentions_substring
 from ..params import DETAIL_COLUMNS, LAYERED_SOURCES, SIGNALS, SOURCES, Params, Source
-from ..plans.run import layered_fetch, run_results
+from ..plans.run import attributed, horizon_counts, in_horizon, layered_fetch, run_results
 from .evidence import _HEADERS as HEADERS_SQL
 from .evidence import capped_levels
 from .extraction import _text
@@ -207,6 +207,46 @@ FULL_RUN = rf"""
 """
 
 
+# Items of the last two and a half years, one in nine undated; the press feeds' belong to no one.
+
+def _dated_items(spark, sf) -> DataFrame:
+    doc = F.col("item_rank")
+    press = F.col("source").isin("prnewswire", "businesswire")
+    return items(spark, sf).withColumns({
+        "company": F.when(press, F.lit(None)).otherwise(F.col("company")),
+        "domain": F.when((F.col("source") == "edgar") & (doc % 2 == 0), "10-K").otherwise("8-K/A"),
+        "raw_date": F.when(doc % 9 == 0, "soon").otherwise(F.date_format(F.date_sub(
+            F.lit("2024-06-30").cast("date"), (doc % 900).cast("int")), "yyyy-MM-dd"))})
+
+
+def evidence_in_horizon(spark, sf) -> DataFrame:
+    """Companies found in the press feeds, and what two horizons leave of all feeds."""
+    found = attributed(_dated_items(spark, sf), _companies(spark, sf))
+    as_of = F.lit("2024-06-30 08:00:00").cast("timestamp")
+    return reduce(DataFrame.unionByName, [
+        horizon_counts(in_horizon(found, as_of, Params(horizon_months=m)))
+        .withColumn("months", F.lit(m)) for m in (6, 24)])
+
+
+EVIDENCE_IN_HORIZON = f"""
+  WITH d AS (
+    SELECT * EXCLUDE (raw_date), CASE WHEN item_rank % 9 <> 0
+      THEN DATE '2024-06-30' - CAST(item_rank % 900 AS INTEGER) END AS day FROM ({ITEMS_SQL})),
+  names AS (SELECT DISTINCT lang AS company FROM documents),
+  found AS (
+    SELECT company, source, item_rank, day FROM d WHERE source NOT IN ('prnewswire', 'businesswire')
+    UNION ALL
+    SELECT n.company, source, item_rank, day FROM d JOIN names n
+      ON contains(lower(title || ' ' || snippet), n.company)
+    WHERE source IN ('prnewswire', 'businesswire'))
+  SELECT months, company, source, count(*) AS items, count_if(day IS NULL) AS undated
+  FROM found, (VALUES (6, DATE '2023-12-30'), (24, DATE '2022-06-30')) h(months, since)
+  WHERE (source NOT IN ('edgar', 'google_news', 'gdelt', 'guardian') OR day IS NULL OR day >= since)
+    AND NOT (source = 'edgar' AND item_rank % 2 = 0)
+  GROUP BY ALL
+"""
+
+
 def layered(spark, sf) -> DataFrame:
     """The cached path with an empty cache: live fetches with paragraph chunks."""
     companies = _companies(spark, sf)
@@ -255,6 +295,7 @@ LAYERED = rf"""
 
 QUERIES = {
     "mention_contexts": (mention_contexts, MENTION_CONTEXTS),
+    "evidence_in_horizon": (evidence_in_horizon, EVIDENCE_IN_HORIZON),
     "full_run": (full_run, FULL_RUN),
     "layered_fetch": (layered, LAYERED),
 }

@@ -46,6 +46,10 @@ NEWS_WORDS = (
     "renamed", "relocated", "rebranded", "spinoff", "redomicile", "headquarters", "new name",
 )
 
+# Feeds that are searched within the date horizon, and the only form type taken from the filings.
+HORIZON_FEEDS = ("edgar", "google_news", "gdelt", "guardian")
+FILING_FORM = "8-K"
+
 SUMMARY_SHORT_CONTEXT = "Insufficient context to classify."
 SUMMARY_NOTHING = "No significant corporate changes identified."
 SUMMARY_UNCONFIRMED = "Signals detected but none confirmed after extraction."

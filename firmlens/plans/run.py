@@ -11,13 +11,15 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import horizon_start, parse_published
 from ..functions.text import sanitise
 from ..operators.evidence import (add_sections, assemble, cut_snippets, dedupe_capped,
                                   dedupe_then_cap, known_feeds, merge_deep)
 from ..operators.extraction import classify
 from ..operators.lifecycle import todo
+from ..operators.mentions import attach_companies
 from ..operators.screening import decide
-from ..params import LAYERED_SOURCES, Params
+from ..params import FILING_FORM, HORIZON_FEEDS, LAYERED_SOURCES, Params
 from ..sources import cache as fetch_cache
 from ..sources.companies import first_companies
 
@@ -57,6 +59,56 @@ def base_contexts(companies: DataFrame, items: DataFrame, params: Params = Param
         .alias("source_breakdown"))
 
 
+def attributed(items: DataFrame, companies: DataFrame, words: bool = False) -> DataFrame:
+    """Items with a company as they are; those of the press feeds, which have none yet, once for
+    each company that their title and snippet mention."""
+    loose = attach_companies(items.filter(F.col("company").isNull()), "item_rank",
+                             companies.select("company").distinct(), words=words)
+    return items.filter(F.col("company").isNotNull()).unionByName(loose)
+
+
+def _published() -> Column:
+    return parse_published(F.col("raw_date"))
+
+
+def in_horizon(items: DataFrame, as_of: Column, params: Params = Params()) -> DataFrame:
+    """What the feeds' own searches let through: items of the searched feeds from the last
+    `horizon_months` before `as_of`, and of the filings one form type. Undated items stay
+    (`horizon_counts` tells how many there are)."""
+    day = F.to_date(as_of)
+    when = F.to_date(_published())
+    inside = when.isNull() | when.between(horizon_start(day, params.horizon_months), day)
+    form = (F.col("source") != "edgar") | (F.coalesce("domain", F.lit("")) == "") | (
+        F.col("domain").startswith(FILING_FORM))
+    return items.filter((~F.col("source").isin(*HORIZON_FEEDS) | inside) & form)
+
+
+def horizon_counts(items: DataFrame) -> DataFrame:
+    """(company, source, items, undated)."""
+    return items.groupBy("company", "source").agg(
+        F.count(F.lit(1)).alias("items"), F.count_if(_published().isNull()).alias("undated"))
+
+
+def with_sector(rows: DataFrame, companies: DataFrame) -> DataFrame:
+    """Rows with the sector of their company's first line in the list, where the list has any."""
+    if "sector" not in companies.columns:
+        return rows
+    order = ["input_pos"] if "input_pos" in companies.columns else []
+    sectors = companies.groupBy("company").agg(
+        F.min(F.struct(*order, "sector"))["sector"].alias("sector"))
+    return rows.join(sectors, "company", "left")
+
+
+def run_feeds(companies: DataFrame, items: DataFrame, screen_answers: DataFrame,
+              answers: DataFrame, as_of: Column, params: Params = Params(),
+              deep: bool = True) -> DataFrame:
+    """A whole run from landed feeds: companies are found in the press feeds, the date horizon is
+    applied, and result rows carry their sector."""
+    mine = in_horizon(attributed(items, companies), as_of, params)
+    rows = run_results(companies, mine, screen_answers, answers, params, deep)
+    return with_sector(rows, companies)
+
+
 def run_results(companies: DataFrame, items: DataFrame, screen_answers: DataFrame,
                 answers: DataFrame, params: Params = Params(),
                 deep: bool = True) -> DataFrame:

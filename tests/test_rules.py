@@ -156,3 +156,26 @@ def test_report_is_written_from_one_evaluation(spark, tmp_path):
     assert len(read["dashboard"]) == 3 and len(read["run_stats"]) == 14
     for name in ("sector_changes", "hq_changes", "operational_changes", "bankruptcy"):
         assert [r["company"] for r in read[name]] == [EMPTY_VIEW_TEXT]
+
+
+def test_run_from_landed_feeds(spark):
+    """The press item finds its company, old news stays out, the sector comes along."""
+    from firmlens.plans.run import run_feeds
+
+    rows = [(None, "prnewswire", 5, 1, 1, "p1", "Acme merger", "acme buys all " * 9, "", "20 years ago"),
+            ("Acme", "guardian", 4, 1, 2, "g1", "Acme merger news", "x" * 90, "", "2024-05-01"),
+            ("Acme", "guardian", 4, 1, 3, "g2", "Acme merger olds", "x" * 90, "", "2023-01-01"),
+            ("Acme", "edgar", 1, 1, 4, "e1", "Acme 10-K", "y" * 90, "10-K", "2024-05-01")]
+    companies = spark.createDataFrame([(0, "Acme", "Tools"), (1, "Bolt", "Nails")],
+                                      "input_pos long, company string, sector string")
+    none = spark.createDataFrame([], "company string, raw string")
+    answers = spark.createDataFrame(
+        [], "company string, pass string, chunk_idx long, signal string, raw string")
+    as_of = F.lit("2024-06-30").cast("timestamp")
+    for months, urls in ((6, ["g1", "p1"]), (24, ["g1", "g2", "p1"])):
+        got = {r["company"]: r for r in run_feeds(
+            companies, spark.createDataFrame(rows, ITEM), none, answers, as_of,
+            Params(horizon_months=months)).collect()}
+        assert sorted(got["Acme"]["sources"]) == urls
+        assert (got["Acme"]["sector"], got["Bolt"]["sector"]) == ("Tools", "Nails")
+        assert got["Bolt"]["sources"] == []
