@@ -24,6 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -101,58 +102,81 @@ def _built(piece: str, rank: dict[str, float]) -> bool:
     return True
 
 
-def suffix_array(codes: np.ndarray, width: int) -> np.ndarray:
-    """Starts of all suffixes in the order of their first `width` characters (at least)."""
-    n = len(codes)
-    present = np.zeros(_GAP + 1, "i8")
-    present[codes] = 1
-    small = np.cumsum(present)[codes]  # 1 is the least character, 0 stands for the end
-    base = int(small.max(initial=1)) + 1
-    span, key = 1, small
-    while base ** (span + 1) < 2 ** 62 and span < width:  # as many characters as fit in 62 bits
-        after = np.zeros(n, "i8")
-        after[: max(0, n - span)] = small[span:]
-        key, span = key * base + after, span + 1
-    while True:
-        order = np.argsort(key)
-        if span >= width:
-            return order
-        in_order = key[order]
-        rank = np.empty(n, "i8")
-        rank[order] = np.cumsum(np.concatenate([[1], in_order[1:] != in_order[:-1]]))
-        after = np.zeros(n, "i8")
-        after[: max(0, n - span)] = rank[span:]
-        key, span = rank * (n + 2) + after, span * 2
-
-
-def _bounds(codes: np.ndarray, order: np.ndarray, vocabulary: Vocabulary,
-            upper: bool) -> np.ndarray:
-    """For every piece, how many suffixes are smaller (upper: or begin with it)."""
-    pieces, width = vocabulary.codes, vocabulary.width
+class Suffixes:
+    """The suffixes of `codes` in the order of their first `width` characters (at least). `heads`
+    are their first `span` characters as numbers, in that order."""
+
+    def __init__(self, codes: np.ndarray, width: int):
+        n = len(codes)
+        present = np.zeros(_GAP + 1, "i4")
+        present[codes] = 1
+        self.rank_of = np.where(present, np.cumsum(present), 0)  # 0 stands for the end
+        small = self.rank_of[codes].astype("i8")
+        self.base = int(small.max(initial=1)) + 1
+        self.span, key = 1, small
+        while self.base ** (self.span + 1) < 2 ** 62 and self.span < width:
+            key = key * self.base
+            key[: max(0, n - self.span)] += small[self.span:]
+            self.span += 1
+        heads, span = key, self.span
+        while True:
+            self.order = np.argsort(key)
+            if span >= width:
+                break
+            in_order = key[self.order]
+            rank = np.empty(n, "i8")
+            rank[self.order] = np.cumsum(np.concatenate([[1], in_order[1:] != in_order[:-1]]))
+            key = rank * (n + 2)
+            key[: max(0, n - span)] += rank[span:]
+            span *= 2
+        self.heads = heads[self.order]
+
+    def ranges(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where suffixes that begin as the rows of `codes` do begin and end, by their heads only."""
+        ranks = self.rank_of[codes[:, : self.span]]
+        inside = np.arange(ranks.shape[1]) < lengths[:, None]
+        absent = (inside & (ranks == 0)).any(axis=1)
+        low, high = np.zeros(len(codes), "i8"), np.zeros(len(codes), "i8")
+        for j in range(self.span):
+            rank, there = (ranks[:, j], inside[:, j]) if j < ranks.shape[1] else (0, False)
+            low = low * self.base + np.where(there, rank, 0)
+            high = high * self.base + np.where(there, rank, self.base - 1)
+        first = np.searchsorted(self.heads, low, side="left")
+        last = np.searchsorted(self.heads, high, side="right")
+        return first, np.where(absent, first, last)
+
+
+def _bound(codes: np.ndarray, suffixes: Suffixes, vocabulary: Vocabulary, low: np.ndarray,
+           high: np.ndarray, upper: bool) -> np.ndarray:
+    """Binary search of every piece between `low` and `high`: the first suffix that is not smaller
+    (upper: that is greater and does not begin with it)."""
+    low, high, width = low.copy(), high.copy(), vocabulary.width
     inside = np.arange(width) < vocabulary.lengths[:, None]
-    low = np.zeros(len(pieces), "i8")
-    high = np.full(len(pieces), len(order), "i8")
-    rows = np.arange(len(pieces))
-    while len(open_ := np.flatnonzero(low < high)):
-        middle = (low[open_] + high[open_]) // 2
-        seen = codes[order[middle][:, None] + np.arange(width)]
-        gap = np.where(inside[open_], seen - pieces[open_], 0)
-        sign = gap[rows[: len(open_)], np.argmax(gap != 0, axis=1)]
+    while len(left := np.flatnonzero(low < high)):
+        middle = (low[left] + high[left]) // 2
+        seen = codes[suffixes.order[middle][:, None] + np.arange(width)]
+        gap = np.where(inside[left], seen - vocabulary.codes[left], 0)
+        sign = gap[np.arange(len(left)), np.argmax(gap != 0, axis=1)]
         right = sign <= 0 if upper else sign < 0
-        low[open_[right]] = middle[right] + 1
-        high[open_[~right]] = middle[~right]
+        low[left[right]] = middle[right] + 1
+        high[left[~right]] = middle[~right]
     return low
 
 
 def lattice(codes: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(piece row, start) of every occurrence of every piece, by rank and then position."""
+    suffixes = Suffixes(codes, vocabulary.width)
+    first, last = suffixes.ranges(vocabulary.codes, vocabulary.lengths)
+    short = vocabulary.lengths <= suffixes.span
     padded = np.concatenate([codes, np.full(vocabulary.width, _GAP, "i8")])
-    order = suffix_array(codes, vocabulary.width)
-    first = _bounds(padded, order, vocabulary, upper=False)
-    count = _bounds(padded, order, vocabulary, upper=True) - first
-    piece = np.repeat(np.arange(len(count)), count)
+    begin = _bound(padded, suffixes, vocabulary, first, np.where(short, first, last), upper=False)
+    end = np.where(short, last,
+                   _bound(padded, suffixes, vocabulary, begin, np.where(short, begin, last),
+                          upper=True))
+    count = end - begin
+    piece = np.repeat(np.arange(len(count), dtype="i4"), count)
     within = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)
-    start = order[np.repeat(first, count) + within]
+    start = suffixes.order[np.repeat(begin, count) + within].astype("i4")
     by = np.argsort(vocabulary.ranks[piece] * (len(codes) + 1) + start)
     return piece[by], start[by]
 
@@ -202,7 +226,7 @@ class Encoder:
     """Encodes batch after batch. Parts met before keep their ids, until `most_parts` are known;
     then all are forgotten, so memory stays bounded."""
 
-    def __init__(self, vocabulary: Vocabulary, most_parts: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, most_parts: int = 300_000):
         self.vocabulary, self.most_parts = vocabulary, most_parts
         self.forget()
 
@@ -240,20 +264,20 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _slices(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
-    """Cut a batch where its texts exceed `most` characters together; a longer text stands alone."""
+def _slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Cut a batch where its texts exceed `most` bytes together; a longer text stands alone."""
     begin = size = 0
-    for k, text in enumerate(texts):
-        if k > begin and size + len(text or "") > most:
+    for k, length in enumerate(lengths):
+        if k > begin and size + length > most:
             yield begin, k
             begin, size = k, 0
-        size += len(text or "")
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += length
+    if begin < len(lengths):
+        yield begin, len(lengths)
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: str = "tokens",
-           batch_chars: int = 4_000_000) -> DataFrame:
+           batch_bytes: int = 3_000_000) -> DataFrame:
     """`docs` with the ids of the whole text as array<int>; no special tokens are added."""
     vocabulary = Vocabulary.load(model or default_model())
     kept = [f for f in docs.schema.fields if f.name.lower() != ids.lower()]
@@ -264,11 +288,13 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.setdefault(vocabulary.name, Encoder(vocabulary))
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in _slices(texts, batch_chars):
-                values, sizes = encoder.encode(texts[a:b])
+            column = batch.column(batch.num_columns - 1)
+            lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for a, b in _slices(lengths, batch_bytes):
+                texts = column.slice(a, b - a).to_pylist()
+                values, sizes = encoder.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
-                absent = pa.array([t is None for t in texts[a:b]])
+                absent = pa.array([t is None for t in texts])
                 made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()),
                                                 mask=absent)
                 columns = [c.slice(a, b - a) for c in batch.columns[:-1]]
