@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Every character that counts as whitespace at the ends of a text.
 _WHITESPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -29,33 +29,78 @@ def lines(col: Column) -> Column:
     return F.transform(F.split(col, _LINE_END), strip)
 
 
-def _unescape(col: Column) -> Column:
-    # A local function travels by value: workers need no copy of this package.
-    def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
-    return F.pandas_udf(unescape, StringType())(col)
+# Every character reference, as HTML 5 reads it in running text.
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Numbers that stand for another character than their own, by the standard library's reading.
+_RENUMBERED = {n: html.unescape(f"&#{n};") for n in (0, 13, *range(0x80, 0xA0))}
+# Names in everyday feeds, tried before the whole table.
+_EVERYDAY = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "middot;")
 
 
-def decode_entities(col: Column, full: bool = True) -> Column:
-    """HTML entities to characters.
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    full=True knows every named entity, through an Arrow-batched UDF; full=False stays in
-    the JVM and knows the handful that plain feeds use (the ampersand last, so that an
-    escaped entity is decoded once only).
-    """
-    if full:
-        return _unescape(col)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                         ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
-                         ("&amp;", "&")):
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return col
+
+def _table(entries: dict) -> Column:
+    """A constant map; folded once, not built per row."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+
+
+def _numbered(ref: Column) -> Column:
+    """The character of a reference by number, given from its # on."""
+    digits = F.rtrim(F.substring(ref, 2, 2 ** 30), F.lit(";"))
+    is_hex = F.lower(F.substring(digits, 1, 1)) == "x"
+    short = F.ltrim(F.when(is_hex, F.substring(digits, 2, 2 ** 30)).otherwise(digits), F.lit("0"))
+    # Ten digits, of either base, are past every character.
+    padded = F.concat(F.lit("0"), short)
+    number = F.when(F.length(short) > 9, F.lit(2 ** 31)).otherwise(
+        F.when(is_hex, F.conv(padded, 16, 10)).otherwise(padded).cast("bigint"))
+
+    def character(n: Column) -> Column:
+        nothing = (n.between(1, 8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F)
+                   | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+        own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        other = F.try_element_at(_table({str(k): v for k, v in _RENUMBERED.items()}),
+                                 n.cast("string"))
+        return (F.when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+                .when(n.isin(*_RENUMBERED), other).when(nothing, F.lit("")).otherwise(own))
+
+    return _let(number, character)
+
+
+def _named(ref: Column) -> Column:
+    """The characters of a reference by name; of a name that is none, those of the longest old name
+    (written without a semicolon) that it begins with."""
+    old = _table({k: v for k, v in html5.items() if not k.endswith(";")})
+    known = F.coalesce(
+        *[F.when(ref == name, F.lit(html5[name])) for name in _EVERYDAY],
+        F.try_element_at(_table(html5), ref))
+    heads = F.filter(F.sequence(F.length(ref) - 1, F.lit(1), F.lit(-1)),
+                     lambda k: F.map_contains_key(old, F.left(ref, k)))
+    longest = _let(F.get(heads, F.lit(0)), lambda k: F.concat(
+        F.try_element_at(old, F.left(ref, k)), F.substring(ref, k + 1, F.length(ref))))
+    return F.coalesce(known, F.when(F.length(ref) > 2, longest), F.concat(F.lit("&"), ref))
+
+
+def decode_entities(col: Column) -> Column:
+    """HTML character references to characters, each once, as the standard library's `unescape` does;
+    in the JVM, and only in texts that have an ampersand."""
+    found = F.transform(F.regexp_extract_all(col, F.lit(_REFERENCE), F.lit(1)), lambda r: F.when(
+        r.startswith("#"), _numbered(r)).otherwise(_named(r)))
+
+    def joined(gaps: Column) -> Column:
+        rest = F.zip_with(found, F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))),
+                          lambda character, gap: F.concat(character, gap))
+        return F.concat(F.get(gaps, F.lit(0)), F.array_join(rest, ""))
+
+    return F.when(F.contains(col, F.lit("&")), _let(F.split(col, _REFERENCE, -1), joined)) \
+        .otherwise(col)
 
 
-def sanitise(col: Column, full_entities: bool = True) -> Column:
+def sanitise(col: Column) -> Column:
     """Decode entities, then tags to a blank, control characters out, blanks and blank lines
     squeezed, ends trimmed. Decoding comes first: an escaped tag is a tag."""
-    text = decode_entities(F.coalesce(col, F.lit("")), full_entities)
+    text = decode_entities(F.coalesce(col, F.lit("")))
     text = F.regexp_replace(text, r"<[^>]+>", " ")
     text = F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
     text = F.regexp_replace(text, r"[ \t]{2,}", " ")

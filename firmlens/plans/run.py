@@ -123,22 +123,21 @@ def run_results(companies: DataFrame, items: DataFrame, screen_answers: DataFram
     return classify(contexts, answers, params)
 
 
-def layered_items(items: DataFrame, full_entities: bool = True) -> DataFrame:
+def layered_items(items: DataFrame) -> DataFrame:
     """Items as the cached path shows them: titles and snippets sanitised, feed dates cut,
     filings all under one form type."""
     source = F.col("source")
     feeds = source.isin("google_news", "prnewswire", "businesswire")
     return items.withColumns({
         "title": F.when(source == "wikipedia", F.col("title"))
-                  .otherwise(sanitise(F.col("title"), full_entities)),
-        "snippet": sanitise(F.col("snippet"), full_entities),
+                  .otherwise(sanitise(F.col("title"))),
+        "snippet": sanitise(F.col("snippet")),
         "raw_date": F.when(feeds, F.substring("raw_date", 1, 22)).otherwise(F.col("raw_date")),
         "domain": F.when(source == "edgar", "8-K").otherwise(F.col("domain"))})
 
 
 def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_of: Column,
-                  params: Params = Params(), stage2: bool = False,
-                  full_entities: bool = True) -> DataFrame:
+                  params: Params = Params(), stage2: bool = False) -> DataFrame:
     """The cached path: fresh cache entries as they are, every other company assembled from
     landed items, with paragraph chunks. `payload` of a cache entry is the record (RECORD)."""
     sources = LAYERED_SOURCES if stage2 else tuple(
@@ -153,7 +152,7 @@ def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_o
         F.col("source").isin([s.name for s in sources]))
     # Caps need keys alone, so they come before the company join and before any text is cleaned.
     kept = dedupe_capped(mine, sources).join(missing, "company", "left_semi")
-    kept = cut_snippets(layered_items(kept, full_entities), sources)
+    kept = cut_snippets(layered_items(kept), sources)
     packed = assemble(add_sections(kept, sources, at_sentence=True), p,
                       headers=False, first_lines=True, chunks=True)
     none = F.array().cast("array<string>")

@@ -96,8 +96,20 @@ def test_sanitise(spark):
         want = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "", want)
         want = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]{2,}", " ", want)).strip()
         assert got == want
-    native = evaluate(spark, ["&amp;lt; &quot;&copy;"], lambda c: decode_entities(c, full=False))
-    assert native == ['&lt; "©']
+
+
+def test_entities_as_the_standard_library_reads_them(spark):
+    rng = random.Random(12)
+    names = ["amp;", "amp", "eacute;", "eacute", "notin;", "notit;", "not", "copy", "NotEqualTilde;",
+             "bogus;", "x", "l", "lt", "ltx;", "fjlig;", "trade;", "nbsp", "Amp;", "frac12"]
+    numbers = ["#233;", "#233", "#8217;", "#x2019;", "#X1F600;", "#0;", "#13;", "#128;", "#x9f;", "#1;",
+               "#55296;", "#1114112;", "#99999999999999999999;", "#xFFFFE;", "#xfdd0;", "#11;", "#x;",
+               "#", "#x110000", "#0000000000000000065;"]
+    texts = ["&" + n for n in names + numbers] + ["&amp;lt; &quot;&copy;", "a & b && c &;", "", "&"]
+    texts += ["".join(rng.choice(["&" + rng.choice(names + numbers), "&", ";", " x", "<", "é", "\n"])
+                      for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    assert evaluate(spark, texts, decode_entities) == [html.unescape(t) for t in texts]
+    assert evaluate(spark, [None], decode_entities) == [None]
 
 
 def test_strip(spark):
