@@ -40,7 +40,7 @@ def term_hashes(text: str | None) -> list[int]:
 
 @pandas_udf(ArrayType(LongType()))
 def _terms(texts: pd.Series) -> pd.Series:
-    return texts.map(term_hashes)
+    return texts.map(lambda t: np.array(term_hashes(t), "i8"))
 
 
 @dataclass
@@ -60,15 +60,19 @@ class FactorizationMachine:
             out += 0.5 * (np.bincount(rows, v, n) ** 2 - np.bincount(rows, v * v, n))
         return out
 
-    def score(self, texts) -> np.ndarray:
-        found = [term_hashes(t) for t in texts]
-        sizes = np.fromiter(map(len, found), "i8", len(found))
-        rows = np.repeat(np.arange(len(found)), sizes)
-        keys = np.fromiter((h for hs in found for h in hs), "i8", int(sizes.sum()))
+    def known(self, text: str | None) -> np.ndarray:
+        """The vocabulary positions of a text's terms."""
+        keys = np.array(term_hashes(text), "i8")
         at = np.searchsorted(self.terms, keys)
-        known = at < len(self.terms)
-        known[known] = self.terms[at[known]] == keys[known]
-        margin = self.margins(rows[known], at[known], len(found))
+        near = at < len(self.terms)
+        near[near] = self.terms[at[near]] == keys[near]
+        return at[near]
+
+    def score(self, texts) -> np.ndarray:
+        found = [self.known(t) for t in texts]
+        rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
+        cols = np.concatenate([np.array([], "i8"), *found])
+        margin = self.margins(rows, cols, len(found))
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
