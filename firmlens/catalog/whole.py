@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..operators.evidence import ITEM_ORDER, add_sections, assemble, first_seen, top_per_source
 from ..operators.mentions import mentions_substring
 from ..params import DETAIL_COLUMNS, LAYERED_SOURCES, SIGNALS, SOURCES, Params, Source
-from ..plans.run import attributed, horizon_counts, in_horizon, layered_fetch, run_results
+from ..functions.names import cache_key
+from ..plans.run import RECORD_TYPE, attributed, horizon_counts, in_horizon, layered_fetch, run_results
 from .evidence import _HEADERS as HEADERS_SQL
 from .evidence import capped_levels
 from .extraction import _text
@@ -248,17 +249,24 @@ EVIDENCE_IN_HORIZON = f"""
 
 
 def layered(spark, sf) -> DataFrame:
-    """The cached path with an empty cache: live fetches with paragraph chunks."""
+    """The cached path: one company's fresh record answers, the others are fetched with paragraph
+    chunks; a stale record and one of another stage do not count."""
     companies = _companies(spark, sf)
-    record = ("struct<headline_text:string,context:string,chunks:array<string>,"
-              "sources:array<string>,char_count:bigint>")
-    cache = companies.filter("company is null").select(
-        F.col("company").alias("key"), F.lit(None).cast(record).alias("payload"),
-        F.lit(None).cast("timestamp").alias("fetched_at"))
-    out = layered_fetch(companies, cache, items(spark, sf),
-                        F.lit("2024-01-30 12:00:00").cast("timestamp"), stage2=True)
+    as_of = F.lit("2024-01-30 12:00:00").cast("timestamp")
+    landed = F.when(F.col("company") == "es", F.lit("2023-12-01 00:00:00")).otherwise(
+        "2024-01-29 09:00:00").cast("timestamp")
+    record = F.struct(F.lit("cached head"), F.concat(F.lit("cached "), "company"),
+                      F.array(F.lit("one"), F.lit("two")), F.array(F.lit("u1")), F.lit(9),
+                      F.create_map(F.lit("gdelt"), F.lit(9)), F.lit(3), F.lit(1)).cast(RECORD_TYPE)
+    stage = F.when(F.col("company") == "de", "1").otherwise("2")
+    cached = companies.filter("company <> 'en'").select(
+        cache_key(F.col("company"), as_of, stage).alias("key"), "company", record.alias("payload"),
+        landed.alias("fetched_at"))
+    out = layered_fetch(companies, cached, items(spark, sf), as_of, stage2=True)
     return out.select("company", "from_cache", "char_count", "context",
-                      F.array_join("sources", " ").alias("sources"), "headline_text")
+                      F.array_join("sources", " ").alias("sources"), "headline_text",
+                      "tavily_calls", "brave_calls", F.size("source_breakdown").alias("feeds"),
+                      (F.size("chunks") > 0).alias("chunked"))
 
 
 _CUT = "CASE source WHEN 'edgar' THEN snippet WHEN 'wikipedia' THEN substr(snippet, 1, 1200) " + " ".join(
@@ -287,8 +295,17 @@ LAYERED = rf"""
     GROUP BY company, url)
   SELECT company, false AS from_cache, length(t) AS char_count, substr(t, 1, 15000) AS context,
     (SELECT string_agg(url, ' ' ORDER BY n) FROM firsts f
-      WHERE f.company = ctx.company AND n <= 15) AS sources, headline_text
-  FROM ctx
+      WHERE f.company = ctx.company AND n <= 15) AS sources, headline_text,
+    (SELECT count(DISTINCT query_rank) FROM ({ITEMS_SQL}) i
+      WHERE i.company = ctx.company AND source = 'tavily') AS tavily_calls,
+    (SELECT count(DISTINCT query_rank) FROM ({ITEMS_SQL}) i
+      WHERE i.company = ctx.company AND source = 'brave') AS brave_calls,
+    (SELECT count(DISTINCT source) FROM sec WHERE sec.company = ctx.company) AS feeds,
+    true AS chunked
+  FROM ctx WHERE company <> 'fr'
+  UNION ALL
+  SELECT 'fr', true, 9, 'cached fr', 'u1', 'cached head', 3, 1, 1, true
+  WHERE 'fr' IN (SELECT lang FROM documents)
 """
 
 

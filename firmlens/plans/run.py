@@ -23,8 +23,21 @@ from ..params import FILING_FORM, HORIZON_FEEDS, LAYERED_SOURCES, Params
 from ..sources import cache as fetch_cache
 from ..sources.companies import first_companies
 
-# Fields of a cached fetch.
-RECORD = ("headline_text", "context", "chunks", "sources", "char_count")
+# Fields of a cached fetch. The calls are the searches of the paid feeds whose items landed.
+RECORD = ("headline_text", "context", "chunks", "sources", "char_count", "source_breakdown",
+          "tavily_calls", "brave_calls")
+RECORD_TYPE = ("struct<headline_text:string,context:string,chunks:array<string>,"
+               "sources:array<string>,char_count:bigint,source_breakdown:map<string,bigint>,"
+               "tavily_calls:int,brave_calls:int>")
+
+
+def paid_calls(items: DataFrame) -> DataFrame:
+    """(company, tavily_calls, brave_calls): how many of each paid feed's queries handed items over."""
+    per_query = items.filter(F.col("source").isin("tavily", "brave")).select(
+        "company", "source", "query_rank").distinct()
+    return per_query.groupBy("company").agg(
+        F.count_if(F.col("source") == "tavily").cast("int").alias("tavily_calls"),
+        F.count_if(F.col("source") == "brave").cast("int").alias("brave_calls"))
 
 
 def select_work(companies: DataFrame, results: DataFrame | None, params: Params = Params(),
@@ -157,13 +170,25 @@ def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_o
                       headers=False, first_lines=True, chunks=True)
     none = F.array().cast("array<string>")
     empty = {"headline_text": F.lit(""), "context": F.lit(""), "chunks": none, "sources": none,
-             "char_count": F.lit(0).cast("long")}
-    live = missing.join(packed, "company", "left").select(
+             "char_count": F.lit(0).cast("long"),
+             "source_breakdown": F.create_map().cast("map<string,bigint>"),
+             "tavily_calls": F.lit(0), "brave_calls": F.lit(0)}
+    live = missing.join(packed, "company", "left").join(
+        paid_calls(mine), "company", "left").select(
         "company", *[F.coalesce(c, empty[c]).alias(c) for c in RECORD],
         F.lit(False).alias("from_cache"))
     return hits.unionByName(live)
 
 
+def fetch_log(fetched: DataFrame) -> DataFrame:
+    """Fetches as the log that `fetch_usage` adds up; an answer from the cache costs nothing."""
+    def cost(calls: str) -> Column:
+        return F.when(F.col("from_cache"), 0).otherwise(F.col(calls))
+
+    return fetched.select("company", "from_cache", cost("tavily_calls").alias("deep_calls"),
+                          cost("brave_calls").alias("web_calls"))
+
+
 def cache_records(fetched: DataFrame, as_of: Column, stage2: bool = False) -> DataFrame:
     """Fresh fetches as cache entries."""
     live = fetched.filter(~F.col("from_cache"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from firmlens.functions.dates import parse_published, runtime_label
 from firmlens.params import Params
-from firmlens.plans.run import cache_records, layered_fetch, select_work
+from firmlens.plans.run import RECORD_TYPE, cache_records, layered_fetch, select_work
 from firmlens.sources import cache, feeds, results
 from firmlens.sources.companies import first_companies, load_companies, read_company_csv
 
@@ -135,9 +135,7 @@ def test_cached_fetch(spark, tmp_path):
     items = spark.createDataFrame(
         [("A", "gdelt", 3, 1, 1, "u1", "T", "", "d", "20240101"),
          ("B", "wikipedia", 7, 1, 1, "u2", "W", "x" * 60, "", "")], ITEM_SCHEMA)
-    record = ("struct<headline_text:string,context:string,chunks:array<string>,"
-              "sources:array<string>,char_count:bigint>")
-    empty = spark.createDataFrame([], f"key string, company string, payload {record}, "
+    empty = spark.createDataFrame([], f"key string, company string, payload {RECORD_TYPE}, "
                                       "fetched_at timestamp")
     first = layered_fetch(names, empty, items, monday)
     got = {r["company"]: r for r in first.collect()}
