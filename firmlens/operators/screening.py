@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.jsonio import int_field, let, newest_answers, parse_score_answer, text_field
 from ..functions.names import clean_name_light
 from ..functions.text import strip
 from ..params import (REASON_NO_CONTENT, REASON_NO_KEYWORD, REASON_PARSE_ERROR, SIGNAL_ROOTS,
                       Params)
+from .batch import score_batch, spread
 
 REACH = 300
 SCREEN_COLUMNS = ("company", "passed", "stage", "score", "reason")
@@ -114,6 +116,23 @@ def decide(headlines: DataFrame, answers: DataFrame, params: Params = Params(),
         *[c for c in headlines.columns if c != "company"])
 
 
+def ask_scores(headlines: DataFrame, setup: Callable[[], Callable[[dict], dict]],
+               params: Params = Params(), pattern: str | None = None) -> DataFrame:
+    """(company, raw): the short model's answers for `decide`. Only companies that pass the content and
+    keyword gates are asked, each about the first `screen_chars` characters of its headlines. `setup`
+    gives a function from {company, headlines} to {raw}; where it fails, raw is NULL, which passes."""
+    text = F.col("headline_text")
+    gated = headlines.filter(
+        enough_content(text, params.headline_min_chars)
+        & keyword_near_name(F.col("company"), text,
+                            pattern or keyword_pattern(params.roots)).isNotNull())
+    shown = text if params.screen_chars is None else F.substring(text, 1, params.screen_chars)
+    asked = spread(gated.select("company", shown.alias("headlines")), params.num_partitions)
+    answers = score_batch(asked, setup, StructType([StructField("raw", StringType())]),
+                          error_chars=params.error_chars)
+    return answers.select("company", F.when(F.col("error").isNull(), F.col("raw")).alias("raw"))
+
+
 def screen_log(decisions: DataFrame) -> DataFrame:
     return decisions.select(*SCREEN_COLUMNS)
 

@@ -127,6 +127,8 @@ class Params:
     horizon_months: int = 12
     min_confidence: int = 2
     min_prescreen_score: int = 3
+    # Characters of a headline text that the scorer reads; None for all of it.
+    screen_chars: int | None = 2000
     chunk_chars: int = 3000
     max_chunks: int = 5
     chunk_overlap: int = 200

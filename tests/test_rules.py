@@ -179,3 +179,30 @@ def test_run_from_landed_feeds(spark):
         assert sorted(got["Acme"]["sources"]) == urls
         assert (got["Acme"]["sector"], got["Bolt"]["sector"]) == ("Tools", "Nails")
         assert got["Bolt"]["sources"] == []
+
+
+def test_scorer_is_asked_about_short_headlines_of_gated_companies(spark):
+    from firmlens.operators.screening import ask_scores
+
+    rows = [("Acme", "Acme merger. " * 400), ("Bolt", "Bolt merger news of today, in many words. " * 2),
+            ("Coil", "Coil merger news of today, in many words. " * 2), ("Dart", "Dart merger"),
+            ("Edge", "Edge is quiet today, nothing at all goes on there. " * 2)]
+    headlines = spark.createDataFrame(rows, "company string, headline_text string")
+
+    def setup():
+        def call(row):
+            if row["company"] == "Coil":
+                raise ValueError("no answer")
+            return {"raw": '{"score": %d, "reason": "%d"}' % (
+                1 + len(row["headlines"]) % 5, len(row["headlines"]))}
+        return call
+
+    answers = ask_scores(headlines, setup)
+    assert sorted((r["company"], r["raw"]) for r in answers.collect()) == [
+        ("Acme", '{"score": 1, "reason": "2000"}'), ("Bolt", '{"score": 5, "reason": "84"}'),
+        ("Coil", None)]
+    got = {r["company"]: (r["stage"], r["score"]) for r in decide(headlines, answers).collect()}
+    assert got == {"Acme": ("1C_llm", 1), "Bolt": ("passed", 5), "Coil": ("passed", 3),
+                   "Dart": ("no_content", 0), "Edge": ("1B_keyword", 0)}
+    whole = ask_scores(headlines, setup, Params(screen_chars=None)).filter("company = 'Acme'").first()
+    assert '"5200"' in whole["raw"]
