@@ -21,7 +21,7 @@ def evidence_union(spark, sf):
     docs = texts(spark, sf).select(
         F.col("lang").alias("company"), F.col("doc_id").alias("item_rank"),
         F.concat(F.lit("doc:"), "doc_id").alias("url"),
-        F.substring("text", 1, 60).alias("title"), F.col("source").alias("domain"))
+        F.col("text").alias("title"), F.col("source").alias("domain"))
     pages = table(spark, sf, "pages").select(
         F.regexp_extract("html", 'lang="([a-z]+)"', 1).alias("company"),
         F.col("page_id").alias("item_rank"), "url",
@@ -30,21 +30,21 @@ def evidence_union(spark, sf):
         F.col("role").alias("company"), F.col("turn").alias("item_rank"),
         (F.col("turn") % 5 + 1).alias("query_rank"),
         F.concat(F.lit("conv:"), "conv_id", F.lit("/"), "turn").alias("url"),
-        F.substring("text", 1, 40).alias("title"), F.col("text").alias("snippet"))
+        F.substring_index("text", ".", 1).alias("title"), F.col("text").alias("snippet"))
     feeds = union_feeds({"gdelt": docs, "brave": pages, "tavily": talks})
     return feeds.select(*KEYS, "title", F.length("snippet").alias("snippet_chars"), "domain")
 
 
 EVIDENCE_UNION = """
   SELECT lang AS company, 'gdelt' AS source, 3 AS source_rank, 1 AS query_rank,
-    doc_id AS item_rank, 'doc:' || doc_id AS url, substr(text, 1, 60) AS title,
+    doc_id AS item_rank, 'doc:' || doc_id AS url, text AS title,
     0 AS snippet_chars, source AS domain FROM documents
   UNION ALL
   SELECT regexp_extract(html, 'lang="([a-z]+)"', 1), 'brave', 8, 1, page_id, url,
     regexp_extract(html, '<title>([^<]*)</title>', 1), 0, '' FROM pages
   UNION ALL
   SELECT role, 'tavily', 9, turn % 5 + 1, turn, 'conv:' || conv_id || '/' || turn,
-    substr(text, 1, 40), length(text), '' FROM conversations
+    split_part(text, '.', 1), length(text), '' FROM conversations
 """
 
 

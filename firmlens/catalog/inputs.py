@@ -88,7 +88,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("lang").alias("company"), name.alias("source"), rank.alias("source_rank"),
         query.cast("int").alias("query_rank"), doc.alias("item_rank"), url.alias("url"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("snippet"), F.col("source").alias("domain"),
         F.concat(F.lit("2024-01-"), F.lpad((doc % 28 + 1).cast("string"), 2, "0"))
         .alias("raw_date"))
@@ -101,7 +101,7 @@ ITEMS_SQL = f"""
     doc_id AS item_rank,
     CASE WHEN doc_id % 50 = 0 THEN '' WHEN doc_id % 7 = 0 THEN 'https://news.example/front'
          ELSE 'https://news.example/' || md5(text) END AS url,
-    substr(split_part(text, chr(10), 1), 1, 80) AS title, text AS snippet, src AS domain,
+    split_part(text, chr(10), 1) AS title, text AS snippet, src AS domain,
     '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS raw_date
   FROM (SELECT *, source AS src, CAST(substr(source, 4) AS INTEGER) % 9 + 1 AS r
         FROM documents)

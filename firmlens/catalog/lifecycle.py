@@ -20,10 +20,10 @@ def _customers(spark, sf):
 
 
 def _orders(spark, sf):
-    """A result per urgent order; dear ones failed."""
-    o = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
-    return o.select(F.col("o_custkey").alias("company"),
-                    F.when(F.col("o_totalprice") > 100000, "failed").alias("error"))
+    """A result per order, for companies of even numbers; dear ones failed."""
+    return table(spark, sf, "orders").select(
+        (F.col("o_custkey") * 2).alias("company"),
+        F.when(F.col("o_totalprice") > 100000, "failed").alias("error"))
 
 
 def reassemble(spark, sf):
@@ -234,7 +234,7 @@ def cache_misses(spark, sf):
 
 
 def cache_invalidate(spark, sf):
-    """Forget the current week of the even-numbered customers."""
+    """Forget the current week of the customers of all market segments but one."""
     even = table(spark, sf, "customer").filter("c_mktsegment <> 'MACHINERY'").select(
         F.concat(F.lit("user_"), F.col("c_custkey")).alias("company"))
     kept = cache.invalidate(_cache(spark, sf), even, _as_of())
@@ -273,16 +273,15 @@ QUERIES = {
     "resume_anti_join": (
         lambda s, d: life.todo(_customers(s, d), _orders(s, d), retry_errors=False),
         "SELECT c_custkey AS input_pos, c_custkey AS company, c_mktsegment AS sector FROM customer "
-        "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"),
+        "WHERE c_custkey NOT IN (SELECT 2 * o_custkey FROM orders)"),
     "resume_retry_errors": (
         lambda s, d: life.todo(_customers(s, d), _orders(s, d)),
         "SELECT c_custkey AS input_pos, c_custkey AS company, c_mktsegment AS sector FROM customer "
-        "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice <= 100000 "
-        "AND o_orderpriority = '1-URGENT')"),
+        "WHERE c_custkey NOT IN (SELECT 2 * o_custkey FROM orders WHERE o_totalprice <= 100000)"),
     "checkpoint_semi_join": (
         lambda s, d: life.restrict(_orders(s, d), _customers(s, d).filter("sector = 'BUILDING'")),
-        "SELECT o_custkey AS company, CASE WHEN o_totalprice > 100000 THEN 'failed' END AS error "
-        "FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey IN (SELECT c_custkey FROM customer "
+        "SELECT 2 * o_custkey AS company, CASE WHEN o_totalprice > 100000 THEN 'failed' END AS error "
+        "FROM orders WHERE 2 * o_custkey IN (SELECT c_custkey FROM customer "
         "WHERE c_mktsegment = 'BUILDING')"),
     "reassemble_results": (reassemble, REASSEMBLE),
     "run_kpis": (kpis, KPIS),

@@ -33,7 +33,7 @@ def mention_contexts(spark, sf) -> DataFrame:
     narrow = docs.select(
         "doc_id", "text", "source", F.substring("source", 4, 9).cast("int").alias("source_rank"),
         F.lit(1).alias("query_rank"), F.col("doc_id").alias("item_rank"),
-        F.md5("text").alias("url"), F.substring("text", 1, 60).alias("title"),
+        F.md5("text").alias("url"), F.substring_index("text", "\n", 1).alias("title"),
         F.substring("text", 1, 400).alias("snippet"))
     carried = [c for c in narrow.columns if c not in ("doc_id", "text")]
     found = mentions_substring(narrow, "doc_id", F.col("text"), companies, carry=carried)
@@ -53,7 +53,7 @@ MENTION_CONTEXTS = f"""
   WITH names AS (SELECT DISTINCT company, key FROM ({PHRASE_KEYS_SQL})),
   hit AS (
     SELECT company, source, CAST(substr(source, 4) AS INTEGER) AS r, doc_id, md5(text) AS url,
-      '[' || upper(source) || '] ' || substr(text, 1, 60) || chr(10) || md5(text) || chr(10)
+      '[' || upper(source) || '] ' || split_part(text, chr(10), 1) || chr(10) || md5(text) || chr(10)
         || substr(text, 1, 400) AS section
     FROM documents JOIN names ON key <> '' AND contains(lower(text), key)),
   kept AS (
