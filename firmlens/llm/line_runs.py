@@ -19,15 +19,15 @@ import hashlib
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import LOWER, UPPER, Scratch, replace_columns
+from .common import LOWER, UPPER, Scratch
 
+#: Rows of a batch that are Python objects at a time.
+_ROWS = 500
 _BLANKS = " \t\n\x0b\x0c\r"
 _FOLD = str.maketrans(UPPER, LOWER)
 _KEYS = StructType([StructField("doc_id", LongType()), StructField("h1", LongType()),
@@ -52,15 +52,18 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, first, second = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys = {k for k in map(line_key, (text or "").split("\n")) if len(k) >= min_chars}
-                for h1, h2 in map(_halves, map(key_hash, keys)):
-                    ids.append(doc)
-                    first.append(h1)
-                    second.append(h2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (ids, first, second)], names=_KEYS.names)
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                ids, first, second = [], [], []
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    keys = {k for k in map(line_key, (text or "").split("\n"))
+                            if len(k) >= min_chars}
+                    for h1, h2 in map(_halves, map(key_hash, keys)):
+                        ids.append(doc)
+                        first.append(h1)
+                        second.append(h2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, pa.int64()) for x in (ids, first, second)], names=_KEYS.names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _KEYS)
 
@@ -138,18 +141,34 @@ class LineRuns:
         self.levels = []
 
 
-@pandas_udf(StructType([StructField("text", StringType()), StructField("n_lines", LongType()),
-                        StructField("n_dropped", LongType())]))
-def _without(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
-    out = []
-    for text, drop in zip(texts, drops):
-        lines = (text or "").split("\n")
-        kept = lines
-        if drop is not None and len(drop):
-            gone = set(drop)
-            kept = [x for x in lines if key_hash(line_key(x)) not in gone]
-        out.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
-    return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
+def _without(joined: DataFrame, docs: DataFrame) -> DataFrame:
+    """`docs` with its texts less the lines whose hashes are in `__drop`, and the counts."""
+    counts = ("n_lines", "n_dropped")
+    kept = [f for f in docs.schema.fields if f.name.lower() not in counts]
+    schema = StructType([*[f if f.name != "text" else StructField("text", StringType())
+                           for f in kept], *[StructField(c, LongType()) for c in counts]])
+    source = joined.select(*[F.col(f"`{f.name}`") for f in kept], F.col("__drop"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = [f.name for f in kept].index("text")
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                texts, before, dropped = [], [], []
+                for text, drop in zip(part.column(at).to_pylist(), part.columns[-1].to_pylist()):
+                    lines = (text or "").split("\n")
+                    gone = set(drop or ())
+                    stay = [x for x in lines if key_hash(line_key(x)) not in gone] if gone else lines
+                    texts.append("\n".join(stay))
+                    before.append(len(lines))
+                    dropped.append(len(lines) - len(stay))
+                columns = part.columns[:-1]
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(before, pa.int64()), pa.array(dropped, pa.int64())],
+                    names=schema.names)
+
+    return source.mapInArrow(run, schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4,
@@ -179,9 +198,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
              .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(digest).alias("__drop")))
     joined = docs.join(scratch.put(drops, "drops"),
                        docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")), "left")
-    kept = joined.withColumn("__kept", _without("text", "__drop")).drop("__doc", "__drop")
-    return replace_columns(kept, text=F.col("__kept.text"), n_lines=F.col("__kept.n_lines"),
-                           n_dropped=F.col("__kept.n_dropped")).drop("__kept")
+    return _without(joined, docs)
 
 
 def line_digest(docs: DataFrame) -> DataFrame:
