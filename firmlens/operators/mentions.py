@@ -57,25 +57,37 @@ def _anchors(keys: DataFrame, whole_words: bool) -> DataFrame:
     return options.groupBy("key").agg(best).select("key", "_b.anchor", "_b.kind")
 
 
-def _matched(vocabulary: DataFrame, anchors: DataFrame, whole_words: bool) -> DataFrame:
-    """(word, key) where the word has the key's anchor in the anchor's place. Only words of the
-    vocabulary are taken apart, each once, into pieces no longer than anchors are."""
+def _matched(words: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(word, key) where the word has the key's anchor in the anchor's place.
+
+    Anchors that are whole words are such pairs already. For the others the distinct words of the
+    texts are taken apart, each once, into pieces of the kinds and lengths that anchors have; those
+    are at most three times RUN, and one small job tells which."""
+    whole = anchors.filter(F.col("kind") == WHOLE).select(F.col("anchor").alias("word"), "key")
+    parts = anchors.filter(F.col("kind") != WHOLE)
+    shapes = sorted(tuple(r) for r in parts.select("kind", F.length("anchor")).distinct().collect())
+    if not shapes:
+        return whole
     word, n = F.col("word"), F.length("word")
-    pieces = [F.array(F.struct(F.lit(WHOLE).alias("kind"), word.alias("anchor")))]
-    if not whole_words:
-        def cut(kind: str, start, length) -> Column:
-            return F.struct(F.lit(kind).alias("kind"),
-                            F.substring(word, start, length).alias("anchor"))
-
-        sizes = F.sequence(F.lit(1), F.least(n, F.lit(RUN)))
-        pieces += [F.transform(sizes, lambda k: cut(TAIL, n - k + 1, k)),
-                   F.transform(sizes, lambda k: cut(HEAD, F.lit(1), k)),
-                   F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(
-                       F.sequence(F.lit(1), F.least(n - a + 1, F.lit(RUN))),
-                       lambda k: cut(INSIDE, a, k))))]
-    return (vocabulary.select("word", F.explode(F.array_distinct(F.concat(*pieces))).alias("_p"))
-            .select("word", "_p.kind", "_p.anchor")
-            .join(anchors, ["kind", "anchor"]).select("word", "key"))
+
+    def piece(kind: str, start, length: int) -> Column:
+        return F.struct(F.lit(kind).alias("kind"),
+                        F.substring(word, start, F.lit(length)).alias("anchor"))
+
+    def cut(kind: str, length: int) -> Column:
+        if kind == INSIDE:
+            places = F.sequence(F.lit(1), n - length + 1)
+            pieces = F.transform(places, lambda at: piece(kind, at, length))
+        else:
+            pieces = F.array(piece(kind, F.lit(1) if kind == HEAD else n - length + 1, length))
+        return F.when(n >= length, pieces).otherwise(
+            F.array().cast("array<struct<kind:string,anchor:string>>"))
+
+    pieces = F.array_distinct(F.concat(*[cut(*shape) for shape in shapes]))
+    vocabulary = words.select("word").distinct()
+    found = (vocabulary.select("word", F.inline(pieces)).join(parts, ["kind", "anchor"])
+             .select("word", "key"))
+    return whole.unionByName(found)
 
 
 def _row_key(columns: Sequence[str]) -> Column:
@@ -92,9 +104,7 @@ def _mentions(items: DataFrame, item_id: str, body: Column, names: DataFrame,
     texts = items.select(*out, body.alias("_text")).withColumn("_row", _row_key([*out, "_text"]))
     words = texts.select("_row", F.explode(F.array_distinct(F.split("_text", " "))).alias("word"))
     words = words.filter(F.col("word") != "")
-    vocabulary = words.select("word").distinct()
-    matched = _matched(vocabulary, _anchors(names.select("key").distinct(), whole_words),
-                       whole_words)
+    matched = _matched(words, _anchors(names.select("key").distinct(), whole_words))
     candidates = words.join(matched, "word").select("_row", "key").distinct()
     pad = F.lit(" " if whole_words else "")
     found = F.contains(F.concat(pad, F.col("_text"), pad), F.concat(pad, F.col("key"), pad))
