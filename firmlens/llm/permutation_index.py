@@ -55,22 +55,33 @@ def footrule_search(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarra
     extra = np.sqrt(np.maximum(longest - (block * block).sum(axis=1), 0.0))[:, None]
     lists = orders(np.hstack([block, extra]), pivots, length)
     asked = orders(np.hstack([queries, np.zeros((len(queries), 1))]), pivots, length)
-    by_pivot = np.argsort(lists, axis=None, kind="stable")
-    files = np.searchsorted(lists.reshape(-1)[by_pivot], np.arange(len(pivots) + 1))
-    posted, places = np.divmod(by_pivot, length)
-    posted = posted.astype("i4")
-    nearness = (length - places).astype("f4")
+    # The inverted file of a pivot: for each vector of the block how near it has the pivot, `length` for
+    # the first place of its order and 0 where it is not posted.
+    small = length < 256
+    files = np.zeros((len(pivots), len(block)), "u1" if small else "u4")
+    places = np.arange(length, 0, -1)
+    files[lists, np.arange(len(block))[:, None]] = places
     count = min(len(block), max(least, int(np.ceil(share * len(block)))))
+    met = np.empty(len(block), files.dtype)
+    # Sums of up to `length` places; 16-bit numbers are sorted by digits, in linear time.
+    whole = "u2" if length * (length + 1) // 2 < 2 ** 16 else "u4"
     out = []
     for q, own, order in zip(queries, query_ids, asked):
         # Footrule = constant - 2 * sum over common pivots of (length - the later place).
-        common = np.zeros(len(block), "f4")
-        for place, pivot in enumerate(order):
-            a, b = files[pivot], files[pivot + 1]
-            common[posted[a:b]] += np.minimum(nearness[a:b], length - place)
-        near = np.argsort(-common, kind="stable")[:count]
+        common = np.zeros(len(block), whole)
+        for place, pivot in zip(places, order):
+            np.minimum(files[pivot], files.dtype.type(place), out=met)
+            common += met
+        near = np.argsort(np.iinfo(whole).max - common, kind="stable")[:count]
         near = near[block_ids[near] != own]
-        score = (block[near] * q).sum(axis=1)
+        rows = block[near]
+        rough = rows @ q
+        if len(near) > k:
+            # All that may be among the best, ties included, get the exact product, row by row.
+            edge = np.partition(rough, len(near) - k)[len(near) - k]
+            keep = rough >= edge - 1e-9 * (1 + abs(edge))
+            near, rows = near[keep], rows[keep]
+        score = (rows * q).sum(axis=1)
         best = np.lexsort((block_ids[near], -score))[:k]
         out.append((np.full(len(best), own), block_ids[near[best]], score[best]))
     return [np.concatenate(x) for x in zip(*out)]
