@@ -70,6 +70,15 @@ class Scratch:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def keep(self, *names: str) -> None:
+        """Remove all tables but these, which a result still reads."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for found in files.listStatus(path):
+            if found.getPath().getName() not in names:
+                files.delete(found.getPath(), True)
+
     @classmethod
     def release(cls) -> None:
         """Remove every scratch table of this program; results that read them must be written."""
@@ -83,6 +92,15 @@ def small_or_shuffled(right: DataFrame, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(right) if right.limit(max_rows + 1).count() <= max_rows else right
 
 
+def bounded_batches(docs: DataFrame, rows: int = 2000) -> DataFrame:
+    """`docs`, whose session from now on sends at most `rows` rows to Python at a time, unless it is
+    set to fewer: batches of whole texts are held several times over, here and in the JVM."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return docs
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str, max_rounds: int = 60,
                small: int = 300_000) -> DataFrame:
     """(node, root) of every node of `edges` (a, b), root the least node of its component.

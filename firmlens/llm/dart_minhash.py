@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField,
                                StructType)
 
-from .common import Scratch, components, small_or_shuffled
+from .common import Scratch, bounded_batches, components, small_or_shuffled
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -154,15 +155,14 @@ def elements_of(texts: list[str | None], width: int, weights: str):
     return words, element, weight, owner
 
 
-def _portions(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _portions(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """(start, texts) of runs of about `most` bytes; only one is Python objects at a time."""
     begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most:
-            yield begin, i + 1
+    for i, length in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        size += length
+        if size >= most or i + 1 == len(column):
+            yield begin, column.slice(begin, i + 1 - begin).to_pylist()
             begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
 
 
 def _node(words: list[str]) -> bytes | None:
@@ -177,15 +177,15 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int, weights: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _portions(texts):
-                words, element, weight, owner = elements_of(texts[a:b], width, weights)
-                marks = signatures(element, weight, owner, b - a, bands * rows)
+            for start, texts in _portions(batch.column(1)):
+                n = len(texts)
+                words, element, weight, owner = elements_of(texts, width, weights)
+                marks = signatures(element, weight, owner, n, bands * rows)
                 keys = band_keys(marks, bands).reshape(-1)
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(b - a + 1) * bands, pa.int32()), pa.array(keys))
+                    pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(map(_node, words), pa.binary()),
+                    [batch.column(0).slice(start, n), pa.array(map(_node, words), pa.binary()),
                      lists], names=schema.names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
@@ -199,18 +199,17 @@ def element_sets(docs: DataFrame, width: int, weights: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in _portions(texts):
-                words, element, weight, owner = elements_of(texts[a:b], width, weights)
+            for _, texts in _portions(batch.column(0)):
+                words, element, weight, owner = elements_of(texts, width, weights)
                 if weights == "count" and len(element):
                     count = weight.astype("i8")
                     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                     with np.errstate(over="ignore"):
                         element = _mix(np.repeat(element, count) + nth.astype("u8") * _GOLD)
                     owner = np.repeat(owner, count)
-                cut = np.searchsorted(owner, np.arange(b - a + 1))
-                sets = [np.unique(element[cut[i]:cut[i + 1]].astype("u4")).view("i4")
-                        for i in range(b - a)]
+                cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+                sets = [np.unique(element[a:b].astype("u4")).view("i4")
+                        for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(map(_node, words), pa.binary()),
                      pa.array(sets, pa.list_(pa.int32()))], names=schema.names)
@@ -234,6 +233,7 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
     """(doc_id, node, class_id, class_size, kept) of every document: class_id is the least doc_id
     of its class, and one document of each class is kept."""
     scratch = Scratch(docs.sparkSession, "near")
+    docs = bounded_batches(docs)
     signs = scratch.put(signed(docs, width, bands, rows, weights), "signs")
     reps = (signs.where("node is not null").groupBy("node")
             .agg(F.any_value("bands").alias("bands")))
@@ -271,7 +271,7 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
     fresh = scratch.put(canonical(rest).join(tried, ["a", "b"], "left_anti"), "tried-b")
     found = scratch.put(_linked(fresh, sets, least), "links-b")
     tried, links = tried.unionByName(fresh), links.unionByName(found)
-    roots = scratch.put(components(links, scratch, "parts-0"), "roots-0")
+    roots = scratch.put(components(links, scratch, "parts-0"), last := "roots-0")
     for k in range(1, max_rounds + 1):
         placed = (members.join(small_or_shuffled(roots), "node", "left")
                   .select("bucket", "node", "n", F.coalesce("root", "node").alias("root")))
@@ -303,7 +303,8 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
         moved = (roots.join(small_or_shuffled(merged.withColumnRenamed("node", "root")), "root",
                             "left").select("node", F.coalesce("new", "root").alias("root")))
         roots = scratch.put(moved.unionByName(merged.select("node", F.col("new").alias("root")))
-                            .distinct(), f"roots-{k}")
+                            .distinct(), last := f"roots-{k}")
+    scratch.keep("signs", last)
     whole = signs.select("doc_id", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     ids = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "node")

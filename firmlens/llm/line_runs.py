@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import LOWER, UPPER, Scratch
+from .common import LOWER, UPPER, Scratch, bounded_batches
 
 #: Rows of a batch that are Python objects at a time.
 _ROWS = 500
@@ -158,7 +158,9 @@ def _without(joined: DataFrame, docs: DataFrame) -> DataFrame:
                 for text, drop in zip(part.column(at).to_pylist(), part.columns[-1].to_pylist()):
                     lines = (text or "").split("\n")
                     gone = set(drop or ())
-                    stay = [x for x in lines if key_hash(line_key(x)) not in gone] if gone else lines
+                    stay = lines
+                    if gone:
+                        stay = [x for x in lines if key_hash(line_key(x)) not in gone]
                     texts.append("\n".join(stay))
                     before.append(len(lines))
                     dropped.append(len(lines) - len(stay))
@@ -179,6 +181,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     salted `salts` ways, so that a line that a third of all documents hold is spread."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
+    docs = bounded_batches(docs)
     if buckets is None:
         buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     batch = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(batches)).cast("int")
@@ -196,7 +199,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     drops = (lines.drop("batch").withColumn("salt", salt).join(spread, ["h1", "h2", "salt"])
              .where(~F.col("doc_id").eqNullSafe(F.col("top")))
              .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(digest).alias("__drop")))
-    joined = docs.join(scratch.put(drops, "drops"),
+    drops = scratch.put(drops, "drops")
+    scratch.keep("drops")
+    joined = docs.join(drops,
                        docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")), "left")
     return _without(joined, docs)
 

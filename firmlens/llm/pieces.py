@@ -15,7 +15,6 @@ Texts are encoded whole; U+2581 counts as a space, as the format has it.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -28,7 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, StringType, StructField,
+                               StructType)
+
+from .common import bounded_batches
 
 SPACE = "▁"
 _PARTS = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -47,7 +49,6 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str], scores: list[float], bytes_of: dict[int, int],
                  special: dict[int, str]):
-        self.name = hashlib.sha256(repr((pieces, scores, bytes_of, special)).encode()).hexdigest()
         ids = [i for i in range(len(pieces)) if i not in bytes_of and i not in special]
         self.single = {ord(pieces[i]): i for i in ids if len(pieces[i]) == 1}
         rank = {pieces[i]: -scores[i] for i in ids}
@@ -226,7 +227,7 @@ class Encoder:
     """Encodes batch after batch. Parts met before keep their ids, until `most_parts` are known;
     then all are forgotten, so memory stays bounded."""
 
-    def __init__(self, vocabulary: Vocabulary, most_parts: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, most_parts: int = 200_000):
         self.vocabulary, self.most_parts = vocabulary, most_parts
         self.forget()
 
@@ -260,10 +261,6 @@ class Encoder:
         return out, np.diff(total[np.concatenate([[0], np.cumsum(parts_of)])])
 
 
-#: A Python worker keeps its encoder, and the parts it knows, from task to task.
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Cut a batch where its texts exceed `most` bytes together; a longer text stands alone."""
     begin = size = 0
@@ -277,16 +274,19 @@ def _slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: str = "tokens",
-           batch_bytes: int = 3_000_000) -> DataFrame:
-    """`docs` with the ids of the whole text as array<int>; no special tokens are added."""
+           same: str | None = None, batch_bytes: int = 3_000_000) -> DataFrame:
+    """`docs` with the ids of the whole text as array<int>; no special tokens are added. `same` names
+    a column that tells whether the ids, decoded, are the text again."""
     vocabulary = Vocabulary.load(model or default_model())
-    kept = [f for f in docs.schema.fields if f.name.lower() != ids.lower()]
-    schema = StructType([*kept, StructField(ids, ArrayType(IntegerType(), False))])
-    source = docs.select(*[F.col(f"`{f.name}`") for f in kept],
-                         F.col(f"`{text}`").alias("__encoded"))
+    taken = {ids.lower(), (same or ids).lower()}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in taken]
+    schema = StructType([*kept, StructField(ids, ArrayType(IntegerType(), False)),
+                         *([StructField(same, BooleanType())] if same else [])])
+    source = bounded_batches(docs).select(*[F.col(f"`{f.name}`") for f in kept],
+                                          F.col(f"`{text}`").alias("__encoded"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(vocabulary.name, Encoder(vocabulary))
+        encoder = Encoder(vocabulary)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
@@ -297,8 +297,13 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: s
                 absent = pa.array([t is None for t in texts])
                 made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()),
                                                 mask=absent)
-                columns = [c.slice(a, b - a) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*columns, made], names=schema.names)
+                columns = [*[c.slice(a, b - a) for c in batch.columns[:-1]], made]
+                if same:
+                    columns.append(pa.array([
+                        text is None or vocabulary.decode(values[i:j].tolist())
+                        == text.replace(SPACE, " ")
+                        for text, i, j in zip(texts, offsets, offsets[1:])]))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -319,8 +324,7 @@ def decode(df: DataFrame, model: str | None = None, ids: str = "tokens",
 
 def encoded_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, n_tokens, tokens of every document, and whether they decode to its text again."""
-    encoded = encode(docs.select("doc_id", F.col("text").alias("original")), model, "original")
-    decoded = decode(encoded, model, text="decoded")
-    same = F.col("decoded").eqNullSafe(F.translate("original", SPACE, " "))
-    return decoded.select("doc_id", F.coalesce(F.size("tokens"), F.lit(0)).alias("n_tokens"),
-                          "tokens", same.alias("round_trip"))
+    encoded = encode(docs.select("doc_id", F.col("text").alias("original")), model, "original",
+                     same="round_trip")
+    return encoded.select("doc_id", F.coalesce(F.size("tokens"), F.lit(0)).alias("n_tokens"),
+                          "tokens", "round_trip")

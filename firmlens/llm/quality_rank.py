@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import Scratch, bounded_labels, learnable, replace_columns, small_or_shuffled
+from .common import (Scratch, bounded_batches, bounded_labels, learnable, replace_columns,
+                     small_or_shuffled)
 
 #: Statistics of a text.
 WIDTH = 12
@@ -99,6 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, column: str = "
         **training) -> BradleyTerry:
     """Train on at most about `bound` labelled rows; only their statistics come to the driver."""
     scratch = Scratch(docs.sparkSession, "quality")
+    docs = bounded_batches(docs)
     chosen = scratch.put(bounded_labels(labels, column, bound), "labels")
     table = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .join(small_or_shuffled(chosen), "doc_id")

@@ -25,7 +25,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from .common import Scratch, replace_columns
+from .common import Scratch, bounded_batches, replace_columns
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 #: A sentence of so many words is a span by itself; not below any `min_words`.
@@ -109,6 +109,7 @@ def dedup_spans(docs: DataFrame, min_words: int = 20, salts: int = 8) -> DataFra
     """`docs` with text less its repeated sentences, n_sentences (before), n_removed and removed
     (the numbers of the sentences that went, from 0)."""
     scratch = Scratch(docs.sparkSession, "spans")
+    docs = bounded_batches(docs)
     shared = (span_hashes(docs, min_words).groupBy("h1", "h2")
               .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
               .where("first <> last").select("h1", "h2", "first"))
@@ -120,6 +121,7 @@ def dedup_spans(docs: DataFrame, min_words: int = 20, salts: int = 8) -> DataFra
              .groupBy(F.col("doc_id").alias("__doc"))
              .agg(F.collect_set(F.struct("h1", "h2")).alias("__drop")))
     drops = scratch.put(drops, "drops")
+    scratch.keep("drops")
 
     @pandas_udf(StructType([StructField("text", StringType()), StructField("n", LongType()),
                             StructField("removed", ArrayType(IntegerType()))]))

@@ -18,12 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
-from .common import Scratch, bounded_labels, learnable, replace_columns, small_or_shuffled
+from .common import (Scratch, bounded_batches, bounded_labels, learnable, replace_columns,
+                     small_or_shuffled)
 
 #: Lengths of the word beginnings that are terms of their own.
 HEADS = (3, 4, 5, 7)
@@ -123,6 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, max_terms: int
     Spark counts terms and picks the vocabulary (at most `max_terms`, the strongest first); only
     the vocabulary and each row's positions in it come to the driver."""
     scratch = Scratch(docs.sparkSession, "toxicity")
+    docs = bounded_batches(docs)
     chosen = scratch.put(bounded_labels(labels, column, bound), "labels")
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .join(small_or_shuffled(chosen), "doc_id")
@@ -141,13 +144,17 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000, max_terms: int
                   .where(F.col("chi2") >= least_chi2)
                   .orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
         vocabulary = np.array(sorted(r["term"] for r in strong), "i8")
-    wanted = F.array(*[F.lit(int(t)) for t in vocabulary]) if len(vocabulary) else None
-    kept = (F.array_intersect("terms", wanted) if wanted is not None
-            else F.array().cast("array<bigint>"))
-    table = rows.select("doc_id", "label", kept.alias("terms")).orderBy("doc_id").toPandas()
+    wanted = F.from_json(F.lit(str(vocabulary.tolist())), "array<bigint>")
+    kept = F.array_sort(F.array_intersect("terms", wanted))
+    table = (rows.select("doc_id", "label", kept.alias("terms")).orderBy("doc_id", "label")
+             .toArrow().combine_chunks())
     scratch.drop()
-    positions = [np.searchsorted(vocabulary, np.sort(np.array(t, "i8"))) for t in table["terms"]]
-    return train(vocabulary, positions, table["label"].to_numpy("f8"), **training)
+    if not table.num_rows:
+        return train(vocabulary, [], np.array([]), **training)
+    terms = table.column("terms").combine_chunks()
+    ends = np.cumsum(pc.list_value_length(terms).to_numpy())
+    positions = np.split(np.searchsorted(vocabulary, terms.flatten().to_numpy()), ends[:-1])
+    return train(vocabulary, positions, table.column("label").to_numpy().astype("f8"), **training)
 
 
 def score_of(text: Column, model: FactorizationMachine) -> Column:
