@@ -228,7 +228,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 20,
-                 rows: int = 4, weights: str = "set", first_bands: int = 4,
+                 rows: int = 4, weights: str = "set", steps: tuple[int, ...] = (4,),
                  max_rounds: int = 5, part: int = 4096) -> DataFrame:
     """(doc_id, node, class_id, class_size, kept) of every document: class_id is the least doc_id
     of its class, and one document of each class is kept."""
@@ -254,23 +254,29 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
         return pairs.select(F.least("u", "v").alias("a"),
                             F.greatest("u", "v").alias("b")).distinct()
 
-    # With the least node of the bucket: in a few bands for all, in the others for those that have
+    # With the least node of the bucket, some bands after the other: in later ones only nodes that have
     # no linked neighbour in common with it yet, and so may be of another class.
     stars = members.where("node <> centre").select("band", F.col("node").alias("u"),
                                                    F.col("centre").alias("v"))
-    tried = scratch.put(canonical(stars.where(F.col("band") < first_bands)), "tried-a")
-    links = scratch.put(_linked(tried, sets, least), "links-a")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    label = scratch.put(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")),
-                        "label")
-    side = {x: label.select(F.col("a").alias(x), F.col("label").alias(f"{x}_label")) for x in "uv"}
-    rest = (stars.where(F.col("band") >= first_bands).select("u", "v").distinct()
-            .join(small_or_shuffled(side["u"]), "u", "left")
-            .join(small_or_shuffled(side["v"]), "v", "left")
-            .where(F.coalesce("u_label", "u") != F.coalesce("v_label", "v")))
-    fresh = scratch.put(canonical(rest).join(tried, ["a", "b"], "left_anti"), "tried-b")
-    found = scratch.put(_linked(fresh, sets, least), "links-b")
-    tried, links = tried.unionByName(fresh), links.unionByName(found)
+    tried = links = None
+    for low, high in zip((0, *steps), (*steps, bands)):
+        pairs = stars.where((F.col("band") >= low) & (F.col("band") < high)).select("u", "v")
+        if links is None:
+            pairs = scratch.put(canonical(pairs), f"tried-{low}-star")
+        else:
+            both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            label = scratch.put(both.groupBy("a").agg(F.least(F.min("b"), F.col("a"))
+                                                      .alias("label")), f"label-{low}")
+            side = {x: label.select(F.col("a").alias(x), F.col("label").alias(f"{x}_label"))
+                    for x in "uv"}
+            pairs = (pairs.distinct().join(small_or_shuffled(side["u"]), "u", "left")
+                     .join(small_or_shuffled(side["v"]), "v", "left")
+                     .where(F.coalesce("u_label", "u") != F.coalesce("v_label", "v")))
+            pairs = scratch.put(canonical(pairs).join(tried, ["a", "b"], "left_anti"),
+                                f"tried-{low}-star")
+        found = scratch.put(_linked(pairs, sets, least), f"links-{low}-star")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
     roots = scratch.put(components(links, scratch, "parts-0"), last := "roots-0")
     for k in range(1, max_rounds + 1):
         placed = (members.join(small_or_shuffled(roots), "node", "left")
@@ -337,8 +343,9 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
         kept.select(F.col("doc_id").alias("__doc"), F.hex("node").alias("__node")).distinct(),
         "ids")
     node = F.hex(_node_udf(F.col("text")))
+    # Most documents are kept, so the ids grow with the texts: shuffled at every size.
     rows = docs.withColumn("__own", node).join(
-        small_or_shuffled(kept, 200_000), docs["doc_id"].cast("long").eqNullSafe(F.col("__doc"))
+        kept.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("__doc"))
         & F.col("__own").eqNullSafe(F.col("__node")), "left_semi")
     with_words = rows.where("__own is not null").dropDuplicates(["doc_id", "__own"])
     return with_words.unionByName(rows.where("__own is null")).select(
