@@ -10,9 +10,12 @@ the signature. Two texts agree in a coordinate with probability equal to their w
 similarity. Texts that leave a coordinate empty are thrown again with twice the rank.
 
 Texts of equal words are one node. Nodes that agree in a band are compared exactly, on their
-elements: first each node of a bucket with the bucket's least node, then, in buckets where several
-classes are left, neighbours in random orders, until a round links nothing more. Pairs grow with
-the members of the buckets, not with their squares, and big buckets are ordered in salted parts.
+elements: first each node of a bucket with the bucket's least node; then the nodes of all buckets
+where several classes are left meet in an exact join, so that no link between nodes that share a
+band is missed. In it, elements are ordered rarest first; similar nodes share one of the first few
+(prefix) at a place that leaves enough of both behind it (position filter). Nodes are compared by
+groups of equal element, size and place first, so filtered pairs of a hot element cost nothing;
+groups and their members meet in salted blocks, and nodes already of one class are passed over.
 
 Null and empty texts, and texts without a word, are classes of their own, as documents. Rows that
 repeat a doc_id and a text are one document. A null doc_id is a document that comes last.
@@ -27,13 +30,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField,
                                StructType)
 
-from .common import Scratch, bounded_batches, components, small_or_shuffled
+from .common import Scratch, bounded_batches, components, in_share, small_or_shuffled
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -227,9 +230,106 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             .where(both >= least * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
+def _common(sets: DataFrame, most: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """Elements that occur three times or more in at most about `most` of the sets, ascending, and
+    how often they do. They only order the elements: any order gives the same links."""
+    n = sets.count()
+    some = sets.where(in_share(F.col("node"), most / n, 29)) if n > most else sets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            element, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(element, pa.int32()), pa.array(n, pa.int64())],
+                                             names=["element", "n"])
+
+    found = (some.select("elements").mapInArrow(run, "element int, n long").groupBy("element")
+             .agg(F.sum("n").alias("n")).where("n > 2").toPandas().sort_values("element"))
+    return found["element"].to_numpy("i4"), found["n"].to_numpy("i8")
+
+
+def _prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """(element, size, place, node, root) of the first elements, rarest first, of each set: sets of
+    similarity `least` share one of them."""
+    often, times = _common(sets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            size = pc.list_value_length(lists).to_numpy().astype("i8")
+            element = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(size)), size)
+            count = np.zeros(len(element), "i8")
+            if len(often):
+                at = np.minimum(np.searchsorted(often, element), len(often) - 1)
+                count = np.where(often[at] == element, times[at], 0)
+            element = element[np.lexsort((element, count, owner))]
+            place = np.arange(len(element)) - (np.cumsum(size) - size)[owner]
+            first = place <= (size - np.ceil(least * size - 1e-9))[owner]
+            who = pa.array(owner[first])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(element[first], pa.int32()), pa.array(size[owner][first], pa.int32()),
+                 pa.array(place[first], pa.int32()), batch.column(0).take(who),
+                 batch.column(1).take(who)], names=["element", "size", "place", "node", "root"])
+
+    return sets.select("node", "root", "elements").mapInArrow(
+        run, "element int, size int, place int, node binary, root binary")
+
+
+def _blocks(n: str, part: int) -> Column:
+    return F.ceil(F.col(n) / part).cast("int")
+
+
+def _candidates(sets: DataFrame, least: float, part: int, scratch: Scratch) -> DataFrame:
+    """The pairs (u, v) of sets (node, root, elements) of different roots that may have similarity
+    `least`: they share an element of both prefixes, and sizes and places allow it."""
+    key = ["element", "size", "place"]
+    firsts = scratch.put(_prefixes(sets, least), "firsts")
+    groups = firsts.groupBy(*key).agg(F.count("*").alias("n"), F.min("root").alias("r1"),
+                                      F.max("root").alias("r2"))
+    several = (firsts.groupBy("element").agg(F.min("root").alias("least"), F.max("root").alias("most"),
+                                             F.count("*").alias("of")).where("least <> most"))
+    groups = scratch.put(groups.join(several.select("element", "of"), "element"), "groups")
+
+    # Groups with groups, in blocks where an element has many.
+    own = F.pmod(F.xxhash64("size", "place"), _blocks("of", part)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), _blocks("of", part) - 1))
+    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("size", "place", "n", "r1", "r2")]
+            for side in "xy")
+    left = groups.select("element", own.alias("i"), every.alias("j"), *x)
+    right = groups.select("element", every.alias("i"), own.alias("j"), *y)
+    # What both still have from the shared element on, if it is the first that they share.
+    behind = F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
+    needed = F.lit(least / (1 + least)) * (F.col("size_x") + F.col("size_y")) - 1e-6
+    pairs = left.join(right, ["element", "i", "j"]).where(
+        F.expr("(size_x, place_x) <= (size_y, place_y)")
+        & (F.col("size_x") >= least * F.col("size_y") - 1e-6) & (behind >= needed)
+        & ~F.expr("r1_x = r2_x and r1_y = r2_y and r1_x = r1_y"))
+    pairs = scratch.put(pairs.select("element", "size_x", "place_x", "n_x", "size_y", "place_y",
+                                     "n_y"), "group-pairs")
+
+    # Members with members, in blocks where a group has many.
+    live = scratch.put(pairs.select("element", *[F.col(f"{c}_x").alias(c) for c in ("size", "place", "n")])
+                       .union(pairs.select("element", "size_y", "place_y", "n_y")).distinct(), "live")
+    members = scratch.put(
+        firsts.join(small_or_shuffled(live), key).withColumn(
+            "block", F.pmod(F.xxhash64("node"), _blocks("n", part)).cast("int")).drop("n"), "met")
+    x, y = (members.select("element", *[F.col(c).alias(f"{c}_{side}") for c in
+                                        ("size", "place", "block", "node", "root")]) for side in "xy")
+    blocks = [F.explode(F.sequence(F.lit(0), _blocks(f"n_{side}", part) - 1)).alias(f"block_{side}")
+              for side in "xy"]
+    pairs = scratch.put(pairs.select("*", blocks[0]).select("*", blocks[1]).drop("n_x", "n_y"),
+                        "block-pairs")
+    return (small_or_shuffled(pairs).join(x, ["element", "size_x", "place_x", "block_x"])
+            .join(y, ["element", "size_y", "place_y", "block_y"])
+            .where((F.col("root_x") != F.col("root_y"))
+                   & ((F.col("size_x") != F.col("size_y")) | (F.col("place_x") != F.col("place_y"))
+                      | (F.col("node_x") < F.col("node_y"))))
+            .select(F.col("node_x").alias("u"), F.col("node_y").alias("v")))
+
+
 def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 20,
                  rows: int = 4, weights: str = "set", steps: tuple[int, ...] = (4,),
-                 max_rounds: int = 5, part: int = 4096) -> DataFrame:
+                 part: int = 4096) -> DataFrame:
     """(doc_id, node, class_id, class_size, kept) of every document: class_id is the least doc_id
     of its class, and one document of each class is kept."""
     scratch = Scratch(docs.sparkSession, "near")
@@ -278,38 +378,30 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
     roots = scratch.put(components(links, scratch, "parts-0"), last := "roots-0")
-    for k in range(1, max_rounds + 1):
-        placed = (members.join(small_or_shuffled(roots), "node", "left")
-                  .select("bucket", "node", "n", F.coalesce("root", "node").alias("root")))
-        split = (placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-                 .where("r1 <> r2").select("bucket"))
-        salt = F.pmod(F.xxhash64(F.lit(k), "node"), F.ceil(F.col("n") / part))
-        at_random = F.xxhash64(F.lit(-k), "node", "bucket")
-        order = Window.partitionBy("bucket", "salt").orderBy(at_random, "node")
-        open_ = placed.join(split, "bucket", "left_semi").withColumn("salt", salt)
-        near = F.array(*[F.struct(F.lag("node", i).over(order).alias("v"),
-                                  F.lag("root", i).over(order).alias("r")) for i in (1, 2, 3)])
-        pairs = (open_.select(F.col("node").alias("u"), "root", near.alias("near"))
-                 .select("u", "root", F.explode("near").alias("p"))
-                 .where("p.v is not null and p.r <> root").select("u", F.col("p.v").alias("v")))
-        fresh = scratch.put(canonical(pairs).join(tried, ["a", "b"], "left_anti"), f"tried-{k}")
-        found = scratch.put(_linked(fresh, sets, least), f"links-{k}")
-        if found.isEmpty():
-            break
+    placed = (members.join(small_or_shuffled(roots), "node", "left")
+              .select("bucket", "node", F.coalesce("root", "node").alias("root")))
+    split = (placed.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+             .where("r1 <> r2").select("bucket"))
+    open_ = scratch.put(placed.join(split, "bucket", "left_semi").select("node", "root").distinct(),
+                        "open")
+    open_ = scratch.put(sets.join(small_or_shuffled(open_), "node"), "open-sets")
+    fresh = scratch.put(canonical(_candidates(open_, least, part, scratch))
+                        .join(tried, ["a", "b"], "left_anti"), "tried-exact")
+    found = scratch.put(_linked(fresh, sets, least), "links-exact")
+    if not found.isEmpty():
         # Only classes are merged: the new links, as links between roots, are a small graph.
-        tried = tried.unionByName(fresh)
         old = {x: roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
                for x in "ab"}
         between = (found.join(small_or_shuffled(old["a"]), "a", "left")
                    .join(small_or_shuffled(old["b"]), "b", "left")
                    .select(F.coalesce("a_root", "a").alias("a"),
                            F.coalesce("b_root", "b").alias("b")))
-        merged = components(between, scratch, f"parts-{k}")
-        merged = scratch.put(merged.withColumnRenamed("root", "new"), f"merged-{k}")
+        merged = components(between, scratch, "parts-exact")
+        merged = scratch.put(merged.withColumnRenamed("root", "new"), "merged")
         moved = (roots.join(small_or_shuffled(merged.withColumnRenamed("node", "root")), "root",
                             "left").select("node", F.coalesce("new", "root").alias("root")))
         roots = scratch.put(moved.unionByName(merged.select("node", F.col("new").alias("root")))
-                            .distinct(), last := f"roots-{k}")
+                            .distinct(), last := "roots-exact")
     scratch.keep("signs", last)
     whole = signs.select("doc_id", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))

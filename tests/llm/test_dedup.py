@@ -119,6 +119,35 @@ def test_near_classes(spark, part):
     assert all(r["class_size"] == len(got[r["class_id"]]) for r in made)
 
 
+@pytest.mark.parametrize("part", [4096, 64])
+def test_one_text_quoted_by_many_dissimilar_documents(spark, part):
+    """Each is similar (0.82) to the text, none (0.69) to another: one class by way of the text."""
+    text = " ".join(f"w{i}" for i in range(104))
+    rows = [(0, text)] + [(d, text + "".join(f" d{d}t{i}" for i in range(22)))
+                          for d in range(1, 3001)]
+    made = dart_minhash.near_classes(spark.createDataFrame(rows, DOCS).repartition(8), part=part)
+    assert {(r["class_id"], r["class_size"]) for r in made.collect()} == {(0, 3001)}
+
+
+def test_candidates_of_the_exact_join_hold_every_link(spark):
+    rng = random.Random(12)
+    sets = []
+    for _ in range(300):
+        pool = range(rng.choice([0, 0, 40]), 60)
+        sets.append(sorted(rng.sample(pool, rng.randint(1, 20))))
+        sets.append(sorted(set(sets[-1][1:]) | {rng.choice(pool)}))
+    rows = [(bytes([i // 256, i % 256]), bytes([i % 7]), s) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "node binary, root binary, elements array<int>")
+    for part in (4096, 4):
+        made = dart_minhash._candidates(df, 0.8, part, Scratch(spark, "test"))
+        got = {frozenset((bytes(r["u"]), bytes(r["v"]))) for r in made.collect()}
+        want = {frozenset((a[0], b[0])) for i, a in enumerate(rows) for b in rows[:i] if a[1] != b[1]
+                and 10 * len(set(a[2]) & set(b[2])) >= 8 * len(set(a[2]) | set(b[2]))}
+        assert want and want <= got
+        root = {n: r for n, r, _ in rows}
+        assert all(len({root[n] for n in pair}) == 2 for pair in got)
+
+
 @pytest.mark.parametrize("weights", ["set", "count"])
 def test_signatures_agree_as_often_as_texts_are_similar(weights):
     rng = np.random.default_rng(5)
