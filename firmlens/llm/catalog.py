@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (dart_minhash, licenses, line_runs, mixing, outliers, permutation_index, pieces,
-               quality_rank, sentence_spans, toxicity)
+from . import (best_position, dart_minhash, licenses, line_runs, mixing, outliers, part_enum,
+               permutation_index, pieces, quality_rank, sentence_spans, spelling, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,19 @@ def op10_nearest(spark, sf_dir):
     return permutation_index.search(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return best_position.search(_table(spark, sf_dir, "documents"),
+                                _table(spark, sf_dir, "benchmark"))
+
+
+def op12_jaccard_join(spark, sf_dir):
+    return part_enum.linked_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_forms(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_mixing": (op2_mixing, mixing.MIX_SQL),
@@ -65,4 +78,7 @@ QUERIES = {
     "op8_quality": (op8_quality, None),
     "op9_outliers": (op9_outliers, None),
     "op10_nearest": (op10_nearest, None),
+    "op11_ranked_search": (op11_ranked_search, best_position.SEARCH_SQL),
+    "op12_jaccard_join": (op12_jaccard_join, part_enum.LINK_SQL),
+    "op13_spelling_variants": (op13_spelling_variants, spelling.SPELLING_SQL),
 }

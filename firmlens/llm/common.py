@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +104,17 @@ def bounded_batches(docs: DataFrame, rows: int = 2000) -> DataFrame:
     return docs
 
 
+def byte_portions(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, list[bytes | None]]]:
+    """(start, UTF-8 texts) of runs of about `most` bytes of a text column; only one run is Python
+    objects at a time, so a batch of long texts is not held twice over."""
+    begin = size = 0
+    for i, length in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        size += length
+        if size >= most or i + 1 == len(column):
+            yield begin, column.slice(begin, i + 1 - begin).cast(pa.binary()).to_pylist()
+            begin, size = i + 1, 0
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str, max_rounds: int = 60,
                small: int = 300_000) -> DataFrame:
     """(node, root) of every node of `edges` (a, b), root the least node of its component.
