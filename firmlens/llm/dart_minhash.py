@@ -9,13 +9,18 @@ them, however long it is; each dart belongs to one of k coordinates, and the ear
 the signature. Two texts agree in a coordinate with probability equal to their weighted Jaccard
 similarity. Texts that leave a coordinate empty are thrown again with twice the rank.
 
-Texts of equal words are one node. Nodes that agree in a band are compared exactly, on their
-elements: first each node of a bucket with the bucket's least node; then the nodes of all buckets
+Texts of equal words are one node. Nodes that agree in a band are compared on their elements, which
+are 32-bit hashes (two elements of a pair of texts are taken for one with probability n m / 2^32):
+first each node of a bucket with the bucket's least node; then the nodes of all buckets
 where several classes are left meet in an exact join, so that no link between nodes that share a
 band is missed. In it, elements are ordered rarest first; similar nodes share one of the first few
 (prefix) at a place that leaves enough of both behind it (position filter). Nodes are compared by
 groups of equal element, size and place first, so filtered pairs of a hot element cost nothing;
-groups and their members meet in salted blocks, and nodes already of one class are passed over.
+groups and their members meet in salted blocks, and nodes already of one class are passed over. Where
+members meet, a sketch of each set (for each of 512 hash classes, whether it holds an odd number of
+elements) is a condition of the join: sets whose sketches differ in more bits than similar sets may
+have elements apart are not similar, which is exact. So a family of texts that are nearly, but not
+quite, similar enough yields no rows to verify.
 
 Null and empty texts, and texts without a word, are classes of their own, as documents. Rows that
 repeat a doc_id and a text are one document. A null doc_id is a document that comes last.
@@ -40,6 +45,7 @@ from .common import Scratch, bounded_batches, components, in_share, small_or_shu
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_SKETCH = [f"p{i}" for i in range(8)]
 #: Below which share of uniform numbers a cell has at most 0, 1, 2, ... darts: Poisson of mean 1.
 _POISSON = np.cumsum([np.exp(-1.0) / f for f in np.cumprod([1.0, *range(1, 13)])])
 
@@ -195,10 +201,11 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int, weights: str) ->
 
 
 def element_sets(docs: DataFrame, width: int, weights: str) -> DataFrame:
-    """(node, elements) with the 32-bit element hashes of every row's text that has a word. For
-    weights by count, an element's second occurrence is an element of its own, and so on."""
+    """(node, elements, p0..p7) with the 32-bit element hashes and the sketch of every row's text that
+    has a word. For weights by count, an element's second occurrence is an element of its own, and so on."""
     schema = StructType([StructField("node", BinaryType()),
-                         StructField("elements", ArrayType(IntegerType(), False))])
+                         StructField("elements", ArrayType(IntegerType(), False)),
+                         *[StructField(p, LongType()) for p in _SKETCH]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,12 +221,24 @@ def element_sets(docs: DataFrame, width: int, weights: str) -> DataFrame:
                 sets = [np.unique(element[a:b].astype("u4")).view("i4")
                         for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(map(_node, words), pa.binary()),
-                     pa.array(sets, pa.list_(pa.int32()))], names=schema.names)
+                    [pa.array(map(_node, words), pa.binary()), pa.array(sets, pa.list_(pa.int32())),
+                     *map(pa.array, sketches(sets).T)], names=schema.names)
 
     return docs.select("text").mapInArrow(run, schema).where("node is not null")
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of 8 words for each set: bit by bit, whether it has an odd number of elements of a class."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    element = np.concatenate([np.zeros(0, "i4"), *sets]).view("u4").astype("u8")
+    with np.errstate(over="ignore"):
+        bit = _mix(element * _GOLD) % np.uint64(64 * len(_SKETCH))
+    out = np.zeros(len(sets) * len(_SKETCH), "u8")
+    np.bitwise_xor.at(out, owner * len(_SKETCH) + (bit >> np.uint64(6)).astype("i8"),
+                      np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(len(sets), len(_SKETCH)).view("i8")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity is `least` or more."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
@@ -230,9 +249,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             .where(both >= least * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
-def _common(sets: DataFrame, most: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+def _common(sets: DataFrame, most: int = 20_000,
+            distinct: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
     """Elements that occur three times or more in at most about `most` of the sets, ascending, and
-    how often they do. They only order the elements: any order gives the same links."""
+    how often they do; the `distinct` most frequent ones. They only order the elements: any order
+    gives the same links."""
     n = sets.count()
     some = sets.where(in_share(F.col("node"), most / n, 29)) if n > most else sets
 
@@ -243,7 +264,8 @@ def _common(sets: DataFrame, most: int = 20_000) -> tuple[np.ndarray, np.ndarray
                                              names=["element", "n"])
 
     found = (some.select("elements").mapInArrow(run, "element int, n long").groupBy("element")
-             .agg(F.sum("n").alias("n")).where("n > 2").toPandas().sort_values("element"))
+             .agg(F.sum("n").alias("n")).where("n > 2").orderBy(F.desc("n"), "element").limit(distinct)
+             .toPandas().sort_values("element"))
     return found["element"].to_numpy("i4"), found["n"].to_numpy("i8")
 
 
@@ -280,8 +302,9 @@ def _blocks(n: str, part: int) -> Column:
 
 
 def _candidates(sets: DataFrame, least: float, part: int, scratch: Scratch) -> DataFrame:
-    """The pairs (u, v) of sets (node, root, elements) of different roots that may have similarity
-    `least`: they share an element of both prefixes, and sizes and places allow it."""
+    """The pairs (u, v) of sets (node, root, elements, and the sketch, if there is one) of different
+    roots that may have similarity `least`: they share an element of both prefixes, and sizes, places
+    and sketches allow it."""
     key = ["element", "size", "place"]
     firsts = scratch.put(_prefixes(sets, least), "firsts")
     groups = firsts.groupBy(*key).agg(F.count("*").alias("n"), F.min("root").alias("r1"),
@@ -310,18 +333,26 @@ def _candidates(sets: DataFrame, least: float, part: int, scratch: Scratch) -> D
     # Members with members, in blocks where a group has many.
     live = scratch.put(pairs.select("element", *[F.col(f"{c}_x").alias(c) for c in ("size", "place", "n")])
                        .union(pairs.select("element", "size_y", "place_y", "n_y")).distinct(), "live")
+    sketch = [p for p in _SKETCH if p in sets.columns]
     members = scratch.put(
         firsts.join(small_or_shuffled(live), key).withColumn(
-            "block", F.pmod(F.xxhash64("node"), _blocks("n", part)).cast("int")).drop("n"), "met")
+            "block", F.pmod(F.xxhash64("node"), _blocks("n", part)).cast("int")).drop("n")
+        .join(sets.select("node", *sketch), "node"), "met")
     x, y = (members.select("element", *[F.col(c).alias(f"{c}_{side}") for c in
-                                        ("size", "place", "block", "node", "root")]) for side in "xy")
+                                        ("size", "place", "block", "node", "root", *sketch)])
+            for side in "xy")
+    apart = F.lit(0)
+    for p in sketch:
+        apart = apart + F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y")))
+    # Similar sets have at most this share of their sizes' sum on one side only.
+    alike = apart <= F.lit((1 - least) / (1 + least)) * (F.col("size_x") + F.col("size_y")) + 1e-6
     blocks = [F.explode(F.sequence(F.lit(0), _blocks(f"n_{side}", part) - 1)).alias(f"block_{side}")
               for side in "xy"]
     pairs = scratch.put(pairs.select("*", blocks[0]).select("*", blocks[1]).drop("n_x", "n_y"),
                         "block-pairs")
     return (small_or_shuffled(pairs).join(x, ["element", "size_x", "place_x", "block_x"])
             .join(y, ["element", "size_y", "place_y", "block_y"])
-            .where((F.col("root_x") != F.col("root_y"))
+            .where((F.col("root_x") != F.col("root_y")) & alike
                    & ((F.col("size_x") != F.col("size_y")) | (F.col("place_x") != F.col("place_y"))
                       | (F.col("node_x") < F.col("node_y"))))
             .select(F.col("node_x").alias("u"), F.col("node_y").alias("v")))
@@ -348,7 +379,8 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
     texts = texts.join(small_or_shuffled(nodes.select("doc_id")),
                        F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
     sets = scratch.put(element_sets(texts, width, weights)
-                       .groupBy("node").agg(F.any_value("elements").alias("elements")), "sets")
+                       .groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("elements", *_SKETCH)]),
+                       "sets")
 
     def canonical(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("u", "v").alias("a"),
@@ -403,19 +435,28 @@ def near_classes(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int
         roots = scratch.put(moved.unionByName(merged.select("node", F.col("new").alias("root")))
                             .distinct(), last := "roots-exact")
     scratch.keep("signs", last)
-    whole = signs.select("doc_id", "node").join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
     ids = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "node")
-    classes = (whole.where("root is not null").groupBy("root")
-               .agg(F.min(ids).alias("least"), F.count("*").alias("class_size")))
-    classed = whole.join(classes, "root", "left")
+    rows = signs.select("doc_id", "node")
+    own = (rows.where("node is not null").groupBy("node").agg(F.min(ids).alias("first"),
+                                                              F.count("*").alias("copies"))
+           .join(roots, "node", "left"))
+    classes = (own.where("root is not null").groupBy("root")
+               .agg(F.min("first").alias("least"), F.sum("copies").alias("size")))
+    # A node of one row and no link is its class, so the table of the others is all that rows meet.
+    named = (own.where("copies > 1 or root is not null").join(classes, "root", "left")
+             .select("node", F.coalesce("least", "first").alias("least"),
+                     F.coalesce("size", "copies").alias("size")))
+    classed = rows.where("node is not null").join(named, "node", "left").withColumn(
+        "least", F.coalesce("least", ids))
     first = (F.col("least.doc_id").eqNullSafe(F.col("doc_id"))
              & (F.col("least.node") == F.col("node")))
-    lone = F.col("root").isNull()
+    one = F.lit(1).cast("long")
     return classed.select(
-        "doc_id", "node", F.when(lone, F.col("doc_id")).otherwise(F.col("least.doc_id"))
-        .alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        (lone | first).alias("kept"))
+        "doc_id", "node", F.col("least.doc_id").alias("class_id"),
+        F.coalesce("size", one).alias("class_size"), first.alias("kept")).unionByName(
+        rows.where("node is null").select(
+            "doc_id", "node", F.col("doc_id").alias("class_id"), one.alias("class_size"),
+            F.lit(True).alias("kept")))
 
 
 @pandas_udf(BinaryType())

@@ -2,13 +2,16 @@
 
 Every pair of neighbouring words of a text (k-grams, k = 2 unless told otherwise) joins the places
 of equal pairs in the templates. A hit votes for its diagonal, the place in the text less the place
-in the template. Votes are summed by text, template and diagonal; neighbouring diagonals, which
-words put in or left out set apart, are merged; and a merged span is verified: enough of the
-template's pairs, in no more text than the template and the slack have.
+in the template. Votes are summed by text, template and diagonal; a diagonal is merged with the few
+after it, which words put in or left out set apart; and the merged span is verified: enough different
+places of the template must be hit within it. So no phrase counts twice for being said twice, and the
+span is no longer than the template and the slack.
 
 Base phrases are templates too; their places are the diagonals with every vote. All templates
 together are a bounded parameter, so they are broadcast, and texts are not shuffled: only hits are.
-Null and empty texts have no words. Rows are judged one by one, so repeated ids do no harm.
+Null and empty texts have no words. Rows are judged one by one, so repeated ids do no harm; an empty
+table gives no rows. Equal spans give their label once; very long texts are read whole. Columns of other
+names are not read, so they cannot clash.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 BASE = (("gpl", "gnu general public license"), ("apache", "apache license"), ("cc-by", "cc by"),
         ("mit", "mit license"))
 
-#: Templates of the method's own labels: lines and opening passages of public licenses.
+# Templates of the method's own labels, lines and opening passages of public licenses.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain "
@@ -100,18 +103,26 @@ def license_spans(docs: DataFrame, templates=TEMPLATES, base=BASE, k: int = 2,
         "row", "label", "is_base", F.col("diagonal").alias("first"),
         (F.col("diagonal") + F.col("n_grams") + (k - 2)).alias("last"),
         F.lit(1.0).alias("score"))
-    order = Window.partitionBy("row", "t").orderBy("diagonal")
-    gap = F.col("diagonal") - F.lag("diagonal").over(order)
-    spans = (votes.where("not is_base")
-             .withColumn("part", F.sum(F.when(gap <= slack, 0).otherwise(1)).over(order))
-             .groupBy("row", "t", "part")
-             .agg(F.sum("votes").alias("votes"), F.first("label").alias("label"),
-                  F.first("n_grams").alias("n_grams"),
-                  F.min(F.col("diagonal") + F.col("low")).alias("first"),
-                  F.max(F.col("diagonal") + F.col("high") + (k - 1)).alias("last"))
-             .withColumn("score", F.least(F.lit(1.0), F.col("votes") / F.col("n_grams")))
-             .where((F.col("score") >= least_votes)
-                    & (F.col("last") - F.col("first") < F.col("n_grams") + (k - 1) + slack))
+    # A span is a diagonal and the `slack` after it. Only where their votes could do is it looked into.
+    reach = (Window.partitionBy("row", "t").orderBy("diagonal")
+             .rangeBetween(Window.currentRow, slack))
+    starts = (votes.where("not is_base").withColumn("all", F.sum("votes").over(reach))
+              .where(F.col("all") >= least_votes * F.col("n_grams"))
+              .select("row", "t", F.col("diagonal").alias("start"), "label", "n_grams",
+                      F.explode(F.sequence(F.col("diagonal"), F.col("diagonal") + slack))
+                      .alias("diagonal")))
+    places = (starts.join(hits.select("row", "t", "t_pos", "diagonal"), ["row", "t", "diagonal"])
+              .groupBy("row", "t", "start", "t_pos")
+              .agg(F.first("label").alias("label"), F.first("n_grams").alias("n_grams"),
+                   F.min(F.col("diagonal") + F.col("t_pos")).alias("first"),
+                   F.max(F.col("diagonal") + F.col("t_pos") + (k - 1)).alias("last")))
+    # A place of the template counts once, however often its words stand in the span.
+    spans = (places.groupBy("row", "t", "start")
+             .agg(F.count("*").alias("held"), F.first("label").alias("label"),
+                  F.first("n_grams").alias("n_grams"), F.min("first").alias("first"),
+                  F.max("last").alias("last"))
+             .withColumn("score", F.col("held") / F.col("n_grams"))
+             .where(F.col("score") >= least_votes)
              .select("row", "label", F.lit(False).alias("is_base"), "first", "last", "score"))
     return (hits.where("n_words is not null").select("row", "doc_id", "n_words"),
             exact.unionByName(spans))
@@ -139,7 +150,7 @@ def license_documents(docs: DataFrame) -> DataFrame:
 
 
 def license_sql(k: int = 2, least_votes: float = 0.7, slack: int = 3) -> str:
-    """The same relational plan for DuckDB, on word pairs instead of their hashes."""
+    """The contract and the rule of a label for DuckDB, on word pairs instead of their hashes."""
     values = ", ".join(f"({i}, '{label}', '{phrase}', {i < len(BASE)})"
                        for i, (label, phrase) in enumerate([*BASE, *TEMPLATES]))
     assert k == 2
@@ -153,25 +164,16 @@ dw AS (SELECT doc_id, list_filter(string_split_regex(
            '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
 dg AS (SELECT doc_id, p, w[p + 1] AS a, w[p + 2] AS b
        FROM (SELECT doc_id, w, unnest(range(len(w) - 1)) AS p FROM dw WHERE len(w) > 1)),
-votes AS (
-  SELECT doc_id, t, label, is_base, n_grams, p - t_pos AS diagonal, count(*) AS votes,
-         min(t_pos) AS low, max(t_pos) AS high
-  FROM dg JOIN tg USING (a, b) GROUP BY ALL),
-parts AS (
-  SELECT *, sum(CASE WHEN gap <= {slack} THEN 0 ELSE 1 END)
-      OVER (PARTITION BY doc_id, t ORDER BY diagonal) AS part
-  FROM (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, t ORDER BY diagonal) AS gap
-        FROM votes WHERE NOT is_base)),
+hits AS (SELECT doc_id, t, label, is_base, n_grams, p - t_pos AS diagonal, t_pos
+         FROM dg JOIN tg USING (a, b)),
+starts AS (SELECT DISTINCT doc_id, t, diagonal AS start FROM hits),
 spans AS (
-  SELECT doc_id, label, true AS is_base, diagonal AS start, 1.0::DOUBLE AS score
-  FROM votes WHERE is_base AND votes = n_grams
-  UNION ALL
-  SELECT doc_id, label, false, start, score FROM (
-    SELECT doc_id, t, part, any_value(label) AS label, min(diagonal + low) AS start,
-        max(diagonal + high + 1) AS stop, any_value(n_grams) AS n_grams,
-        least(1.0, sum(votes)::DOUBLE / any_value(n_grams)) AS score
-    FROM parts GROUP BY doc_id, t, part)
-  WHERE score >= {least_votes} AND stop - start < n_grams + 1 + {slack}),
+  SELECT doc_id, any_value(label) AS label, any_value(is_base) AS is_base, start,
+      count(DISTINCT t_pos)::DOUBLE / any_value(n_grams) AS score
+  FROM starts JOIN hits USING (doc_id, t)
+  WHERE diagonal BETWEEN start AND start + CASE WHEN is_base THEN 0 ELSE {slack} END
+  GROUP BY doc_id, t, start
+  HAVING count(DISTINCT t_pos) >= any_value(CASE WHEN is_base THEN 1 ELSE {least_votes} END * n_grams)),
 per_text AS (
   SELECT doc_id, count(*) FILTER (is_base) AS n_base, min(start) FILTER (is_base) AS first_word,
       max(start) FILTER (is_base) AS last_word,

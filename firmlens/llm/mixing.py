@@ -63,22 +63,26 @@ def targets(sizes: DataFrame, budget_share: float = 1.5, most_epochs: float = 2.
 
 
 def mix(docs: DataFrame, quality: Column | None = None, budget_share: float = 1.5,
-        most_epochs: float = 2.0, weights: tuple[int, ...] = WEIGHTS, bins: int = 4096,
+        most_epochs: float = 2.0, weights: tuple[int, ...] = WEIGHTS, bins: int | None = None,
         seed: str = "mix") -> DataFrame:
     """`docs` with size, source_size, target, copies (times the document is taken) and taken
     (copies x size). Quality weights must be in (0, 1]."""
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.col("text")
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("__doc").cast("string"))
-                                      .cast("binary")), 1, 13), 16, 10).cast("double")
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), "__own")), 1, 13), 16, 10).cast("double")
     u = (digest + 0.5) / F.lit(float(2 ** 52))
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("__doc"), F.col("source").cast("string").alias("__source"),
         word_count(text).alias("size"), (quality if quality is not None
                                          else symbol_quality(text)).alias("__quality"),
-        F.xxhash64("text").alias("__text"))
-    narrow = scratch.put(narrow.withColumn("__key", -F.log(u) / F.col("__quality")), "keys")
-    bin_ = F.floor((1 - F.exp(-F.col("__key"))) * bins).cast("int")
+        F.xxhash64("text").alias("__text"),
+        F.coalesce(F.col("doc_id").cast("long").cast("string"), F.md5("text")).alias("__own"))
+    narrow = scratch.put(narrow.withColumn("__key", -F.log(u) / F.col("__quality"))
+                         .drop("__own", "__quality"), "keys")
+    if bins is None:
+        bins = max(4096, narrow.count() // 20_000)
+    # key / (1 + key) spreads the keys of all weights: no bin has a thousandth of a source.
+    bin_ = F.floor(F.col("__key") / (1 + F.col("__key")) * bins).cast("int")
     narrow = narrow.withColumn("__bin", bin_)
     per_bin = scratch.put(narrow.groupBy("__source", "__bin").agg(F.sum("size").alias("words")),
                           "bins")
@@ -102,23 +106,59 @@ def mix(docs: DataFrame, quality: Column | None = None, budget_share: float = 1.
     rest = F.col("target") - epochs * F.col("source_size")
     fits = F.col("start") + F.col("__seen") + F.col("size") / 2 <= rest
     copies = epochs + F.when(fits & (F.col("size") > 0) & (rest > 0), 1).otherwise(0)
-    return joined.select(F.col("__doc").alias("doc_id"), "__text", "size", "source_size", "target",
+    return joined.select(F.col("__doc").alias("doc_id"), "__source", "__text", "size", "source_size", "target",
                          (copies * F.col("size")).alias("taken"), copies.alias("copies"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies of every document."""
-    return mix(docs.select("doc_id", "text", "source")).drop("__text")
+    return mix(docs.select("doc_id", "text", "source")).drop("__source", "__text")
 
 
 def take(docs: DataFrame, **params) -> DataFrame:
-    """The mix itself: rows of `docs`, each as often as it is taken."""
-    copies = (mix(docs, **params).groupBy(F.col("doc_id").alias("__doc"), F.col("__text"))
-              .agg(F.max("copies").alias("__copies")))
-    joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("__doc"))
-                       & (F.xxhash64(docs["text"]) == F.col("__text")))
-    repeated = joined.where("__copies > 0").withColumn(
-        "__n", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
+    """The mix itself: rows of `docs`, each as often as it is taken.
+
+    Rows alike in doc_id, source and text are taken alike, but for one such group in a source at most,
+    which the target's words end in: there, some of the rows are taken once more. Only rows of such groups
+    are numbered, in the order of the table, each task's by itself. `docs` should be a stored table: it
+    is read twice, and its rows are told apart by where they stand."""
+    scratch = Scratch(docs.sparkSession, "taking")
+    keys = ["__doc", "__source", "__text"]
+    groups = scratch.put(
+        mix(docs, **params).withColumnRenamed("doc_id", "__doc").groupBy(*keys).agg(
+            F.min("copies").alias("__low"),
+            (F.sum("copies") - F.count("*") * F.min("copies")).alias("__extra")), "groups")
+    split = scratch.put(groups.where("__extra > 0"), "split")
+    placed = docs.withColumns({
+        "__d": F.col("doc_id").cast("long"), "__s": F.col("source").cast("string"),
+        "__t": F.xxhash64("text"), "__place": F.monotonically_increasing_id()})
+
+    def met(rows: DataFrame, some: DataFrame) -> DataFrame:
+        return rows.join(some, F.col("__d").eqNullSafe(F.col("__doc"))
+                         & F.col("__s").eqNullSafe(F.col("__source")) & (F.col("__t") == F.col("__text")))
+
+    joined = met(placed, groups).withColumn("__copies", F.col("__low"))
+    if not split.isEmpty():
+        task = F.shiftright("__place", 33)
+        rows = scratch.put(met(placed.select("__d", "__s", "__t", "__place"), small_or_shuffled(split))
+                           .select(F.struct(*keys).alias("__group"), task.alias("__task"), "__place",
+                                   "__low", "__extra"), "rows")
+        before = (Window.partitionBy("__group").orderBy("__task")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        per_task = (rows.groupBy("__group", "__task").agg(F.count("*").alias("__n"))
+                    .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))))
+        in_task = Window.partitionBy("__group", "__task").orderBy("__place")
+        left, right = rows.withColumn("__own", F.row_number().over(in_task)).alias("l"), per_task.alias("r")
+        once = F.col("__before") + F.col("__own") <= F.col("__extra")
+        chosen = scratch.put(
+            left.join(right, F.col("l.__group").eqNullSafe(F.col("r.__group"))
+                      & (F.col("l.__task") == F.col("r.__task")))
+            .where(once).select(F.col("__place").alias("__at"), (F.col("__low") + 1).alias("__more")),
+            "chosen")
+        joined = joined.join(small_or_shuffled(chosen), F.col("__place") == F.col("__at"), "left")
+        joined = joined.withColumn("__copies", F.coalesce("__more", "__low"))
+    copies = F.array_repeat(F.lit(1), F.col("__copies").cast("int"))
+    repeated = joined.where("__copies > 0").withColumn("__n", F.explode(copies))
     return repeated.select(*[docs[c] for c in docs.columns])
 
 
@@ -128,7 +168,7 @@ WITH d AS (
       coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
       greatest(0.25, 1 - 5 * coalesce((length(text) - length(translate(text, '#*$%&|<>', '')))::DOUBLE
           / greatest(length(text), 1), 0)) AS quality,
-      ((('0x' || substr(md5(concat_ws('|', 'mix', doc_id::VARCHAR)), 1, 13))::BIGINT)::DOUBLE + 0.5)
+      ((('0x' || substr(md5(concat_ws('|', 'mix', coalesce(doc_id::VARCHAR, md5(text)))), 1, 13))::BIGINT)::DOUBLE + 0.5)
           / 4503599627370496.0 AS u
   FROM documents),
 s AS (

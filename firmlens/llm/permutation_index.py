@@ -73,7 +73,6 @@ def footrule_search(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarra
             np.minimum(files[pivot], files.dtype.type(place), out=met)
             common += met
         near = np.argsort(np.iinfo(whole).max - common, kind="stable")[:count]
-        near = near[block_ids[near] != own]
         rows = block[near]
         rough = rows @ q
         if len(near) > k:
@@ -94,9 +93,15 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, n_pivots: int = 128
     `every`. The pivots are a sample of at most `n_pivots` vectors of each dimension, by hash; every
     vector is indexed. `share` of each block (at least `least` vectors) is reranked."""
     scratch = Scratch(vectors.sparkSession, "permutations")
-    rows = scratch.put(usable(vectors), "vectors")
+    every_row = scratch.put(usable(vectors), "rows")
+    wanted = F.col("vec_id") % every == 0
+    rows = scratch.put(every_row.groupBy("v").agg(
+        F.min("vec_id").alias("vec_id"), F.any_value("dim").alias("dim"),
+        F.any_value("square").alias("square"), F.bool_or(wanted).alias("asked")), "vectors")
+    ids = scratch.put(every_row.select("vec_id", "v").join(
+        rows.select("v", F.col("vec_id").alias("rep")), "v").select("rep", "vec_id"), "ids")
     dims = rows.groupBy("dim").agg(F.count("*").alias("n"), F.max("square").alias("longest"),
-                                   F.sum((F.col("vec_id") % every == 0).cast("long")).alias("q"))
+                                   F.sum(F.col("asked").cast("long")).alias("q"))
     dims = {r["dim"]: r for r in dims.collect()}  # a row for each dimension that occurs
     pivots = {}
     for dim, r in dims.items():
@@ -120,7 +125,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, n_pivots: int = 128
         "dim", F.pmod(F.xxhash64("vec_id"), per_dim(n_blocks)).cast("long").alias("block"),
         F.explode(F.sequence(F.lit(0).cast("long"), per_dim(n_chunks) - 1)).alias("chunk"),
         "vec_id", "v")
-    asked = rows.where(F.col("vec_id") % every == 0).select(
+    asked = rows.where("asked").select(
         "dim", F.explode(F.sequence(F.lit(0).cast("long"), per_dim(n_blocks) - 1)).alias("block"),
         F.pmod(F.xxhash64(F.lit(5), "vec_id"), per_dim(n_chunks)).cast("long").alias("chunk"),
         "vec_id", "v")
@@ -135,11 +140,24 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, n_pivots: int = 128
         order = np.argsort(ids)
         flat = lambda t: t.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
         q, v, s = footrule_search(flat(right), wanted, flat(left)[order], ids[order], pivots[dim],
-                                  longest[dim], length, share, least, k)
+                                  longest[dim], length, share, least, k + 1)
         return pa.table({"query_id": q, "vec_id": v, "score": s})
 
     keys = ["dim", "block", "chunk"]
     found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(group, _SCHEMA)
+    # The k + 1 best vectors, the query's own among them, hold its k best ids: each has its least.
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    found = scratch.put(found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+                        .select(F.col("query_id").alias("query"), F.col("vec_id").alias("rep"), "score"),
+                        "found")
+    firsts = Window.partitionBy("rep").orderBy("vec_id")
+    few = ids.withColumn("n", F.row_number().over(firsts)).where(F.col("n") <= k + 1).drop("n")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    answers = (found.join(few, "rep").withColumn("n", F.row_number().over(best))
+               .where(F.col("n") <= k + 1).groupBy("query")
+               .agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("answers")))
+    asking = ids.where(wanted).select(F.col("rep").alias("query"), F.col("vec_id").alias("query_id"))
+    others = F.filter("answers", lambda x: x["vec_id"] != F.col("query_id"))
+    return (asking.join(answers, "query")
+            .select("query_id", F.posexplode(F.slice(others, 1, k)).alias("pos", "x"))
+            .select("query_id", (F.col("pos") + 1).alias("rank"), "x.vec_id", "x.score"))

@@ -5,10 +5,13 @@ long sentence may stand alone): from each sentence the shortest run of at least
 and, for a sentence that no such run ends with, the shortest run back from it. So any passage of so many words that two texts share is covered
 by spans that lie within it, whatever stands around it. Spans are hashed, words lower-cased and
 blanks made equal, and joined over the corpus; every span that is not in its first place costs the
-sentences it covers. The first place of a span is its first in the document with the least doc_id.
+sentences it covers. The first place of a span is its first in the first row that has it; rows stand in
+the order of their doc_ids, null last, and those of one doc_id in the order of the table.
 
-Rows with the same doc_id are one document; a null doc_id comes after all others. Null and empty
-texts have no sentence and stay empty. What is kept is kept byte for byte.
+Null and empty texts have no sentence and stay empty. Very long texts are read whole. Ties need no rule,
+as no two rows stand in one place. An empty table gives no rows; columns named as the results are replaced.
+What is kept is kept byte for byte. The documents are read twice and rows are told apart by their place in
+the table; a plan that shuffles has no such place, so its rows are stored first.
 """
 
 from __future__ import annotations
@@ -78,50 +81,60 @@ def _halves(h: int) -> tuple[int, int]:
     return ((h >> 64) - (1 << 63), (h & (2 ** 64 - 1)) - (1 << 63))
 
 
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """`docs` with __row, the place of the row in the table."""
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        docs = scratch.put(docs, "rows")
+    return docs.withColumn("__row", F.monotonically_increasing_id())
+
+
 def span_hashes(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, h1, h2) of each distinct span of each row."""
-    schema = StructType([StructField(x, LongType()) for x in ("doc_id", "h1", "h2")])
+    """(doc_id, row, h1, h2) of each distinct span of each row (doc_id, __row, text)."""
+    schema = StructType([StructField(x, LongType()) for x in ("doc_id", "row", "h1", "h2")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, first, second = [], [], []
+            ids, rows, first, second = [], [], [], []
 
             def made():
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in (ids, first, second)], names=schema.names)
+                    [pa.array(x, pa.int64()) for x in (ids, rows, first, second)], names=schema.names)
 
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, row, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for h in {h for _, _, h in spans(sentences(text), min_words)}:
                     h1, h2 = _halves(h)
                     ids.append(doc)
+                    rows.append(row)
                     first.append(h1)
                     second.append(h2)
                 if len(ids) > 200_000:
                     yield made()
-                    ids, first, second = [], [], []
+                    ids, rows, first, second = [], [], [], []
             yield made()
 
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
-    return docs.select(key.alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(key.alias("doc_id"), "__row", "text").mapInArrow(run, schema)
 
 
 def dedup_spans(docs: DataFrame, min_words: int = 20, salts: int = 8) -> DataFrame:
     """`docs` with text less its repeated sentences, n_sentences (before), n_removed and removed
     (the numbers of the sentences that went, from 0)."""
     scratch = Scratch(docs.sparkSession, "spans")
-    docs = bounded_batches(docs)
-    shared = (span_hashes(docs, min_words).groupBy("h1", "h2")
-              .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where("first <> last").select("h1", "h2", "first"))
+    docs = numbered(bounded_batches(docs), scratch)
+    hashes = scratch.put(span_hashes(docs, min_words), "hashes")
+    place = F.struct("doc_id", "row")
+    shared = (hashes.groupBy("h1", "h2")
+              .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+              .where("first <> last").select("h1", "h2", F.col("first.row").alias("first")))
     shared = scratch.put(shared, "shared")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")
     spread = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    drops = (span_hashes(docs, min_words).withColumn("salt", salt)
-             .join(spread, ["h1", "h2", "salt"]).where("doc_id <> first")
-             .groupBy(F.col("doc_id").alias("__doc"))
+    drops = (hashes.select("row", "h1", "h2", salt.alias("salt"))
+             .join(spread, ["h1", "h2", "salt"]).where(F.col("row") != F.col("first"))
+             .groupBy(F.col("row").alias("__at"))
              .agg(F.collect_set(F.struct("h1", "h2")).alias("__drop")))
     drops = scratch.put(drops, "drops")
-    scratch.keep("drops")
+    scratch.keep("drops", "rows")
 
     @pandas_udf(StructType([StructField("text", StringType()), StructField("n", LongType()),
                             StructField("removed", ArrayType(IntegerType()))]))
@@ -138,11 +151,10 @@ def dedup_spans(docs: DataFrame, min_words: int = 20, salts: int = 8) -> DataFra
             out.append((kept or "", len(parts), sorted(gone)))
         return pd.DataFrame(out, columns=["text", "n", "removed"])
 
-    joined = docs.join(drops, F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST))
-                       == F.col("__doc"), "left")
+    joined = docs.join(drops, F.col("__row") == F.col("__at"), "left")
     made = joined.withColumn("__kept", without("text", F.col("__drop.h1"), F.col("__drop.h2")))
     return replace_columns(
-        made.drop("__doc", "__drop"), text=F.col("__kept.text"), n_sentences=F.col("__kept.n"),
+        made.drop("__row", "__at", "__drop"), text=F.col("__kept.text"), n_sentences=F.col("__kept.n"),
         n_removed=F.size("__kept.removed").cast("long"), removed=F.col("__kept.removed")
     ).drop("__kept")
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from firmlens.llm import dart_minhash, line_runs, sentence_spans
 from firmlens.llm.common import Scratch, components
@@ -207,7 +208,7 @@ def test_components(spark):
 def _spans_by_hand(rows, min_words):
     """Every run that the definition names, hashed as text, first places by id and place."""
     seen, out = {}, []
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     made = {}
     for i in order:
         parts = sentence_spans.sentences(rows[i][1])
@@ -215,11 +216,11 @@ def _spans_by_hand(rows, min_words):
         made[i] = [(a, b, " ".join("".join(parts[a:b + 1]).lower().split())) for a, b in runs]
     for i in order:
         for _, _, key in made[i]:
-            seen.setdefault(key, rows[i][0])
+            seen.setdefault(key, i)
     for i, (doc, _) in enumerate(rows):
         met, gone = set(), set()
         for a, b, key in made[i]:
-            if key in met or seen[key] != doc:
+            if key in met or seen[key] != i:
                 gone.update(range(a, b + 1))
             met.add(key)
         parts = sentence_spans.sentences(rows[i][1])
@@ -275,3 +276,37 @@ def test_spans_of_odd_rows(odd, odd_rows, nothing):
                    made.collect()], key=str)
     assert rows == _spans_by_hand([r[:2] for r in odd_rows], 20)
     assert sentence_spans.dedup_spans(nothing).count() == 0
+
+
+def test_spans_of_rows_without_or_with_the_same_id(spark):
+    story = ("The first sentence of this story is quite long and calm. The second one adds some more words "
+             "to it. A third one ends the whole passage at last.")
+    rows = [(None, story), (None, story), (None, story + " More of it."), (3, story), (3, story)]
+    for part in (rows[:3], rows):
+        made = sentence_spans.dedup_spans(spark.createDataFrame(part, DOCS).coalesce(1)).collect()
+        got = sorted([(r["doc_id"], r["text"], r["n_sentences"], r["removed"]) for r in made], key=str)
+        assert got == _spans_by_hand(part, 20)
+        assert sum("The second one" in r["text"] for r in made) == 1
+
+
+def test_a_family_of_near_copies_leaves_few_pairs_to_verify(spark):
+    """Most pairs of the family are not quite similar enough: the sketches tell, inside the join."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for d in range(400):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3])):
+            words[at] = f"x{d}y{at}"
+        rows.append((d, " ".join(words)))
+    docs = spark.createDataFrame(rows, DOCS)
+    made = dart_minhash.near_classes(docs).collect()
+    classes = defaultdict(list)
+    for r in made:
+        classes[r["class_id"]].append(r["doc_id"])
+    assert {frozenset(m) for m in classes.values()} == _near_by_hand(rows)
+    sets = dart_minhash.element_sets(docs, 5, "set")
+    lone = sets.withColumn("root", F.col("node")).cache()
+    pairs = dart_minhash._candidates(lone, 0.8, 4096, Scratch(spark, "test")).distinct()
+    linked = dart_minhash._linked(pairs.select(F.col("u").alias("a"), F.col("v").alias("b")), sets, 0.8)
+    assert pairs.count() < 1.3 * linked.count() + 100

@@ -53,6 +53,23 @@ def test_recall_of_lengths_that_differ_and_many_blocks(spark):
     assert _recall(rows, _by_hand(ids, table)) >= 0.9
 
 
+def test_recall_with_a_third_of_equal_vectors(spark):
+    rng = np.random.default_rng(6)
+    table = rng.normal(size=(6000, 64))
+    table /= np.linalg.norm(table, axis=1)[:, None]
+    table[rng.permutation(6000)[:2000]] = table[1]
+    table = table.astype("f4").astype("f8")
+    ids = np.arange(6000)
+    df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, table)], VECTORS)
+    rows = permutation_index.search(df, block=2048).collect()
+    want = _by_hand(ids, table)
+    assert _recall(rows, want) >= 0.9
+    hot = {r["query_id"] for r in rows if (table[r["query_id"]] == table[1]).all()}
+    for q in list(hot)[:5]:
+        got = sorted((r["rank"], r["vec_id"]) for r in rows if r["query_id"] == q)
+        assert [v for _, v in got] == want[q][0]
+
+
 def test_ties_go_to_smaller_ids(spark):
     v, w = [1.0, 2.0, 3.0], [3.0, 1.0, 0.5]
     rows = [(i, v if i < 500 else w, 0) for i in range(600)]

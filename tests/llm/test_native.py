@@ -74,6 +74,23 @@ def test_mix_of_odd_rows(odd, odd_rows, nothing):
     assert mixing.mixed_documents(nothing).count() == 0 and mixing.take(nothing).count() == 0
 
 
+def test_the_mix_holds_what_it_reports(spark):
+    """Repeated ids, over two sources; equal rows at the end of a target; rows without an id."""
+    rows = [(i % 400, f"w{i % 3} " * (1 + i % 40), f"s{i % 2}", i) for i in range(2000)]
+    rows += [(7, "same words here", "s2", i) for i in range(300)] + [(None, "a b c", None, i) for i in range(50)]
+    rows += [(None, None, None, 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mark int").repartition(4)
+    stored = docs.cache()
+    for share in (1.5, 0.4):
+        taken = Counter()
+        for r in mixing.mix(stored, budget_share=share).collect():
+            taken[r["__source"]] += r["taken"]
+        handed = Counter()
+        for r in mixing.take(stored, budget_share=share).collect():
+            handed[r["source"]] += len((r["text"] or "").split())
+        assert +handed == +taken
+
+
 def _words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
                       re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
@@ -114,6 +131,15 @@ def test_spans_with_changes(spark):
     assert rows[0]["score"] == 1.0 and rows[1]["score"] < 1.0
 
 
+def test_a_phrase_said_again_votes_once(spark):
+    texts = ["mit license " * 3, "all rights reserved " * 3, "all rights reserved", "the mit license " * 9,
+             "x all rights reserved all rights reserved released under the new mit license " * 4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["labels"].split(",") for r in licenses.license_documents(docs).collect()}
+    assert [("mit-line" in rows[i], "all-rights-reserved" in rows[i]) for i in range(5)] == [
+        (False, False), (False, True), (False, True), (False, False), (True, True)]
+
+
 def _counts(text):
     text = text or ""
     words = WORD.findall(text)
