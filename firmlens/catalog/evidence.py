@@ -57,9 +57,15 @@ def url_dedupe_capped(spark, sf):
     return dedupe_capped(items(spark, sf).select(*KEYS))
 
 
+def without_stubs(rows: str) -> str:
+    return f"SELECT * FROM ({rows}) WHERE NOT (source = 'wikipedia' AND length(snippet) < 50)"
+
+
 # The turn-taking again, source by source: each level keeps what the earlier levels did not.
-def capped_levels(sources=SOURCES) -> str:
-    parts = [f"WITH it AS (SELECT {_KEYS} FROM ({ITEMS_SQL})), k0 AS (SELECT * FROM it WHERE false)"]
+def capped_levels(sources=SOURCES, stubs: bool = True) -> str:
+    """Without `stubs`, the encyclopedia's short extracts are no items."""
+    rows = ITEMS_SQL if stubs else without_stubs(ITEMS_SQL)
+    parts = [f"WITH it AS (SELECT {_KEYS} FROM ({rows})), k0 AS (SELECT * FROM it WHERE false)"]
     prev = "k0"
     for s in sources:
         for q in range(1, s.queries + 1):

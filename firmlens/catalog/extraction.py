@@ -359,11 +359,11 @@ def signal_recount(spark, sf):
 
 
 def summaries(spark, sf):
-    return results(spark, sf).select("company", "run_id", compose_summary(60).alias("summary"))
+    return results(spark, sf).select("company", "run_id", compose_summary().alias("summary"))
 
 
 SUMMARIES = f"""
-  SELECT company, run_id, substr(concat_ws('; ', {_LABELS}), 1, 60) AS summary
+  SELECT company, run_id, substr(concat_ws('; ', {_LABELS}), 1, 500) AS summary
   FROM ({RESULTS_SQL})
 """
 

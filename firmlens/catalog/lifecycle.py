@@ -106,8 +106,6 @@ CATEGORIES = f"""
 CATEGORIES_LONG = " UNION ALL ".join(
     f"SELECT '{s}' AS signal, count_if({s}) AS companies FROM ({RESULTS_SQL})" for s in SIGNALS)
 
-_EXPORT = Params(export_limit=500)
-
 # ---- report -------------------------------------------------------------------------------
 
 
@@ -305,11 +303,11 @@ QUERIES = {
         f"SELECT company, total_signals FROM ({RESULTS_SQL}) WHERE total_signals > 0"),
     "export_topk": (
         lambda s, d: life.export_rows(
-            life.latest_per_company(results(s, d)), _EXPORT).select(*_PICK),
+            life.latest_per_company(results(s, d))).select(*_PICK),
         f"SELECT {', '.join(_PICK)} FROM (SELECT * FROM ({RESULTS_SQL}) "
         "QUALIFY row_number() OVER (PARTITION BY company "
         "ORDER BY processed_at DESC, run_id DESC) = 1) WHERE total_signals > 0 "
-        "ORDER BY confidence_score DESC, total_signals DESC, company LIMIT 500"),
+        "ORDER BY confidence_score DESC, total_signals DESC, company LIMIT 5000"),
     "error_sample": (
         lambda s, d: life.error_sample(results(s, d)),
         f"SELECT company, error FROM ({RESULTS_SQL}) WHERE error IS NOT NULL "

@@ -110,7 +110,7 @@ def cache_round_trip(spark, sf) -> DataFrame:
     cache.write_entries(_cache(spark, sf), path)
     gone = _users(spark, sf).filter("company LIKE '%3'")
     cache.rewrite_week(spark, path, gone, _as_of())
-    hits = cache.lookup(_users(spark, sf), spark.read.parquet(path), _as_of(), _TTL)
+    hits = cache.lookup(_users(spark, sf), cache.read_entries(spark, path, _as_of()), _as_of(), _TTL)
     return hits.select("company", "key", "payload", "from_cache")
 
 

@@ -11,7 +11,8 @@ from ..operators.evidence import ITEM_ORDER, add_sections, assemble, first_seen,
 from ..operators.mentions import mentions_substring
 from ..params import DETAIL_COLUMNS, LAYERED_SOURCES, SIGNALS, SOURCES, Params, Source
 from ..functions.names import cache_key
-from ..plans.run import RECORD_TYPE, attributed, horizon_counts, in_horizon, layered_fetch, run_results
+from ..plans.run import (RECORD_TYPE, attributed, horizon_counts, in_horizon, layered_fetch, run_feeds,
+                         run_results)
 from .evidence import _HEADERS as HEADERS_SQL
 from .evidence import capped_levels
 from .extraction import _text
@@ -82,7 +83,13 @@ def _companies(spark, sf) -> DataFrame:
 def full_run(spark, sf) -> DataFrame:
     """Items, gate, deep merge and three answer passes to result rows; a company per language,
     answers made from the documents' counts."""
-    companies = _companies(spark, sf)
+    screen, answers = _counted_answers(spark, sf)
+    rows = run_results(_companies(spark, sf), items(spark, sf), screen, answers, Params(roots=LEXICON))
+    return rows.withColumn("sources", F.array_join("sources", " "))
+
+
+def _counted_answers(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(gate's answers, passes' answers) of each language, from its number of documents."""
     per = table(spark, sf, "documents").groupBy(F.col("lang").alias("company")).agg(
         F.count(F.lit(1)).alias("n"))
     n = F.col("n")
@@ -100,13 +107,11 @@ def full_run(spark, sf) -> DataFrame:
     answers += [answer("pass2", s, _text(
         '{"confirmed": true, "detail": "', s, " ", n, '", "confidence": ', (n + i) % 5 + 1, "}"))
         for i, s in enumerate(SIGNALS)]
-    rows = run_results(companies, items(spark, sf), screen,
-                       reduce(DataFrame.unionByName, answers), Params(roots=LEXICON))
-    return rows.withColumn("sources", F.array_join("sources", " "))
+    return screen, reduce(DataFrame.unionByName, answers)
 
 
 _BASE = tuple(s for s in SOURCES if s.name not in ("brave", "tavily"))
-_BASE_KEPT = f"SELECT company, source, query_rank, item_rank FROM ({capped_levels(_BASE)})"
+_BASE_KEPT = f"SELECT company, source, query_rank, item_rank FROM ({capped_levels(_BASE, stubs=False)})"
 _RESULT_SIGNALS = ", ".join(f"('{s}', {i})" for i, s in enumerate(SIGNALS))
 _ON = {s: f"bool_or(signal = '{s}' AND kept)" for s in SIGNALS}
 _ON["operational_change"] = "bool_or(signal IN ('operational_change', 'shutdown') AND kept)"
@@ -248,6 +253,39 @@ EVIDENCE_IN_HORIZON = f"""
 """
 
 
+def feeds_run(spark, sf) -> DataFrame:
+    """A run from landed feeds: press items found by name, one year back, one form of filings, and each
+    company's sector from its first line in a list that has every company twice."""
+    langs = _companies(spark, sf)
+    twice = langs.select("company", F.inline(F.array(
+        F.struct((F.col("input_pos") + 10 ** 9).alias("input_pos"), F.lit("later").alias("sector")),
+        F.struct("input_pos", F.concat(F.lit("sector "), F.upper("company")).alias("sector")))))
+    screen, answers = _counted_answers(spark, sf)
+    rows = run_feeds(twice, _dated_items(spark, sf), screen, answers,
+                     F.lit("2024-06-30 08:00:00").cast("timestamp"), Params(roots=LEXICON))
+    return rows.withColumn("sources", F.array_join("sources", " "))
+
+
+_FOUND_SQL = f"""
+  WITH d AS (
+    SELECT * REPLACE (CASE WHEN source = 'edgar' AND item_rank % 2 = 0 THEN '10-K' ELSE '8-K/A' END AS domain,
+      CASE WHEN item_rank % 9 = 0 THEN 'soon' ELSE strftime(DATE '2024-06-30' - CAST(item_rank % 900 AS INTEGER),
+        '%Y-%m-%d') END AS raw_date) FROM ({ITEMS_SQL})),
+  found AS (
+    SELECT * FROM d WHERE source NOT IN ('prnewswire', 'businesswire')
+    UNION ALL
+    SELECT d.* REPLACE (n.company AS company) FROM d JOIN (SELECT DISTINCT lang AS company FROM documents) n
+      ON contains(lower(title || ' ' || snippet), n.company)
+    WHERE source IN ('prnewswire', 'businesswire'))
+  SELECT * FROM found
+  WHERE (source NOT IN ('edgar', 'google_news', 'gdelt', 'guardian') OR item_rank % 9 = 0
+      OR item_rank % 900 <= DATE '2024-06-30' - DATE '2023-06-30')
+    AND NOT (source = 'edgar' AND item_rank % 2 = 0)
+"""
+FEEDS_RUN = (f"SELECT *, 'sector ' || upper(company) AS sector FROM "
+             f"({FULL_RUN.replace(ITEMS_SQL, _FOUND_SQL)})")
+
+
 def layered(spark, sf) -> DataFrame:
     """The cached path: one company's fresh record answers, the others are fetched with paragraph
     chunks; a stale record and one of another stage do not count."""
@@ -278,7 +316,7 @@ _LAYERED_ITEMS = f"""
     {sanitise_sql('snippet')} AS snippet,
     CASE WHEN source = 'edgar' THEN '8-K' ELSE domain END AS domain) FROM ({ITEMS_SQL})
 """
-_KEPT = f"SELECT company, source, query_rank, item_rank FROM ({capped_levels(LAYERED_SOURCES)})"
+_KEPT = f"SELECT company, source, query_rank, item_rank FROM ({capped_levels(LAYERED_SOURCES, stubs=False)})"
 LAYERED = rf"""
   WITH sec AS ({sections_sql(f"SELECT * FROM ({_LAYERED_ITEMS}) SEMI JOIN ({_KEPT}) USING (company, source, query_rank, item_rank)", _CUT)}),
   ctx AS (
@@ -313,5 +351,6 @@ QUERIES = {
     "mention_contexts": (mention_contexts, MENTION_CONTEXTS),
     "evidence_in_horizon": (evidence_in_horizon, EVIDENCE_IN_HORIZON),
     "full_run": (full_run, FULL_RUN),
+    "feeds_run": (feeds_run, FEEDS_RUN),
     "layered_fetch": (layered, LAYERED),
 }

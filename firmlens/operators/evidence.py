@@ -76,11 +76,21 @@ def drop_empty_urls(items: DataFrame, sources: Sequence[Source] = SOURCES) -> Da
 
 def known_feeds(items: DataFrame, sources: Sequence[Source]) -> DataFrame:
     """The items, once each one's feed is among the sources; another feed is an error, since caps
-    and pages say nothing about it."""
+    and pages say nothing about it.
+
+    The error sits in the column itself. Later filters on the feed are made of it, so none of them
+    can be handed to a file reader that would skip the rows in question."""
     known = F.coalesce(F.col("source").isin([s.name for s in sources]), F.lit(False))
-    return items.filter(F.when(known, True).otherwise(F.raise_error(F.concat(
-        F.lit("no such feed among the sources: "), F.coalesce("source", F.lit("NULL"))))
-        .cast("boolean")))
+    wrong = F.raise_error(F.concat(F.lit("no such feed among the sources: "),
+                                   F.coalesce("source", F.lit("NULL")))).cast("string")
+    return items.withColumn("source", F.when(known, F.col("source")).otherwise(wrong))
+
+
+def drop_short_extracts(items: DataFrame, minimum: int) -> DataFrame:
+    """Items without the encyclopedia's stubs: extracts of fewer than `minimum` characters. They
+    neither count nor mark their URL as seen."""
+    stub = (F.col("source") == "wikipedia") & (F.length(F.coalesce("snippet", F.lit(""))) < minimum)
+    return items.filter(~F.coalesce(stub, F.lit(False)))
 
 
 def first_seen(items: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import horizon_start, parse_published
 from ..functions.text import sanitise
 from ..operators.evidence import (add_sections, assemble, cut_snippets, dedupe_capped,
-                                  dedupe_then_cap, known_feeds, merge_deep)
+                                  dedupe_then_cap, drop_short_extracts, known_feeds, merge_deep)
 from ..operators.extraction import classify
 from ..operators.lifecycle import todo
 from ..operators.mentions import attach_companies
@@ -55,8 +55,8 @@ def base_contexts(companies: DataFrame, items: DataFrame, params: Params = Param
                   exact_caps: bool = True) -> DataFrame:
     """One context per company from its base feeds; companies without items get an empty one."""
     base = tuple(s for s in params.sources if s.name not in ("brave", "tavily"))
-    mine = cut_snippets(known_feeds(items, params.sources).filter(
-        F.col("source").isin([s.name for s in base])), base)
+    mine = drop_short_extracts(known_feeds(items, params.sources), params.encyclopedia_min_chars)
+    mine = cut_snippets(mine.filter(F.col("source").isin([s.name for s in base])), base)
     # Ranks look at one company only, so they come first and bound every company's items; the join
     # then meets no hot company.
     kept = (dedupe_capped if exact_caps else dedupe_then_cap)(mine, base).join(
@@ -87,13 +87,15 @@ def _published() -> Column:
 def in_horizon(items: DataFrame, as_of: Column, params: Params = Params()) -> DataFrame:
     """What the feeds' own searches let through: items of the searched feeds from the last
     `horizon_months` before `as_of`, and of the filings one form type. Undated items stay
-    (`horizon_counts` tells how many there are)."""
+    (`horizon_counts` tells how many there are), and so do items without a feed: they are for
+    `known_feeds` to report."""
     day = F.to_date(as_of)
     when = F.to_date(_published())
     inside = when.isNull() | when.between(horizon_start(day, params.horizon_months), day)
-    form = (F.col("source") != "edgar") | (F.coalesce("domain", F.lit("")) == "") | (
+    feed = F.coalesce("source", F.lit(""))
+    form = (feed != "edgar") | (F.coalesce("domain", F.lit("")) == "") | (
         F.col("domain").startswith(FILING_FORM))
-    return items.filter((~F.col("source").isin(*HORIZON_FEEDS) | inside) & form)
+    return items.filter((~feed.isin(*HORIZON_FEEDS) | inside) & form)
 
 
 def horizon_counts(items: DataFrame) -> DataFrame:
@@ -161,8 +163,8 @@ def layered_fetch(companies: DataFrame, cache: DataFrame, items: DataFrame, as_o
     hits = fetch_cache.lookup(names, cache, as_of, p, stage).select(
         "company", *[F.col(f"payload.{c}").alias(c) for c in RECORD], "from_cache")
     missing = fetch_cache.misses(names, cache, as_of, p, stage).select("company")
-    mine = known_feeds(items, LAYERED_SOURCES).filter(
-        F.col("source").isin([s.name for s in sources]))
+    mine = drop_short_extracts(known_feeds(items, LAYERED_SOURCES), params.encyclopedia_min_chars)
+    mine = mine.filter(F.col("source").isin([s.name for s in sources]))
     # Caps need keys alone, so they come before the company join and before any text is cleaned.
     kept = dedupe_capped(mine, sources).join(missing, "company", "left_semi")
     kept = cut_snippets(layered_items(kept), sources)

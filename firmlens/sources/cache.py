@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import cache_key, week_bucket
 from ..params import Params
+from .snapshots import SnapshotTable
 
 BUCKET = "week"
 
@@ -61,26 +60,33 @@ def invalidate(cache: DataFrame, companies: DataFrame, as_of: Column,
     return cache.join(keys, "key", "left_anti").select(*cache.columns)
 
 
+def _table(spark: SparkSession, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, BUCKET, bloom=("key",))
+
+
 def write_entries(entries: DataFrame, path: str) -> None:
-    """Append whole records, each week in its own folder."""
-    (entries.withColumn(BUCKET, week_bucket(F.col("fetched_at")))
-     .write.mode("append").partitionBy(BUCKET).parquet(path))
+    """Add whole records, each week in its own folder, sorted by key and with a Bloom filter of the keys
+    in every row group, so that a lookup reads the groups that may hold what it asks for."""
+    rows = entries.withColumn(BUCKET, week_bucket(F.col("fetched_at")))
+    _table(entries.sparkSession, path).append(rows.sortWithinPartitions(BUCKET, "key"))
+
+
+def read_entries(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
+    """The stored records, of one week if asked, as of one moment: a rewrite shows whole or not at all."""
+    if as_of is None:
+        return _table(spark, path).read()
+    return _table(spark, path).read(spark.range(1).select(week_bucket(as_of)).first()[0])
 
 
 def rewrite_week(spark: SparkSession, path: str, companies: DataFrame, as_of: Column,
                  stage: str | None = None) -> None:
-    """Invalidate on disk: only the current week's folder is replaced. The survivors are
-    written beside the table first, so no file is read while it is being overwritten."""
-    cache = spark.read.parquet(path)
-    week = cache.filter(F.col(BUCKET) == week_bucket(as_of))
-    staged = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex}"
-    invalidate(week, companies, as_of, stage).write.parquet(staged)
-    kept = spark.read.schema(cache.schema).parquet(staged)
+    """Invalidate on disk: the current week's survivors are written beside it and take its place in one
+    step. A failure before that leaves the week as it was."""
+    table = _table(spark, path)
     bucket = spark.range(1).select(week_bucket(as_of)).first()[0]
-    kept.drop(BUCKET).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}={bucket}")
-    # Only now: had the write failed, the survivors would still be there.
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    if any(f.endswith(f"/{BUCKET}={bucket}") for f in table.folders()):
+        kept = invalidate(table.read(bucket), companies, as_of, stage)
+        table.replace(kept.sortWithinPartitions("key"), bucket)
 
 
 def fetch_usage(fetches: DataFrame, params: Params = Params()) -> DataFrame:

@@ -12,6 +12,8 @@ from ..functions.text import strip
 # Accepted headers, in priority order.
 COMPANY_ALIASES = ("company", "company_name", "name", "entity")
 SECTOR_ALIASES = ("sector", "industry", "subsector")
+#: Column that `in_file_order` adds.
+POSITION = "__position"
 
 
 def _quoted(name: str) -> Column:
@@ -32,19 +34,39 @@ def pick_column(columns: Sequence[str], aliases: Sequence[str], by_priority: boo
 def companies_in_file_order(df: DataFrame) -> DataFrame:
     """(input_pos, company, sector): names trimmed, blank ones dropped, duplicates kept.
 
-    input_pos grows along the file; it orders rows, it does not count them.
+    input_pos grows along the file; it orders rows, it does not count them. Spark takes the splits of
+    several files, or of a large one, in the order of their size; `load_companies` numbers rows by path
+    and place instead.
     """
-    name = pick_column(df.columns, COMPANY_ALIASES, by_priority=False) or df.columns[0]
+    headers = [c for c in df.columns if c != POSITION]
+    name = pick_column(headers, COMPANY_ALIASES, by_priority=False) or headers[0]
     sector = pick_column(df.columns, SECTOR_ALIASES, by_priority=False)
     sector_value = F.coalesce(strip(_quoted(sector)), F.lit("")) if sector else F.lit("")
     return (
-        df.select(F.monotonically_increasing_id().alias("input_pos"),
-                  strip(_quoted(name).cast("string")).alias("company"),
+        df.select((F.col(POSITION) if POSITION in df.columns else F.monotonically_increasing_id())
+                  .alias("input_pos"), strip(_quoted(name).cast("string")).alias("company"),
                   sector_value.alias("sector"))
         .filter(F.col("company").isNotNull() & (F.col("company") != ""))
     )
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """A file scan with `POSITION`: the number of the row, files by path, rows by place.
+
+    The hidden columns tell each row's file and split, and rows of a split keep their order, so a count
+    of each split's rows, added up over the splits before it, gives every row its number. The counts are
+    a row for each split."""
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    told = df.select("*", file.alias("_file"), start.alias("_start"),
+                     F.monotonically_increasing_id().alias("_id"))
+    splits = told.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    number = F.col("_before") + F.col("_id") - F.col("_first")
+    return told.join(splits, ["_file", "_start"]).select(
+        *[_quoted(c) for c in df.columns], number.alias(POSITION))
+
+
 def companies_by_priority(df: DataFrame) -> DataFrame:
     """(company): distinct names as written, blank ones dropped."""
     name = pick_column(df.columns, COMPANY_ALIASES, by_priority=True) or df.columns[0]
@@ -69,7 +91,7 @@ def read_company_csv(spark: SparkSession, path: str, multi_line: bool = False) -
 def load_companies(spark: SparkSession, path: str, by_priority: bool = False,
                    multi_line: bool = False) -> DataFrame:
     raw = read_company_csv(spark, path, multi_line)
-    return companies_by_priority(raw) if by_priority else companies_in_file_order(raw)
+    return companies_by_priority(raw) if by_priority else companies_in_file_order(in_file_order(raw))
 
 
 def first_companies(companies: DataFrame, n: int | None, order: str = "input_pos") -> DataFrame:

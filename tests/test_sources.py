@@ -142,15 +142,15 @@ def test_cached_fetch(spark, tmp_path):
     assert got["A"]["context"] == "[GDELT] T (20240101) — d\nu1" and not got["A"]["from_cache"]
     assert got["A"]["chunks"] == [got["A"]["context"]] and got["C"]["context"] == ""
     cache.write_entries(cache_records(first, monday), path)
-    again = layered_fetch(names, spark.read.parquet(path), items.filter("false"),
+    again = layered_fetch(names, cache.read_entries(spark, path), items.filter("false"),
                           F.lit("2024-02-01 00:00:00").cast("timestamp")).collect()
     assert all(r["from_cache"] for r in again)
     assert {r["company"]: r["context"] for r in again} == {
         n: r["context"] for n, r in got.items()}
     # The next week asks anew, and so does stage 2 in the same week.
     late = F.lit("2024-02-05 00:00:00").cast("timestamp")
-    assert cache.misses(names, spark.read.parquet(path), late, stage="1").count() == 3
-    assert cache.misses(names, spark.read.parquet(path), monday, stage="2").count() == 3
+    assert cache.misses(names, cache.read_entries(spark, path), late, stage="1").count() == 3
+    assert cache.misses(names, cache.read_entries(spark, path), monday, stage="2").count() == 3
     cache.rewrite_week(spark, path, names.filter("company = 'A'"), monday, "1")
-    left = spark.read.parquet(path)
+    left = cache.read_entries(spark, path)
     assert sorted(r["company"] for r in left.collect()) == ["B", "C"]
