@@ -164,7 +164,7 @@ def elements_of(texts: list[str | None], width: int, weights: str):
     return words, element, weight, owner
 
 
-def _portions(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:
+def _portions(column: pa.Array, most: int = 700_000) -> Iterator[tuple[int, list[str | None]]]:
     """(start, texts) of runs of about `most` bytes; only one is Python objects at a time."""
     begin = size = 0
     for i, length in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
