@@ -2,18 +2,31 @@
 
 Every text gets four counts; base rules reject short and repetitive texts. The others are judged by
 their language and source: the statistics are transformed to be about normal, a minimum covariance
-determinant estimate (concentration steps over the half of the group that lies nearest) gives centre
-and scatter, and a text whose squared Mahalanobis distance is beyond `cut` is rejected. Distances
-are scaled down, never up, so that their median is that of the chi-squared distribution.
+determinant estimate gives centre and scatter, and a text whose squared Mahalanobis distance is beyond
+`cut` is rejected. Distances are scaled down, never up, so that their median is that of the chi-squared
+distribution; at 50, one text in 700 million of a normal group would be beyond.
+
+The estimate is that of the half of the group whose covariance has the smallest determinant. It is
+sought by concentration steps (take the half that lies nearest, estimate anew), which never raise the
+determinant, from three starts: the medians with the scatter of the coordinates by themselves, of
+their hyperbolic tangents, and of their signs in space. Of what these arrive at, the one with the
+smallest determinant counts. Every scatter gets a ridge, a variance that a clean text may have in any
+group: without it, a statistic that is zero for nearly all of a group (repeats, symbols) would have no
+scatter, and the few texts that are not zero would be outliers however little they have of it. So
+repeats under the base rule's limit reject a text only together with something else.
 
 Each step is one aggregation of a narrow table over (lang, source), partial before its shuffle, and
 a join with a few numbers for each group; a group of any size is spread over all tasks. A group of
 fewer than `least_group` judged texts is judged by the estimate of all texts. Null lang and source
-are groups of their own. Null and empty texts have no words and fail the base rules.
+are groups of their own. Null and empty texts have no words and fail the base rules. Rows are judged one by
+one, so repeats and ties do no harm; very long texts are read whole; an empty table gives no rows.
+Columns of other names are not read, so they cannot clash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +129,59 @@ def _distance(rows: DataFrame, estimates: DataFrame, p: int) -> DataFrame:
     return joined.withColumn("d2", total).select(*rows.columns, "d2")
 
 
+def _starts(rows: DataFrame, p: int, ridge: tuple[float, ...], scratch: Scratch) -> DataFrame:
+    """Estimates (g, start, m_i, l_ij) to start from: medians, and the scatter of the rows, put on the
+    scale of their deviations, as they are by coordinate, by hyperbolic tangent and by sign in space."""
+    middle = scratch.put(rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000)
+                                                 .alias(f"m{i}") for i in range(p)]), "middle")
+    around = rows.join(small_or_shuffled(middle, 20_000), "g")
+    spread = around.groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")),
+                                                           0.5, 1000).alias(f"s{i}") for i in range(p)])
+    base = scratch.put(middle.join(spread, "g").select(
+        "g", *[f"m{i}" for i in range(p)],
+        *[(1.4826 * F.col(f"s{i}") + F.lit(ridge[i])).alias(f"d{i}") for i in range(p)]), "scales")
+    scaled = rows.join(small_or_shuffled(base, 20_000), "g")
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"d{i}") for i in range(p)]
+    length = F.greatest(F.sqrt(sum((x * x for x in z), F.lit(0.0))), F.lit(1e-9))
+    kinds = scaled.select("g", *[F.tanh(x).alias(f"t{i}") for i, x in enumerate(z)],
+                          *[(x / length).alias(f"u{i}") for i, x in enumerate(z)])
+    moments = scratch.put(kinds.groupBy("g").agg(*[
+        F.avg(F.col(f"{kind}{i}") * F.col(f"{kind}{j}")).alias(f"{kind}{i}{j}")
+        for kind in "tu" for i, j in _pairs(p)]).join(base, "g"), "moments")
+
+    def scatter(kind: str) -> list[Column]:
+        out = []
+        for i, j in _pairs(p):
+            unit = F.lit(1.0 if i == j else 0.0) if kind == "-" else F.col(f"{kind}{i}{j}") + (
+                0.05 if i == j else 0.0)
+            out.append((unit * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"c{i}{j}"))
+        return out
+
+    return _factor(reduce(DataFrame.unionByName, [
+        moments.select(F.concat("g", F.lit(f"#{k}")).alias("g"), *[f"m{i}" for i in range(p)], *scatter(kind))
+        for k, kind in enumerate("-tu")]), p)
+
+
+def covariance(rows: DataFrame, p: int, steps: int, half: float, ridge: tuple[float, ...],
+               scratch: Scratch) -> DataFrame:
+    """(g, m_i, l_ij): each group's estimate of the smallest determinant, of rows (g, x_i)."""
+    estimate = scratch.put(_starts(rows, p, ridge, scratch), "estimate-0")
+    tried = rows.withColumn("g", F.explode(F.transform(F.array(*map(F.lit, range(3))), lambda k: F.concat(
+        "g", F.lit("#"), k.cast("string")))))
+    for k in range(1, steps + 1):
+        far = _distance(tried, estimate, p)
+        within = scratch.put(far.groupBy("g").agg(F.percentile_approx("d2", half, 1000)
+                                                  .alias("near")), f"near-{k}")
+        nearest = far.join(small_or_shuffled(within, 20_000), "g").where("d2 <= near")
+        estimate = scratch.put(_factor(nearest.groupBy("g").agg(*_scatter(p, [r * r for r in ridge])),
+                                       p), f"estimate-{k}")
+    columns = [c for c in estimate.columns if c != "g"]
+    size = sum((F.log(F.col(f"l{i}{i}")) for i in range(p)), F.lit(0.0))
+    best = F.min(F.struct(size.alias("size"), "g", *columns)).alias("best")
+    return (estimate.groupBy(F.regexp_replace("g", "#[0-9]$", "").alias("own")).agg(best)
+            .select(F.col("own").alias("g"), *[F.col(f"best.{c}").alias(c) for c in columns]))
+
+
 def judged(docs: DataFrame, steps: int = 3, half: float = 0.5, cut: float = 50.0,
            least_group: int = 100, ridge: tuple[float, ...] = (0.3, 0.3, 0.5, 1.0, 0.7)
            ) -> DataFrame:
@@ -137,24 +203,7 @@ def judged(docs: DataFrame, steps: int = 3, half: float = 0.5, cut: float = 50.0
                                                           "left").drop("own"), "grouped")
     good = stats.where("not base_failed").select("g", *[f"x{i}" for i in range(p)])
     rows = good.where("g <> ''").unionByName(good.withColumn("g", F.lit("")))
-    middle = scratch.put(rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000)
-                                                 .alias(f"m{i}") for i in range(p)]), "middle")
-    around = rows.join(small_or_shuffled(middle, 20_000), "g")
-    spread = around.groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")),
-                                                           0.5, 1000).alias(f"s{i}")
-                                       for i in range(p)])
-    start = middle.join(spread, "g").select(
-        "g", *[f"m{i}" for i in range(p)],
-        *[(1.4826 * F.col(f"s{i}") + F.lit(ridge[i]) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
-          for i, j in _pairs(p)])
-    estimate = scratch.put(start, "estimate-0")
-    for k in range(1, steps + 1):
-        far = _distance(rows, estimate, p)
-        within = scratch.put(far.groupBy("g").agg(F.percentile_approx("d2", half, 1000)
-                                                  .alias("near")), f"near-{k}")
-        nearest = far.join(small_or_shuffled(within, 20_000), "g").where("d2 <= near")
-        estimate = scratch.put(_factor(nearest.groupBy("g").agg(*_scatter(p, [r * r for r in ridge])),
-                                       p), f"estimate-{k}")
+    estimate = scratch.put(covariance(rows, p, steps, half, ridge, scratch), "estimate")
     last = scratch.put(
         _distance(rows, estimate, p).groupBy("g").agg(
             F.percentile_approx("d2", 0.5, 1000).alias("middle")), "scale")

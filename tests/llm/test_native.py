@@ -3,10 +3,12 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from firmlens.llm import licenses, mixing, outliers
+from firmlens.llm.common import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -183,6 +185,55 @@ def test_outliers_go_and_the_rest_stays(spark):
         assert {i for i, k in kept.items() if not k} == {i for i in range(600) if i % 60 == 7}
 
 
+def test_the_estimate_has_the_smallest_determinant(spark):
+    """Against concentration steps from many random halves, with a third of the rows in a far clump."""
+    rng = np.random.default_rng(5)
+    ridge, p = (0.1, 0.1, 0.1), 3
+    shape = np.array([[1.0, 0.8, 0.0], [0.0, 0.5, 0.3], [0.0, 0.0, 2.0]])
+    groups = {}
+    for g, share in (("a", 0.0), ("b", 0.33)):
+        x = rng.normal(size=(600, p)) @ shape + 1.0
+        x[:int(600 * share)] = rng.normal(size=(int(600 * share), p)) * 0.3 + [9, -7, 5]
+        groups[g] = x
+
+    def size(x, near):
+        return np.linalg.slogdet(np.cov(x[near].T, bias=True) + np.diag(np.square(ridge)))[1]
+
+    def steps(x, near):
+        for _ in range(3):
+            cov = np.cov(x[near].T, bias=True) + np.diag(np.square(ridge))
+            far = x - x[near].mean(axis=0)
+            near = np.argsort((far @ np.linalg.inv(cov) * far).sum(axis=1))[:len(x) // 2]
+        return size(x, near)
+
+    rows = spark.createDataFrame([(g, *map(float, r)) for g, x in groups.items() for r in x],
+                                 "g string, x0 double, x1 double, x2 double")
+    made = {r["g"]: r for r in outliers.covariance(rows, p, 3, 0.5, ridge, Scratch(spark, "test")).collect()}
+    for g, x in groups.items():
+        best = min(steps(x, rng.permutation(600)[:300 if k % 2 else 4]) for k in range(200))
+        got = 2 * sum(np.log(made[g][f"l{i}{i}"]) for i in range(p))
+        assert got < best + 0.1
+    assert abs(made["b"]["m0"] - 1) < 0.5
+
+
+@pytest.mark.parametrize("kind", ["symbols", "lines", "long words"])
+def test_each_statistic_rejects_by_itself(spark, kind):
+    rows = []
+    for i in range(400):
+        words = [f"w{(i * 31 + k * 17) % 5000:04}" for k in range(80 + i % 60)]
+        if i % 50 == 7 and kind == "symbols":
+            words = [w + "#$" for w in words]
+        if i % 50 == 7 and kind == "long words":
+            words = [w * 4 for w in words]
+        text = " ".join(words)
+        if i % 50 == 7 and kind == "lines":
+            text += "\n\nmore\n" + "more\n" * 400 + " ".join(f"z{k}" for k in range(1500))
+        rows.append((i, text, "en", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in outliers.judged(docs).collect()}
+    assert {i for i, k in kept.items() if not k} == {i for i in range(400) if i % 50 == 7}
+
+
 def test_nothing_but_native_operators(spark, sf_dir):
     from firmlens.llm.catalog import QUERIES
 

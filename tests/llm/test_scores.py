@@ -85,3 +85,54 @@ def test_bound_is_kept(spark):
     labels = spark.range(20_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
     n = bounded_labels(labels, "toxic", 2_000).count()
     assert 1_700 < n < 2_300
+
+
+def _toxic_by_hand(fm, text):
+    place = {int(t): i for i, t in enumerate(fm.terms)}
+    held = sorted({place[h] for h in toxicity.term_hashes(text) if h in place})
+    margin = fm.bias + sum(fm.weights[i] for i in held)
+    for a, i in enumerate(held):
+        for j in held[a + 1:]:
+            margin += sum(x * y for x, y in zip(fm.factors[i], fm.factors[j]))
+    return 1 / (1 + np.exp(-margin))
+
+
+def test_toxicity_scores_by_hand(spark, odd_rows):
+    """The query's scores, pair by pair."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op1_toxicity"][0](spark, folder).collect()}
+    fm = toxicity.fit(docs, labels)
+    want = {r["doc_id"]: _toxic_by_hand(fm, r["text"]) for r in docs.collect()}
+    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-9 for d in want)
+    rng = np.random.default_rng(4)
+    terms = np.unique(np.concatenate([toxicity.term_hashes(r[1]) for r in odd_rows]).astype("i8"))[::3]
+    fm = toxicity.FactorizationMachine(terms, -0.2, rng.normal(0, 0.05, len(terms)),
+                                       rng.normal(0, 0.01, (len(terms), 3)))
+    for row in odd_rows[:7] + odd_rows[9:]:
+        if len(row[1] or "") < 1000:
+            assert abs(fm.score([row[1]])[0] - _toxic_by_hand(fm, row[1])) < 1e-9
+
+
+def test_quality_scores_by_hand(spark):
+    """The query's scores from their definition, one statistic after the other."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op8_quality"][0](spark, folder).collect()}
+    bt = quality_rank.fit(docs, labels)
+    width = quality_rank.WIDTH
+    for r in docs.collect():
+        raw = bt.shift
+        for i, x in enumerate(quality_rank.statistics(r["text"])):
+            z = min(6.0, max(-6.0, (x - bt.centre[i]) / bt.scale[i]))
+            raw += z * bt.weights[i] + abs(z) * bt.weights[width + i] + min(z * z, 9) / 3 * bt.weights[2 * width + i]
+        assert abs(got[r["doc_id"]] - 1 / (1 + np.exp(-min(40, max(-40, raw))))) < 1e-9
+
+
+def test_toxicity_held_out_on_more_rows(spark):
+    rows = QUERIES["op1_toxicity"][0](spark, "/root/testdata/sf0.1").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("held_out").toPandas()
+    score, label = rows["score"].to_numpy(), rows["toxic"].to_numpy()
+    assert _auc(score, label) > 0.95
+    assert (rows["predicted"].to_numpy()[label == 1] == 1).mean() > 0.8
+    assert (rows["predicted"].to_numpy()[label == 0] == 0).mean() > 0.99
