@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.evidence import (add_sections, assemble, cap_per_source, cut_snippets,
-                                  dedupe_capped,
-                                  drop_empty_urls, fetch_plan, first_seen, merge_deep,
+from ..operators.evidence import (add_sections, assemble, cap_per_source, cited, cut_snippets,
+                                  dedupe_capped, drop_empty_urls, fetch_plan, first_seen, merge_deep,
                                   source_breakdown, top_per_source, union_feeds)
 from ..params import SOURCES, Params
 from .inputs import (CAPPED_SQL, FIRST_SEEN_SQL, ITEMS_SQL, NON_EMPTY_ITEMS_SQL,
@@ -172,7 +171,8 @@ CONTEXT_BREAKDOWN = f"""
 
 
 def source_lists(spark, sf):
-    return contexts(spark, sf).select("company", F.posexplode("sources").alias("pos", "url"))
+    kept = cap_per_source(first_seen(drop_empty_urls(items(spark, sf).select(*KEYS))))
+    return cited(kept).select("company", F.posexplode("sources").alias("pos", "url"))
 
 
 SOURCE_LISTS = f"""

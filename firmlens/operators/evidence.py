@@ -253,6 +253,13 @@ def source_list(urls: Column, limit: int = 15) -> Column:
     return F.slice(F.array_distinct(urls), 1, limit)
 
 
+def cited(items: DataFrame, limit: int = 15) -> DataFrame:
+    """(company, sources): the source lists of capped items, from their keys alone; what `assemble` lists
+    beside the contexts."""
+    keys = items.groupBy("company").agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER))).alias("_k"))
+    return keys.select("company", source_list(F.transform("_k", lambda x: x["url"]), limit).alias("sources"))
+
+
 def assemble(sections: DataFrame, params: Params = Params(), headers: bool = True,
              first_lines: bool = False, chunks: bool = False) -> DataFrame:
     """One context per company from its (capped, hence bounded) sections.
