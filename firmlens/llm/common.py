@@ -89,6 +89,14 @@ class Scratch:
             cls._made.pop().drop()
 
 
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """`docs` with __row, the place of the row in the table, for readers that read it twice. A plan that
+    shuffles gives its rows no such place, so they are stored first."""
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        docs = scratch.put(docs, "rows")
+    return docs.withColumn("__row", F.monotonically_increasing_id())
+
+
 def small_or_shuffled(right: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """`right`, marked for broadcast if a count shows that it has at most `max_rows` (narrow) rows;
     a larger one is joined by shuffle. Give it a stored table: it is counted."""

@@ -15,13 +15,21 @@ Projections without an element are shared by many and say little. n1 is larger t
 sets agree on 2 n1 - k projections or more; a set with fewer empty ones than that leaves them out, and
 another keeps them. Two sets that agree on empty ones only have that many both, so no link is lost.
 
-Signatures are shuffled once, with 64-bit node keys. In each group of one signature, every node meets
-the least node first. Pairs must agree in size and in a sketch: of each of 512 hash classes, whether the
-set holds an odd number of elements. Sketches that differ in more bits than linked sets may have
-elements apart are no link, which is exact, and so are checked inside joins; what remains is compared
-on the sets themselves. Then nodes of groups that still hold several classes meet: first one of each
-class, then all nodes that are not of one class by then, in blocks where a group is large. So pairs
-within a class are not listed, and no link between different sets is missed.
+The last bit of a signature tells whether its band's number is odd, so a node's two kinds are apart.
+Linked sets share at least 2 n1 - k signatures less the empty ones of either, `spare` for short. So when
+groups are looked into, a node may leave out its spare - 1 most frequent signatures, in an order that is
+the same for all: the rarest that two linked nodes share is never among them. Signatures from a passage
+that many documents quote are few beside that, and go.
+
+Texts are cut into words twice: once for sizes, keys, sketches and signatures, which are stored, and, of
+nodes that are compared, once more for the sets. Signatures are shuffled once, with 64-bit node keys. Each node is compared first with one other: of the
+least nodes of its signatures' groups, the one that it shares the most signatures with. Pairs must agree
+in size and in a sketch: of each of 512 hash classes, whether the set holds an odd number of elements.
+Sketches that differ in more bits than linked sets may have elements apart are no link, which is exact,
+and so are checked inside joins; what remains is compared on the sets themselves, which move once for a
+pair, to the least node of the two. Then nodes of groups that still hold several classes
+meet: first one of each class, then all nodes that are not of one class by then, in blocks where a group
+is large. So pairs within a class are not listed, and no link between different sets is missed.
 
 Null and empty texts, and those without a word, are empty sets, linked with nothing: each row is a
 component of its own. A null doc_id is the component only of rows without another id. Rows that repeat
@@ -34,18 +42,22 @@ from __future__ import annotations
 import functools
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, byte_portions, components, small_or_shuffled
-from .dart_minhash import shingles
+from .common import Scratch, byte_portions, components, numbered, small_or_shuffled
 
 _GOLD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SKETCH = 8
 _SKETCHES = [f"p{i}" for i in range(_SKETCH)]
+_SPARES = ["spare0", "spare1"]
+#: Bands whose largest size is this or more have longer projections.
+WIDE = 800
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,11 +82,12 @@ def bands(percent: int, upto: int) -> np.ndarray:
 def scheme(percent: int, end: int) -> tuple[int, int, int]:
     """(n1, n2, k) of the band whose largest size is `end`; k = 0: only equal sets can link.
 
-    Few elements are cut into few parts, so there more of the n2 are chosen at once. n1 is the least
-    for which at most one in a hundred of the band's smallest sets has 2 n1 - k empty projections,
-    taken as Poisson; for small sets, for which no n1 does that, the best."""
+    Few elements are cut into few parts, so there more of the n2 are chosen at once; and so they are for
+    sets that are too large for sketches to tell much, whose longer projections are shared by chance
+    more rarely. n1 is the least for which at most one in a hundred of the band's smallest sets has
+    2 n1 - k empty projections, taken as Poisson; for small sets, for which no n1 does that, the best."""
     k = (100 - percent) * end // percent
-    fewest, n2 = (k + 2) // 2, max(2, min(8, 24 // (k + 2)))
+    fewest, n2 = (k + 2) // 2, 3 if end >= WIDE else max(2, min(8, 24 // (k + 2)))
     least = max(1, end * percent // 100)
 
     def kept(n1: int) -> float:
@@ -93,10 +106,32 @@ def scheme(percent: int, end: int) -> tuple[int, int, int]:
 # ---- sets ---------------------------------------------------------------------------------
 
 
+def runs_of(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(element, text) of every run of `width` words of every text; a shorter text is one run."""
+    words = [(t or b"").lower().split() for t in texts]
+    flat = list(chain.from_iterable(words))
+    code = {w: xxhash.xxh3_64_intdigest(w) for w in set(flat)}
+    hashed = np.fromiter(map(code.__getitem__, flat), "u8", len(flat))
+    sizes = np.array([len(w) for w in words], "i8")
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    at = np.flatnonzero(np.arange(len(flat)) <= np.maximum(ends - width, ends - sizes)[owner])
+    owner, short = owner[at], sizes[owner[at]] < width
+    element = np.zeros(len(at), "u8")
+    with np.errstate(over="ignore"):
+        for j in range(width):
+            value = _mix(element * _STEP + hashed[np.minimum(at + j, len(flat) - 1)])
+            element = np.where(short & (at + j >= ends[owner]), element, value)
+    return element, owner
+
+
 def sets_of(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(element, text): the distinct elements of every text, by text."""
-    element, owner = shingles([(t or b"").lower().split() for t in texts], width)
-    order = np.lexsort((element, owner))
+    """(element, text): the distinct elements of every text, in no order."""
+    element, owner = runs_of(texts, width)
+    # Equal elements of a text have equal keys; those of two texts that have, once in 2^64, only stay
+    # unrecognised as repeats if they stand between two that are equal.
+    with np.errstate(over="ignore"):
+        order = np.argsort(element ^ _mix((owner + 1).astype("u8") * _GOLD), kind="stable")
     element, owner = element[order], owner[order]
     if len(element):
         first = np.concatenate([[True], (element[1:] != element[:-1]) | (owner[1:] != owner[:-1])])
@@ -126,12 +161,13 @@ def sketches(element: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 
 
 def signatures(element: np.ndarray, owner: np.ndarray, n: int,
-               percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, text) of every text's set."""
+               percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, text) of every text's set, and for each text how many signatures with an even and an
+    odd last bit a linked set shares with it at least (0 where it has none)."""
     size = np.bincount(owner, minlength=n)
     ends = bands(percent, int(size.max(initial=1)))
     own = np.searchsorted(ends, size)
-    made, whose = [], []
+    made, whose, spare = [], [], np.zeros((n, 2), "i8")
     for below in (0, 1):
         band = own - below
         fits = (size > 0) & (band >= 0)
@@ -162,65 +198,43 @@ def signatures(element: np.ndarray, owner: np.ndarray, n: int,
             value = _sums(value, group, int(np.where(fits, n1, 0).sum()))[group] - value
             count = np.bincount(group, count).astype("i8")[group] - count
             mark = _mix(value + _mix(seed[text] + (place.astype("u8") + np.uint64(1)) * _STEP))
+        mark = (mark & ~np.uint64(1)) | (band[text] & 1).astype("u8")
         empty = np.bincount(text[count == 0], minlength=n)
         keep = (count > 0) | (empty >= 2 * n1 - k)[text]
+        spare[np.flatnonzero(fits), band[fits] & 1] = np.maximum(1, 2 * n1 - k - empty)[fits]
         made.append(mark[keep])
         whose.append(text[keep])
-    return np.concatenate(made), np.concatenate(whose)
+    return np.concatenate(made), np.concatenate(whose), spare
 
 
-def digests(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, node, p0..p7) of every row: the set's size, key (null if empty) and sketch."""
-    columns = ["doc_id", "n", "node", *_SKETCHES]
+def digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(row, doc_id, n, node, p0..p7, spare0, spare1, signatures) of every row: the set's size, key (null
+    if empty) and sketch, its signatures and what is known of shared ones. Of rows of one node in one
+    portion of texts, the first has them."""
+    columns = ["row", "doc_id", "n", "node", *_SKETCHES, *_SPARES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, texts in byte_portions(batch.column(1)):
+            for begin, texts in byte_portions(batch.column(2)):
                 n = len(texts)
                 element, owner = sets_of(texts, width)
                 size = np.bincount(owner, minlength=n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, n), pa.array(size),
-                     pa.array(node_keys(element, owner, n), mask=size == 0),
-                     *map(pa.array, sketches(element, owner, n).T)], names=columns)
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, ", ".join(f"{c} long" for c in columns))
-
-
-def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(signature, node) of every row; rows of one node in one portion of texts count once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, texts in byte_portions(batch.column(0)):
-                element, owner = sets_of(texts, width)
-                node = node_keys(element, owner, len(texts))
-                first = np.zeros(len(texts), bool)
+                node = node_keys(element, owner, n)
+                mark, text, spare = signatures(element, owner, n, percent)
+                first = np.zeros(n, bool)
                 first[np.unique(node, return_index=True)[1]] = True
-                element, owner = element[first[owner]], owner[first[owner]]
-                mark, text = signatures(element, owner, len(texts), percent)
+                mark, text = mark[first[text]], text[first[text]]
+                mark = mark[np.argsort(text, kind="stable")].view("i8")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mark.view("i8")), pa.array(node[text])], names=["signature", "node"])
-
-    return docs.select("text").mapInArrow(run, "signature long, node long")
+                    [batch.column(0).slice(begin, n), batch.column(1).slice(begin, n), pa.array(size),
+                     pa.array(node, mask=size == 0), *map(pa.array, sketches(element, owner, n).T),
+                     *map(pa.array, spare.T),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(mark))],
+                    names=[*columns, "signatures"])
 
-
-def element_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, elements) of every row with a word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, texts in byte_portions(batch.column(0)):
-                element, owner = sets_of(texts, width)
-                node = node_keys(element, owner, len(texts))
-                held, begin = np.unique(owner, return_index=True)
-                ends = pa.array(np.append(begin, len(element)), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[held]), pa.ListArray.from_arrays(ends, pa.array(element.view("i8")))],
-                    names=["node", "elements"])
-
-    return docs.select("text").mapInArrow(run, "node long, elements array<long>")
+    return docs.select("__row", F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, ", ".join(f"{c} long" for c in columns) + ", signatures array<long>")
 
 
 # ---- links --------------------------------------------------------------------------------
@@ -240,43 +254,116 @@ def _side(df: DataFrame, side: str, *keys: str) -> DataFrame:
     return df.select(*keys, *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keys])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, decided on the sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
-
-
-def _merged(roots: DataFrame | None, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, root) after `links` (a, b, roots of both) merged classes."""
+def _blocks(n: Column, part: int) -> Column:
+    return F.ceil(n / part).cast("int")
+
+
+def _links(docs: DataFrame, known: DataFrame, pairs: DataFrame, scratch: Scratch, name: str,
+           width: int, percent: int, part: int) -> DataFrame:
+    """The pairs (a, b) that link, decided on the sets.
+
+    b's set is sent to a, where a's waits; an a with many partners waits in several blocks. Each set is
+    made from one row of its node, and goes at once to where it is wanted: `lists` has, for each node,
+    up to about `part` such places in a row."""
+    sizes = pairs.groupBy("a").agg(_blocks(F.count("*"), part).alias("blocks"))
+    salt = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    wants = scratch.put(
+        pairs.join(sizes, "a").select(F.col("b").alias("node"), "a", salt.alias("salt"),
+                                      F.lit(1).alias("guest"))
+        .unionByName(sizes.select(F.col("a").alias("node"), "a", every.alias("salt"),
+                                  F.lit(0).alias("guest"))), f"{name}-wants")
+    rows = wants.groupBy("node").agg(_blocks(F.count("*"), part).alias("rows"))
+    lists = (wants.join(rows, "node")
+             .groupBy("node", F.pmod(F.xxhash64("a", "salt"), F.col("rows")).alias("k"))
+             .agg(F.collect_list(F.struct("a", "salt", "guest")).alias("places"))
+             .join(known.select("node", "row"), "node").select("node", "row", "places"))
+    lists = scratch.put(lists, f"{name}-lists")
+    sent = docs.select(F.col("__row").alias("row"), "text").join(small_or_shuffled(lists), "row")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column(2)
+            for begin, texts in byte_portions(batch.column(0)):
+                element, owner = sets_of(texts, width)
+                order = np.lexsort((element, owner))
+                element, owner = element[order], owner[order]
+                cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+                sets = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(element.view("i8")))
+                mine = places.slice(begin, len(texts))
+                who = np.repeat(np.arange(len(texts)), mine.value_lengths().to_numpy())
+                flat = mine.flatten()
+                # Few at a time: a set is there once for each of its places.
+                for i in range(0, len(who), 256):
+                    part_of = pa.array(who[i:i + 256])
+                    a, salt, guest = flat.slice(i, 256).flatten()
+                    yield pa.RecordBatch.from_arrays(
+                        [a, salt, guest, batch.column(1).slice(begin, len(texts)).take(part_of),
+                         sets.take(part_of)], names=["a", "salt", "guest", "node", "elements"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, own = None, np.zeros(0, "u8")
+        for batch in batches:
+            a, salt, guest, node = (batch.column(i).to_pylist() for i in range(4))
+            ends = batch.column(4).offsets.to_numpy()
+            flat = batch.column(4).values.to_numpy().view("u8")
+            found = []
+            for i in range(batch.num_rows):
+                mine = flat[ends[i]:ends[i + 1]]
+                if not guest[i]:
+                    host, own = (a[i], salt[i]), mine.copy()
+                elif host == (a[i], salt[i]):
+                    at = np.searchsorted(own, mine)
+                    both = int((own[np.minimum(at, len(own) - 1)] == mine).sum())
+                    if 100 * both >= percent * (len(own) + len(mine) - both):
+                        found.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found, pa.int64())),
+                                              batch.column(3).take(pa.array(found, pa.int64()))],
+                                             names=["a", "b"])
+
+    sets = sent.select("text", "node", "places").mapInArrow(
+        send, "a long, salt int, guest int, node long, elements array<long>")
+    met = sets.repartition("a", "salt").sortWithinPartitions("a", "salt", "guest")
+    return scratch.put(met.mapInArrow(meet, "a long, b long").distinct(), name)
+
+
+def _merged(roots: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(node, root) after more links (a, b): a small graph of roots."""
+    for side in "ab":
+        links = links.join(small_or_shuffled(roots.select(F.col("node").alias(side), F.col("root").alias(
+            f"root_{side}"))), side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
     between = links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
     merged = scratch.put(components(between, scratch, f"{name}-parts")
                          .select(F.col("node").alias("root"), F.col("root").alias("new")),
                          f"{name}-merged")
-    if roots is None:
-        return merged.select(F.col("root").alias("node"), F.col("new").alias("root"))
     moved = roots.join(small_or_shuffled(merged), "root", "left").select(
         "node", F.coalesce("new", "root").alias("root"))
     fresh = merged.select(F.col("root").alias("node"), F.col("new").alias("root"))
     return scratch.put(moved.unionByName(fresh).distinct(), f"{name}-roots")
 
 
-def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (signature, node, ...) with their roots, of signatures that hold several."""
-    placed = (members.drop("root").join(small_or_shuffled(roots), "node", "left")
+def _open(members: DataFrame, roots: DataFrame, known: DataFrame) -> DataFrame:
+    """(signature, of, node, root) of the members (signature, node) of signatures with several roots,
+    less those that their nodes can spare."""
+    placed = (members.join(small_or_shuffled(roots), "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     several = (placed.groupBy("signature").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
                                                F.count("*").alias("of"))
                .where("r1 <> r2").select("signature", "of"))
-    return placed.drop("of").join(several, "signature")
-
-
-def _across(members: DataFrame, percent: int, part: int) -> DataFrame:
-    """The pairs (a, b, root_a, root_b) of members of one signature and of different roots that sizes
-    and sketches allow; members of large groups meet block by block."""
-    blocks = F.ceil(F.col("of") / part).cast("int")
+    placed = placed.join(several, "signature").select("signature", "of", "node", "root")
+    odd = F.col("signature").bitwiseAND(1)
+    often = Window.partitionBy("node", odd).orderBy(F.desc("of"), "signature")
+    spare = F.when(odd == 1, F.col("spare1")).otherwise(F.col("spare0"))
+    return (placed.withColumn("nth", F.row_number().over(often))
+            .join(known.select("node", *_SPARES), "node").where(F.col("nth") >= spare)
+            .select("signature", "of", "node", "root"))
+
+
+def _across(members: DataFrame, known: DataFrame, percent: int, part: int) -> DataFrame:
+    """The pairs (a, b) of members of one signature and of different roots that sizes and sketches
+    allow; members of large groups meet block by block."""
+    members = members.join(known.drop("row", *_SPARES), "node")
+    blocks = _blocks(F.col("of"), part)
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
     left = _side(members.select("*", own.alias("i"), every.alias("j")).drop("of"), "a",
@@ -285,71 +372,53 @@ def _across(members: DataFrame, percent: int, part: int) -> DataFrame:
                   "signature", "i", "j")
     return (left.join(right, [left[c] == right[c] for c in ("signature", "i", "j")]
                       + [F.col("root_a") < F.col("root_b"), _may_link("a", "b", percent)])
-            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "root_a", "root_b")
+            .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
             .distinct())
 
 
 def linked_classes(docs: DataFrame, scratch: Scratch, width: int, percent: int, part: int) -> tuple:
     """(digests, roots): a digest of every row, and (node, root) of every node that links."""
-    rows = scratch.put(digests(docs, width), "digests")
-    nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"),
-        *[F.any_value(c).alias(c) for c in ("n", *_SKETCHES)])
+    docs = numbered(docs, scratch)
+    rows = scratch.put(digests(docs, width, percent), "digests")
     by_node = Window.partitionBy("signature").orderBy("node")
-    stars = scratch.put(signed(docs, width, percent)
-                        .withColumn("centre", F.first("node").over(by_node))
+    signed = rows.select(F.explode("signatures").alias("signature"), "node")
+    stars = scratch.put(signed.withColumn("centre", F.first("node").over(by_node))
                         .where("node <> centre").distinct(), "stars")
     met = stars.select("node").union(stars.select("centre")).distinct()
-    known = scratch.put(nodes.join(small_or_shuffled(scratch.put(met, "met")), "node", "left_semi"),
-                        "known")
-    sides = {s: _side(known.drop("doc_id"), s) for s in "ab"}
-    pairs = stars.select(F.col("centre").alias("node_a"), F.col("node").alias("node_b")).distinct()
-    pairs = scratch.put(
-        pairs.join(sides["b"], "node_b")
-        .join(sides["a"], [pairs["node_a"] == sides["a"]["node_a"], _may_link("a", "b", percent)])
-        .select(pairs["node_a"].alias("a"), F.col("node_b").alias("b")), "pairs")
-
-    # Sets of the nodes that can link, of one row each.
-    members = (stars.select("signature", "node")
-               .union(stars.select("signature", "centre").distinct())
-               .join(known.drop("doc_id"), "node"))
-    found = _sets(docs, known, pairs, scratch, "sets", width)
-    links = scratch.put(_linked(pairs, found, percent), "links")
+    known = scratch.put(
+        rows.where("node is not null").groupBy("node").agg(
+            *[F.min(c).alias(c) for c in ("row", "n", *_SKETCHES, *_SPARES)])
+        .join(small_or_shuffled(scratch.put(met, "met")), "node", "left_semi"), "known")
+    sides = {s: _side(known.drop("row", *_SPARES), s) for s in "ab"}
+    counted = stars.groupBy(F.col("centre").alias("node_a"), F.col("node").alias("node_b")).agg(
+        F.count("*").alias("shared"))
+    likely = counted.join(sides["b"], "node_b").join(sides["a"], "node_a").where(
+        _may_link("a", "b", percent))
+    best = F.max(F.struct("shared", (-F.col("node_a")).alias("minus"), F.col("node_a").alias("a")))
+    pairs = scratch.put(likely.groupBy(F.col("node_b").alias("b")).agg(best.alias("best"))
+                        .select("best.a", "b"), "pairs")
+    how = (width, percent, part)
+    links = _links(docs, known, pairs, scratch, "links", *how)
     roots = scratch.put(components(links, scratch, "parts"), "roots")
-    open_ = scratch.put(_placed(members, roots), "open")
+    members = stars.select("signature", "node").union(stars.select("signature", "centre").distinct())
+    tried = pairs
     for name in ("classes", "rest"):
+        open_ = scratch.put(_open(members, roots, known), f"{name}-open")
         some = open_
         if name == "classes":
-            fields = ["node", "n", *_SKETCHES, "of"]
-            some = (open_.groupBy("signature", "root").agg(F.min(F.struct(*fields)).alias("one"))
-                    .select("signature", "root", "one.*"))
-        pairs = scratch.put(_across(some, percent, part), f"{name}-pairs")
-        found = _sets(docs, known, pairs, scratch, f"{name}-sets", width)
-        ends = pairs.select(F.col("a"), F.col("b"), "root_a", "root_b")
-        links = scratch.put(_linked(pairs.select("a", "b"), found, percent)
-                            .join(ends, ["a", "b"]), f"{name}-links")
-        if links.isEmpty():
+            some = (open_.groupBy("signature", "root").agg(F.min("node").alias("node"),
+                                                           F.first("of").alias("of")))
+        pairs = scratch.put(_across(some, known, percent, part)
+                            .join(tried, ["a", "b"], "left_anti"), f"{name}-pairs")
+        if pairs.isEmpty():
             continue
-        roots = _merged(roots, links, scratch, name)
-        if name == "classes":
-            open_ = scratch.put(_placed(open_, roots), "open-again")
+        tried = tried.unionByName(pairs)
+        links = _links(docs, known, pairs, scratch, f"{name}-links", *how)
+        if not links.isEmpty():
+            roots = _merged(roots, links, scratch, name)
     return rows, roots
 
 
-def _sets(docs: DataFrame, known: DataFrame, pairs: DataFrame, scratch: Scratch, name: str,
-          width: int) -> DataFrame:
-    """(node, elements) of the nodes in `pairs`, each from the rows of its least doc_id."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = scratch.put(known.join(wanted, "node", "left_semi").select("node", "doc_id"),
-                         f"{name}-wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = texts.join(small_or_shuffled(wanted.select("doc_id").distinct()),
-                       F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
-    made = element_sets(texts, width).join(small_or_shuffled(wanted.select("node")), "node",
-                                           "left_semi")
-    return scratch.put(made.groupBy("node").agg(F.any_value("elements").alias("elements")), name)
-
-
 def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80,
                      part: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id of every document: documents link whose sets share at least

@@ -28,7 +28,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from .common import Scratch, bounded_batches, replace_columns
+from .common import Scratch, bounded_batches, numbered, replace_columns
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 #: A sentence of so many words is a span by itself; not below any `min_words`.
@@ -81,13 +81,6 @@ def _halves(h: int) -> tuple[int, int]:
     return ((h >> 64) - (1 << 63), (h & (2 ** 64 - 1)) - (1 << 63))
 
 
-def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """`docs` with __row, the place of the row in the table."""
-    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
-        docs = scratch.put(docs, "rows")
-    return docs.withColumn("__row", F.monotonically_increasing_id())
-
-
 def span_hashes(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, row, h1, h2) of each distinct span of each row (doc_id, __row, text)."""
     schema = StructType([StructField(x, LongType()) for x in ("doc_id", "row", "h1", "h2")])
