@@ -21,12 +21,17 @@ groups are looked into, a node may leave out its spare - 1 most frequent signatu
 the same for all: the rarest that two linked nodes share is never among them. Signatures from a passage
 that many documents quote are few beside that, and go.
 
+Two nodes that share many signatures are listed at few of them: in the same order, each membership knows
+the next `AHEAD` signatures of its node, and two nodes that share one of these are left to it. The last
+one that they share is never passed over. Two nodes that are still classes of their own when all nodes
+meet have met when one of each class did, and are not listed again.
+
 Texts are cut into words twice: once for sizes, keys, sketches and signatures, which are stored, and, of
 nodes that are compared, once more for the sets. Signatures are shuffled once, with 64-bit node keys. Each node is compared first with one other: of the
 least nodes of its signatures' groups, the one that it shares the most signatures with. Pairs must agree
 in size and in a sketch: of each of 512 hash classes, whether the set holds an odd number of elements.
 Sketches that differ in more bits than linked sets may have elements apart are no link, which is exact,
-and so are checked inside joins; what remains is compared on the sets themselves, which move once for a
+and so are checked inside joins, but for sets so large that no two sketches differ in more; what remains is compared on the sets themselves, which move once for a
 pair, to the least node of the two. Then nodes of groups that still hold several classes
 meet: first one of each class, then all nodes that are not of one class by then, in blocks where a group
 is large. So pairs within a class are not listed, and no link between different sets is missed.
@@ -58,6 +63,8 @@ _SKETCHES = [f"p{i}" for i in range(_SKETCH)]
 _SPARES = ["spare0", "spare1"]
 #: Bands whose largest size is this or more have longer projections.
 WIDE = 800
+#: Signatures ahead that a membership knows.
+AHEAD = 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -241,11 +248,12 @@ def digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
-    """Whether sizes and sketches allow the nodes of two sides (columns n_x, p0_x, ...) a link."""
+    """Whether sizes and sketches allow the nodes of two sides (columns n_x, p0_x, ...) a link. A node
+    without a sketch is refuted by its size only."""
     small, big = F.least(f"n_{x}", f"n_{y}"), F.greatest(f"n_{x}", f"n_{y}")
     apart = F.lit(0)
     for p in _SKETCHES:
-        apart = apart + F.bit_count(F.col(f"{p}_{x}").bitwiseXOR(F.col(f"{p}_{y}")))
+        apart = apart + F.coalesce(F.bit_count(F.col(f"{p}_{x}").bitwiseXOR(F.col(f"{p}_{y}"))), F.lit(0))
     return ((100 * small >= percent * big)
             & ((100 + percent) * apart <= (100 - percent) * (small + big)))
 
@@ -343,26 +351,34 @@ def _merged(roots: DataFrame, links: DataFrame, scratch: Scratch, name: str) ->
 
 
 def _open(members: DataFrame, roots: DataFrame, known: DataFrame) -> DataFrame:
-    """(signature, of, node, root) of the members (signature, node) of signatures with several roots,
-    less those that their nodes can spare."""
+    """(signature, of, node, root, single, later) of the members (signature, node) of signatures with
+    several roots, less those that their nodes can spare; single: a class of its own; later: the node's
+    next signatures in the order of leaving out."""
     placed = (members.join(small_or_shuffled(roots), "node", "left")
+              .withColumn("single", F.col("root").isNull())
               .withColumn("root", F.coalesce("root", "node")))
     several = (placed.groupBy("signature").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
                                                F.count("*").alias("of"))
                .where("r1 <> r2").select("signature", "of"))
-    placed = placed.join(several, "signature").select("signature", "of", "node", "root")
+    placed = placed.join(several, "signature").select("signature", "of", "node", "root", "single")
     odd = F.col("signature").bitwiseAND(1)
     often = Window.partitionBy("node", odd).orderBy(F.desc("of"), "signature")
     spare = F.when(odd == 1, F.col("spare1")).otherwise(F.col("spare0"))
-    return (placed.withColumn("nth", F.row_number().over(often))
+    # Those left out come first, so what follows a member that stays stays too.
+    later = F.filter(F.array(*[F.lead("signature", k).over(often) for k in range(1, AHEAD + 1)]),
+                     lambda s: s.isNotNull())
+    return (placed.withColumn("nth", F.row_number().over(often)).withColumn("later", later)
             .join(known.select("node", *_SPARES), "node").where(F.col("nth") >= spare)
-            .select("signature", "of", "node", "root"))
+            .select("signature", "of", "node", "root", "single", "later"))
 
 
-def _across(members: DataFrame, known: DataFrame, percent: int, part: int) -> DataFrame:
+def _across(members: DataFrame, known: DataFrame, percent: int, part: int, new: Column) -> DataFrame:
     """The pairs (a, b) of members of one signature and of different roots that sizes and sketches
-    allow; members of large groups meet block by block."""
-    members = members.join(known.drop("row", *_SPARES), "node")
+    allow, where `new` holds; members of large groups meet block by block."""
+    # Half of a sketch's bits differ at most, on average; where links may differ in more, it is no use.
+    telling = (100 - percent) * 2 * F.col("n") < (100 + percent) * 32 * _SKETCH
+    told = known.select("node", "n", *[F.when(telling, F.col(p)).alias(p) for p in _SKETCHES])
+    members = members.join(told, "node")
     blocks = _blocks(F.col("of"), part)
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
@@ -371,7 +387,8 @@ def _across(members: DataFrame, known: DataFrame, percent: int, part: int) -> Da
     right = _side(members.select("*", every.alias("i"), own.alias("j")).drop("of"), "b",
                   "signature", "i", "j")
     return (left.join(right, [left[c] == right[c] for c in ("signature", "i", "j")]
-                      + [F.col("root_a") < F.col("root_b"), _may_link("a", "b", percent)])
+                      + [F.col("root_a") < F.col("root_b"), new, _may_link("a", "b", percent),
+                         ~F.arrays_overlap("later_a", "later_b")])
             .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
             .distinct())
 
@@ -404,11 +421,12 @@ def linked_classes(docs: DataFrame, scratch: Scratch, width: int, percent: int,
     tried = pairs
     for name in ("classes", "rest"):
         open_ = scratch.put(_open(members, roots, known), f"{name}-open")
-        some = open_
+        some, new = open_, ~(F.col("single_a") & F.col("single_b"))
         if name == "classes":
-            some = (open_.groupBy("signature", "root").agg(F.min("node").alias("node"),
-                                                           F.first("of").alias("of")))
-        pairs = scratch.put(_across(some, known, percent, part)
+            least = F.min(F.struct("node", "of", "single", "later")).alias("least")
+            some, new = open_.groupBy("signature", "root").agg(least).select(
+                "signature", "root", "least.*"), F.lit(True)
+        pairs = scratch.put(_across(some, known, percent, part, new)
                             .join(tried, ["a", "b"], "left_anti"), f"{name}-pairs")
         if pairs.isEmpty():
             continue
