@@ -181,6 +181,8 @@ def test_forms_of_random_words(spark, symbols):
             at = rng.randrange(len(picked[k]))
             picked[k] = picked[k][:at] + rng.choice(["", "a", "é", "xa"]) + picked[k][at + 1:]
         rows.append((d, rng.choice([" ", "-", "×, 1 "]).join(picked).replace("a", rng.choice("aA"))))
+    # A word whose form has a form.
+    rows += [(d, "chained " * 50 + "chainez " * 8 + "chainezz") for d in range(80, 90)]
     made = _formed(spark.createDataFrame(rows, DOCS).repartition(3), every=19, symbols=symbols)
     assert made == _forms_by_hand(rows, every=19)
     assert any(r[1] and r[1] != r[2] for r in made) and any(r[1] is None for r in made)
