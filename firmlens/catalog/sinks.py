@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -122,6 +123,28 @@ CACHE_ROUND_TRIP = f"""
 """
 
 
+def cache_probe(spark, sf) -> DataFrame:
+    """The stored cache asked for the customers of one country and segment, by their keys where these
+    are few, and which of them it does not answer."""
+    path = _folder(spark, "cache")
+    cache.write_entries(_cache(spark, sf), path)
+    asked = table(spark, sf, "customer").filter(
+        "c_nationkey = 7 AND c_mktsegment = 'MACHINERY'").select(
+        F.concat(F.lit("user_"), F.col("c_custkey")).alias("company"))
+    stored_week, few = cache.read_entries(spark, path, _as_of()), replace(_TTL, cache_probe=64)
+    hits = cache.lookup(asked, stored_week, _as_of(), few).select("company", "key", "payload")
+    return hits.unionByName(cache.misses(asked, stored_week, _as_of(), few).select(
+        "company", "key", F.lit(None).cast("string").alias("payload")))
+
+
+CACHE_PROBE = f"""
+  SELECT a.company, a.key, e.payload
+  FROM ({_ASKED} WHERE c_nationkey = 7 AND c_mktsegment = 'MACHINERY') a
+  LEFT JOIN (SELECT key, payload FROM ({_FRESH})
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY fetched_at DESC) = 1) e ON a.key = e.key
+"""
+
+
 def rss_files(spark, sf) -> DataFrame:
     """Landed RSS files of a press feed, some broken off after their items, in the union of feeds."""
     path = _folder(spark, "rss")
@@ -210,6 +233,7 @@ QUERIES = {
     "checkpoint_load": (checkpoint_load, CHECKPOINT_LOAD),
     "report_views": (report_views, REPORT_VIEWS),
     "cache_round_trip": (cache_round_trip, CACHE_ROUND_TRIP),
+    "cache_probe": (cache_probe, CACHE_PROBE),
     "rss_files": (rss_files, RSS_FILES),
     "stream_ingest": (stream_ingest, STREAM_INGEST),
     "published_dates": (published_dates, PUBLISHED_DATES),

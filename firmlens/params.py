@@ -137,6 +137,7 @@ class Params:
     context_min_chars: int = 80
     encyclopedia_min_chars: int = 50
     cache_ttl_hours: int = 168
+    cache_probe: int = 0  # up to so many asked keys are pushed into the cache's scan
     export_limit: int = 5000
     error_sample: int = 20
     error_chars: int = 500

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,12 +22,27 @@ def with_key(companies: DataFrame, as_of: Column, stage: str | None = None) -> D
         F.col("company"), as_of, F.lit(stage) if stage else None))
 
 
+def probed(cache: DataFrame, keys: DataFrame, most: int) -> DataFrame:
+    """The entries that some keys may have. Up to `most` keys go into the scan as equalities: sorted
+    files pass over row groups and pages whose key ranges or Bloom filters rule them out. More keys
+    are left to the join that follows; so are any with `most` 0, which runs no job."""
+    if not most:
+        return cache
+    asked = [r[0] for r in keys.select("key").distinct().limit(most + 1).collect()]
+    if len(asked) > most:
+        return cache
+    return cache.filter(reduce(or_, [F.col("key") == k for k in asked], F.lit(False)))
+
+
 def _fresh(cache: DataFrame, keys: DataFrame, as_of: Column, params: Params) -> DataFrame:
-    """Readable entries of the asked keys that are young enough, the newest per key."""
+    """Readable entries of the asked keys that are young enough, the newest per key; of those of one
+    time, always the same by a hash of the payload (records hold maps, which have no order)."""
+    cache = probed(cache, keys, params.cache_probe)
     hours = (F.unix_timestamp(as_of) - F.unix_timestamp("fetched_at")) / 3600
     young = (cache.filter((hours < params.cache_ttl_hours) & F.col("payload").isNotNull())
              .join(keys, "key", "left_semi"))
-    w = Window.partitionBy("key").orderBy(F.desc("fetched_at"))
+    w = Window.partitionBy("key").orderBy(F.desc("fetched_at"),
+                                          F.xxhash64(F.to_json(F.struct("payload"))))
     return (young.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1)
             .drop("_n"))
 
@@ -47,10 +65,12 @@ def misses(companies: DataFrame, cache: DataFrame, as_of: Column,
     """Companies that must be fetched."""
     if BUCKET in cache.columns:
         cache = cache.filter(F.col(BUCKET) == week_bucket(as_of))
+    asked = with_key(companies, as_of, stage)
+    cache = probed(cache, asked, params.cache_probe)
     hours = (F.unix_timestamp(as_of) - F.unix_timestamp("fetched_at")) / 3600
     keys = cache.filter((hours < params.cache_ttl_hours) & F.col("payload").isNotNull()) \
         .select("key").distinct()
-    return with_key(companies, as_of, stage).join(keys, "key", "left_anti")
+    return asked.join(keys, "key", "left_anti")
 
 
 def invalidate(cache: DataFrame, companies: DataFrame, as_of: Column,

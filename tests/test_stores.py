@@ -98,6 +98,51 @@ def test_cache_reads_the_asked_week_and_its_keys(spark, tmp_path):
     assert missing.count() == 0
 
 
+def _rows_scanned(df):
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_probe_reads_the_pages_that_may_hold_its_keys(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    entries = spark.range(200_000).select(
+        F.format_string("k%06d", "id").alias("key"), F.lit("A").alias("company"),
+        F.concat(F.lit("p"), F.col("id")).alias("payload"),
+        F.lit("2024-01-29 09:00:00").cast("timestamp").alias("fetched_at"))
+    cache.write_entries(entries.coalesce(1), path)
+    stored = cache.read_entries(spark, path)
+
+    def keys(*names):
+        return spark.createDataFrame([(k,) for k in names], "key string")
+
+    two = cache.probed(stored, keys("k000007", "k150000", "k150000"), 2)
+    assert _rows_scanned(two) <= 60_000 and sorted(r["payload"] for r in two.collect()) == ["p150000", "p7"]
+    assert _rows_scanned(cache.probed(stored, keys("k000007x"), 2)) == 0
+    assert cache.probed(stored, keys(), 2).count() == 0
+    for whole in (cache.probed(stored, keys("a", "b", "c"), 2), cache.probed(stored, keys("a"), 0)):
+        assert _rows_scanned(whole) == 200_000
+
+
+def test_a_probe_answers_as_a_join_does(spark, tmp_path):
+    as_of = F.lit("2024-01-30 09:00:00").cast("timestamp")
+    names = spark.range(40).select(F.concat(F.lit("c"), F.col("id")).alias("company"))
+    two = [(f"2024-01-30 0{h}:00:00", p) for h, p in ((7, "z"), (8, "a"), (8, "b"))]
+    entries = cache.with_key(names.filter("company <> 'c3'"), as_of).crossJoin(
+        spark.createDataFrame(two, "at string, payload string")).select(
+        "key", "company", "payload", F.col("at").cast("timestamp").alias("fetched_at"))
+    path = str(tmp_path / "cache")
+    cache.write_entries(entries, path)
+    stored = cache.read_entries(spark, path, as_of)
+    for asked in (names, names.filter("company IN ('c3', 'c4')"), names.filter("company = 'x'")):
+        for answer in (cache.lookup, cache.misses):
+            plain, few = (sorted(map(str, answer(asked, stored, as_of, Params(cache_probe=n)).collect()))
+                          for n in (0, 5))
+            assert plain == few
+    found = cache.lookup(names, stored, as_of, Params(cache_probe=5)).select("payload").distinct()
+    assert [r[0] for r in found.collect()] in (["a"], ["b"])
+
+
 # ---- runs ---------------------------------------------------------------------------------
 
 
