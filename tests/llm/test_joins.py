@@ -198,7 +198,8 @@ def test_neighbourhood_holds_all_words_at_one_edit():
             near |= {tuple(word[:i] + [c] + word[i:]) for i in range(len(word) + 1)}
         made = spelling.neighbourhood(np.array([word], "u8"), 4)[0]
         alone = {int(spelling.neighbourhood(np.array([w], "u8"), 0)[0, 0]) for w in near if w}
-        assert alone <= set(made.tolist()) and len(set(made.tolist())) == len(near)
+        # The empty word, near every word of one letter, is no word.
+        assert set(made.tolist()) == alone
 
 
 def test_spelling_of_odd_rows(spark, odd, odd_rows, nothing):
