@@ -118,6 +118,19 @@ def test_one_family_of_many_near_copies(spark):
     assert _linked(spark, rows) == _links_by_hand(rows)
 
 
+def test_a_family_of_sets_too_large_for_sketches(spark):
+    rng = random.Random(12)
+    rows = []
+    for d in range(24):
+        words = [f"b{i}" for i in range(rng.choice([1100, 1300, 1400]))]
+        for at in rng.sample(range(len(words)), rng.choice([5, 20, 30, 60])):
+            words[at] = f"x{d}y{at}"
+        rows.append((d, " ".join(words)))
+    by_hand = _links_by_hand(rows)
+    assert 1 < len({r[2] for r in by_hand}) < len(rows)
+    assert _linked(spark, rows) == by_hand
+
+
 def test_links_of_odd_rows(spark, odd, odd_rows, nothing):
     made = part_enum.linked_documents(odd)
     got = sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in made.collect()], key=str)
