@@ -464,6 +464,11 @@ def _node_udf(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: _node(plain_words(t)))
 
 
+def _row_key(doc_id: Column, node: Column) -> Column:
+    """A document and its text as one text that is never null; without a node, it is none of a node's."""
+    return F.concat_ws(":", F.hex(node), doc_id.cast("string"))
+
+
 def near_documents(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, kept of every document."""
     return near_classes(docs.select("doc_id", "text")).drop("node")
@@ -471,15 +476,13 @@ def near_documents(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     """One document of each class, whole, with the columns it had. Documents without a word stay."""
-    kept = near_classes(docs.select("doc_id", "text"), **params).where("kept")
+    kept = near_classes(docs.select("doc_id", "text"), **params).where("kept and node is not null")
     kept = Scratch(docs.sparkSession, "kept").put(
-        kept.select(F.col("doc_id").alias("__doc"), F.hex("node").alias("__node")).distinct(),
-        "ids")
-    node = F.hex(_node_udf(F.col("text")))
-    # Most documents are kept, so the ids grow with the texts: shuffled at every size.
-    rows = docs.withColumn("__own", node).join(
-        kept.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("__doc"))
-        & F.col("__own").eqNullSafe(F.col("__node")), "left_semi")
-    with_words = rows.where("__own is not null").dropDuplicates(["doc_id", "__own"])
-    return with_words.unionByName(rows.where("__own is null")).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+        kept.select(_row_key(F.col("doc_id"), F.col("node")).alias("__key")).distinct(), "ids")
+    rows = docs.withColumn("__own", _node_udf(F.col("text")))
+    # Most documents are kept, so the ids grow with the texts: shuffled at every size. The key is one
+    # column without nulls, so the rows that meet it are dealt for what follows, too: texts move once.
+    with_words = (rows.withColumn("__key", _row_key(docs["doc_id"].cast("long"), F.col("__own")))
+                  .join(kept.hint("merge"), "__key", "left_semi").dropDuplicates(["doc_id", "__key"]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return with_words.select(*columns).unionByName(rows.where("__own is null").select(*columns))

@@ -185,6 +185,21 @@ def test_near_duplicates_of_odd_rows(odd, odd_rows, nothing):
     assert dart_minhash.drop_near_duplicates(nothing).count() == 0
 
 
+def test_kept_texts_are_shuffled_once(spark):
+    rows = [(d, f"text number {d // 2} of some that come twice") for d in range(40)]
+    rows += [(0, rows[0][1]), (None, rows[2][1]), (None, "only here"), (None, "only here"), (50, " "), (50, " ")]
+    made = dart_minhash.drop_near_duplicates(spark.createDataFrame(rows, DOCS))
+    got = sorted(((r["doc_id"], r["text"]) for r in made.collect()), key=str)
+    assert got == sorted([*rows[0:40:2], (None, "only here"), (50, " "), (50, " ")], key=str)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = made.select("*")._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # The texts' own exchange and that of the ids; no other one for the rows that repeat.
+    assert sum("Exchange" in x for x in lines) == 2
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(80), 100 + rng.randrange(80))
